@@ -1,0 +1 @@
+"""Nothing here: every operator of this library is a batch operator."""
