@@ -39,7 +39,11 @@ def stress_class(index: Column, breaks: tuple[float, ...] = STRESS_BREAKS) -> Co
 
 
 def stress_label(index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in STRESS_LABELS]), stress_class(index) + 1)
+    *below, top = STRESS_LABELS
+    label = F.when(index >= STRESS_BREAKS[-1], top)
+    for limit, name in reversed(list(zip(STRESS_BREAKS, below))):
+        label = F.when(index < limit, name).otherwise(label)
+    return label
 
 
 def hour_source(observed: Column, corrected: Column) -> Column:

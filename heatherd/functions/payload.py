@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from heatherd.functions.text import NUMBER, number
+from heatherd.functions.text import number
 
 # Grid series write -999 for a missing value.
 MISSING_BELOW = -999.0 + 0.5
@@ -23,11 +23,12 @@ GEO_LEVELS = ["N1", "N2", "N3", "N6", "N8", "N9"]
 
 def production_value(raw: Column) -> Column:
     s = F.btrim(raw, F.lit(" \t\n\r\x0b\x0c"))
-    infinite = s.rlike("(?i)^[+-]?inf(inity)?$")
+    infinite = F.lower(F.ltrim(s, F.lit("+-"))).isin("inf", "infinity")
     return (
         F.when(s == ZERO_MARKER, F.lit(0.0))
         .when(s.isin(UNKNOWN_MARKERS), None)
-        .when(s.rlike(NUMBER) | infinite, s.try_cast("double"))
+        .when(infinite, s.try_cast("double"))
+        .otherwise(number(s))
     )
 
 

@@ -19,11 +19,12 @@ def daily_climate(history: DataFrame, temperature: str = TEMPERATURE_COLUMN, hum
     """Station-days with mean and extreme values of the readings that pass the range checks."""
     require_columns(history, temperature, humidity)
     return (
+        # parsed once in a projection of its own, because the checks read each value several times
         history.select(
             "cd_estacao", iso_date(F.col("data")).alias("data"),
-            qc_temperature(decimal_comma(F.col(temperature))).alias("temp"),
-            qc_humidity(decimal_comma(F.col(humidity))).alias("rh"),
+            decimal_comma(F.col(temperature)).alias("temp"), decimal_comma(F.col(humidity)).alias("rh"),
         )
+        .withColumns({"temp": qc_temperature(F.col("temp")), "rh": qc_humidity(F.col("rh"))})
         .groupBy("cd_estacao", "data")
         .agg(
             F.avg("temp").alias("temp_med"), F.max("temp").alias("temp_max"),
@@ -56,13 +57,11 @@ def live_daily(payloads: DataFrame) -> DataFrame:
         same = F.filter(F.map_entries("day"), lambda e: F.lower(e["key"]) == name)
         return F.try_element_at(same, F.lit(1))["value"]
 
-    return days.select(
-        iso_date(field("dt_medicao")).alias("date"), "station_code",
-        qc_temperature(number(field("temp_med"))).alias("temp_med"),
-        qc_temperature(number(field("temp_max"))).alias("temp_max"),
-        qc_humidity(number(field("umid_med"))).alias("umid_med"),
-        qc_humidity(number(field("umid_min"))).alias("umid_min"),
-    ).withColumns({
+    checks = {"temp_med": qc_temperature, "temp_max": qc_temperature, "umid_med": qc_humidity, "umid_min": qc_humidity}
+    parsed = days.select(
+        iso_date(field("dt_medicao")).alias("date"), "station_code", *[number(field(c)).alias(c) for c in checks]
+    )
+    return parsed.withColumns({c: check(F.col(c)) for c, check in checks.items()}).withColumns({
         "itu_med": heat_index(F.col("temp_med"), F.col("umid_med")),
         "itu_max": heat_index(F.col("temp_max"), F.col("umid_min")),
     })

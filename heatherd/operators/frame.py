@@ -41,11 +41,10 @@ def hourly_observations(
         keep_stations(history, codes)
         .select(
             "cd_estacao", "data", hour_of(F.col("hora_utc")).alias("hora"),
-            qc_temperature(decimal_comma(F.col(temperature))).alias("temp"),
-            qc_humidity(decimal_comma(F.col(humidity))).alias("rh"),
+            decimal_comma(F.col(temperature)).alias("temp"), decimal_comma(F.col(humidity)).alias("rh"),
         )
         .groupBy(HOUR_KEY)
-        .agg(F.avg("temp").alias("temp"), F.avg("rh").alias("rh"))
+        .agg(F.avg(qc_temperature(F.col("temp"))).alias("temp"), F.avg(qc_humidity(F.col("rh"))).alias("rh"))
     )
 
 

@@ -31,13 +31,15 @@ def aligned(parameter: Column, names: Sequence[str]) -> Column:
     def series(name: str) -> Column:
         return F.coalesce(F.try_element_at(parameter, F.lit(name)), empty)
 
-    merged = F.transform_values(series(names[0]), lambda key, value: F.array(value))
-    for width, name in enumerate(names[1:], start=1):
+    def add(merged: Column, name: str, width: int) -> Column:
         absent = F.array(*[none] * width)
-        merged = F.map_zip_with(
-            merged, series(name),
-            lambda key, left, right, absent=absent: F.concat(F.coalesce(left, absent), F.array(right)),
+        return F.map_zip_with(
+            merged, series(name), lambda key, left, right: F.concat(F.coalesce(left, absent), F.array(right))
         )
+
+    merged = F.transform_values(series(names[0]), lambda key, value: F.array(value))
+    for width, name in enumerate(names[1:], start=1):
+        merged = add(merged, name, width)
     return merged
 
 

@@ -23,20 +23,20 @@ DAILY_COLUMNS = [
 
 
 def corrected(variable: str, method: str) -> Column:
-    """Grid value moved to the station's mean and spread, then range-checked.
+    """Grid value moved to the station's mean and spread.
 
     `scaling` keeps the variance of the station; `linear` is the least-squares line.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}; choose one of {METHODS}")
-    p = {s: F.col(f"{variable}_{s}") for s in ("mx", "my", "sx", "sy", "r")}
-    factor = p["r"] if method == "linear" else F.lit(1.0)
-    slope = factor * F.try_divide(p["sy"], p["sx"])
-    return CHECKS[variable](p["my"] + slope * (F.col(VARIABLES[variable][0]) - p["mx"]))
+    p = F.col(f"{variable}_fit")
+    slope = F.try_divide(p["sy"], p["sx"])
+    slope = p["r"] * slope if method == "linear" else slope
+    return p["my"] + slope * (F.col(VARIABLES[variable][0]) - p["mx"])
 
 
 def correct(frame: DataFrame, parameters: DataFrame, method: str = "scaling", station_bound: int | None = None) -> DataFrame:
-    """Adds `temp_corr` and `rh_corr`.
+    """Adds `temp_corr` and `rh_corr`, the range-checked corrected grid values.
 
     The parameter table has one row per station and month. `station_bound`, a known limit
     on the number of stations, proves it small enough to broadcast; without it, or beyond
@@ -47,6 +47,7 @@ def correct(frame: DataFrame, parameters: DataFrame, method: str = "scaling", st
     return (
         frame.join(broadcast_if(parameters, max_rows), ["cd_estacao", "mes"], "left")
         .withColumns({f"{v}_corr": corrected(v, method) for v in VARIABLES})
+        .withColumns({f"{v}_corr": check(F.col(f"{v}_corr")) for v, check in CHECKS.items()})
         .drop(*names)
     )
 
@@ -59,7 +60,7 @@ def impute_hourly(
     scope: str | None = None,
 ) -> DataFrame:
     """Observed hours stay; missing hours take the corrected grid value, tagged by source."""
-    parameters = fit(frame, min_samples=min_samples, scope=scope)
+    parameters = fit(frame, min_samples=min_samples, scope=scope, station_bound=station_bound)
     added = {}
     for v in VARIABLES:
         added[f"{v}_imp"] = F.coalesce(F.col(v), F.col(f"{v}_corr"))

@@ -12,7 +12,7 @@ from heatherd.operators.frame import hourly_frame, hourly_observations, keep_sta
 from heatherd.operators.holdout import score_frame
 from heatherd.operators.impute import add_day_type, aggregate_daily, impute_hourly
 from heatherd.operators.stations import sample_stations, station_batches, station_coordinates
-from heatherd.session import broadcast_if
+from heatherd.session import broadcast_if, written
 from heatherd.sources.tables import write_table
 
 BATCH_SIZE = 20
@@ -22,8 +22,10 @@ def staged_days(spark, staging: str) -> DataFrame | None:
     """Daily rows staged so far, or None before the first run."""
     try:
         return spark.read.parquet(staging)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def pending_batches(batches: DataFrame, staged: DataFrame | None) -> DataFrame:
@@ -62,8 +64,8 @@ def impute_all(
     """
     spark = grid.sparkSession
     batches = station_batches(station_coordinates(stations, codes), batch_size)
-    pending = pending_batches(batches, staged_days(spark, staging))
-    pending = broadcast_if(pending, station_bound)
+    # written first: the run replaces parts of the staging table that this list is read from
+    pending = broadcast_if(written(pending_batches(batches, staged_days(spark, staging)), "pending"), station_bound)
     wanted = within_years(grid, years).join(pending, "cd_estacao")
     frame = hourly_frame(wanted, hourly_observations(history, pending.select("cd_estacao")))
     hourly = impute_hourly(frame, method, min_samples, station_bound, scope="batch")

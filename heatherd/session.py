@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # the limit means roughly 100 MB.
 BROADCAST_ROW_LIMIT = 500_000
 
-# Days of one station share a partition for the grid join and the daily
-# aggregation. Spark accepts a partitioning on part of the join keys only with
-# the second setting off.
+# Hours of one day share a partition for the grid join and the daily aggregation.
+# Spark accepts a partitioning on part of the join keys only with the second setting
+# off. The third lets a join hash its partitions when each is measured to be small;
+# larger ones are merged by sorting, which can spill.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -50,6 +52,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/heatherd/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table in the shared scratch folder: computed once, its lineage cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def broadcast_if(df: DataFrame, max_rows: int | None) -> DataFrame:
     """Hint a broadcast when the caller can bound the rows of `df`, else leave the join to AQE."""
     if max_rows is not None and max_rows <= BROADCAST_ROW_LIMIT:

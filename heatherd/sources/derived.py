@@ -7,12 +7,17 @@ six-hour day, and quantity, discount and tax the measured values.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heatherd.operators.frame import HUMIDITY_COLUMN, TEMPERATURE_COLUMN
 
 ROWS_PER_STATION = 12_000
 HOURS_PER_DAY = 6
+
+# A small table is one Parquet row group, which one task would scan and compute alone.
+FEW_ROWS = 10_000_000
 LATE_STATION, LATE_START = 4, "1996-01-01"
 
 
@@ -20,9 +25,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=64)
+def _rows(application: str, sf_dir: str) -> int:
+    return table(SparkSession.active(), sf_dir, "lineitem").count()
+
+
+def reading_count(spark: SparkSession, sf_dir: str) -> int:
+    """Counted once per session, from the Parquet footers."""
+    return _rows(spark.sparkContext.applicationId, sf_dir)
+
+
 def station_count(spark: SparkSession, sf_dir: str) -> int:
-    """Known on the driver from the Parquet footers; bounds every per-station table."""
-    return max(5, table(spark, sf_dir, "lineitem").count() // ROWS_PER_STATION)
+    """Known on the driver; bounds every per-station table."""
+    return max(5, reading_count(spark, sf_dir) // ROWS_PER_STATION)
 
 
 def code(station: Column) -> Column:
@@ -41,7 +56,12 @@ def readings(spark: SparkSession, sf_dir: str, late_start: bool = False) -> Data
     """
     day = F.to_date("l_shipdate")
     doy = F.dayofyear("day")
-    rows = table(spark, sf_dir, "lineitem").select(
+    lineitem = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_shipdate"
+    )
+    if reading_count(spark, sf_dir) < FEW_ROWS:
+        lineitem = lineitem.repartition(spark.sparkContext.defaultParallelism, "l_orderkey")
+    rows = lineitem.select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
         (F.col("l_suppkey") % station_count(spark, sf_dir)).alias("station"),
         day.alias("day"),
@@ -92,8 +112,8 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .select(F.to_date("l_shipdate").alias("day"))
         .distinct()
-        .repartition(parts, "day")  # few days, many rows each: spread before exploding
         .select("day", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("station"))
+        .repartition(parts, "day", "station")  # the few days sit in one partition
         .select("day", "station", F.explode(F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1))).alias("hora"))
         .select(
             code(st).alias("cd_estacao"),
