@@ -89,7 +89,7 @@ def _parsed_files(files: DataFrame, stations: Sequence[str] | DataFrame | None,
         .filter(F.col("at") > 0)
         .select(
             "cd_estacao", "file_name",
-            F.transform(F.split(F.try_element_at("lines", F.col("at")), SEPARATOR), _column_name).alias("names"),
+            F.transform(F.split(F.get("lines", F.col("at") - 1), SEPARATOR), _column_name).alias("names"),
             F.filter(F.slice("lines", F.col("at") + 1, F.size("lines")), lambda line: F.length(line) > 0).alias("body"),
         )
         .filter(F.size("body") > 0)
