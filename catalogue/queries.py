@@ -557,7 +557,7 @@ def live_daily(spark, sf_dir):
         F.min("value").alias("low"), F.max("value").alias("high"), F.avg("value").alias("mean")
     )
     entry = F.struct(
-        F.date_format("day", "yyyy-MM-dd").alias("DT_MEDICAO"),
+        F.col("day").cast("string").alias("DT_MEDICAO"),
         F.col("mean").cast("string").alias("Temp_Med"), F.col("high").alias("TEMP_MAX"), F.col("low").alias("UMID_MIN"),
     )
     lists = spread.select(F.col("user_id").cast("string").alias("station_code"), F.to_json(F.array(entry)).alias("payload"))

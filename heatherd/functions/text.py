@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Tokens that mean "missing" in station files.
 NULL_TOKENS = ["", "NA", "-9999", "-9999,0"]
@@ -70,3 +70,8 @@ def snake_case_name(name: str) -> str:
     """The same for one column name, for any script."""
     ascii_name = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode()
     return re.sub("[^a-z0-9]+", "_", ascii_name.lower()).strip("_")
+
+
+def normalized_columns(df: DataFrame) -> DataFrame:
+    """The same table with snake-case column names."""
+    return df.toDF(*[snake_case_name(c) for c in df.columns])

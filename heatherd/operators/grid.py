@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from heatherd.functions.payload import (
     coordinate, grid_day, grid_hour, grid_hour_day, grid_value, naive_timestamp,
 )
+from heatherd.functions.text import number
 
 _POINT = (
     "geometry struct<coordinates:array<double>>,"
@@ -43,6 +44,20 @@ def aligned(parameter: Column, names: Sequence[str]) -> Column:
     return merged
 
 
+def station_payloads(documents: DataFrame, coordinates: DataFrame) -> DataFrame:
+    """Point documents with the stations at their point and the period they cover.
+
+    A landed document is named `<lat>_<lon>_<start>_<end>[_<parameters>].json`.
+    """
+    part = F.split(F.regexp_replace("file_name", r"\.json$", ""), "_")
+    named = documents.select(
+        number(F.get(part, F.lit(0))).alias("vl_latitude"), number(F.get(part, F.lit(1))).alias("vl_longitude"),
+        F.get(part, F.lit(2)).alias("inicio"), F.get(part, F.lit(3)).alias("fim"), "payload",
+    )
+    at = coordinates.select("cd_estacao", "vl_latitude", "vl_longitude")
+    return named.join(at, ["vl_latitude", "vl_longitude"]).select("cd_estacao", "inicio", "fim", "payload")
+
+
 def _unpacked(payloads: DataFrame, names: Sequence[str], *keep: str) -> DataFrame:
     point = payloads.select(*keep, F.from_json("payload", _POINT).alias("p"))
     at = F.col("p.geometry.coordinates")
@@ -95,5 +110,5 @@ def grid_hourly(payloads: DataFrame, parameters: Sequence[str] | None = HOURLY_P
     )
     return hours.withColumns({
         "datetime": naive_timestamp(F.col("day"), F.col("hora")),
-        "data": F.date_format("day", "yyyy-MM-dd"),
+        "data": F.col("day").cast("string"),
     }).select(*base, *_measures(parameters))

@@ -96,7 +96,7 @@ def history(spark: SparkSession, sf_dir: str, late_start: bool = False) -> DataF
     )
     return readings(spark, sf_dir, late_start).select(
         "l_orderkey", "l_linenumber", "cd_estacao",
-        F.date_format("day", "yyyy-MM-dd").alias("data"),
+        F.col("day").cast("string").alias("data"),
         hour_text.alias("hora_utc"),
         comma_text(F.col("temp")).alias(TEMPERATURE_COLUMN),
         comma_text(F.col("rh")).alias(HUMIDITY_COLUMN),
@@ -117,7 +117,7 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("day", "station", F.explode(F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1))).alias("hora"))
         .select(
             code(st).alias("cd_estacao"),
-            F.date_format("day", "yyyy-MM-dd").alias("data"),
+            F.col("day").cast("string").alias("data"),
             hora.cast("bigint").alias("hora"),
             (F.lit(0.9) * season(F.col("day"), st, hora) + 1.5
              + ((doy * 7 + hora * 13 + st) % 11) / F.lit(10.0)).alias("t2m"),
