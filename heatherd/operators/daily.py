@@ -50,8 +50,8 @@ def live_daily(payloads: DataFrame) -> DataFrame:
     Keys are matched in any letter case; a missing measure is null; an empty list gives no rows.
     """
     days = payloads.select(
-        "station_code", F.explode(F.from_json("payload", "array<map<string,string>>")).alias("day")
-    )
+        "station_code", F.explode_outer(F.from_json("payload", "array<map<string,string>>")).alias("day")
+    ).filter(F.col("day").isNotNull())
 
     def field(name: str) -> Column:
         same = F.filter(F.map_entries("day"), lambda e: F.lower(e["key"]) == name)

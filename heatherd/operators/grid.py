@@ -59,11 +59,15 @@ def station_payloads(documents: DataFrame, coordinates: DataFrame) -> DataFrame:
 
 
 def _unpacked(payloads: DataFrame, names: Sequence[str], *keep: str) -> DataFrame:
+    """One row per key of every payload; a payload without keys gives one with a null key.
+
+    An inner explode would make Spark align every payload twice, once to drop empty ones.
+    """
     point = payloads.select(*keep, F.from_json("payload", _POINT).alias("p"))
     at = F.col("p.geometry.coordinates")
     return point.select(
         *keep, coordinate(at, 2).alias("lat"), coordinate(at, 1).alias("lon"),
-        F.explode(aligned(F.col("p.properties.parameter"), names)).alias("key", "values"),
+        F.explode_outer(aligned(F.col("p.properties.parameter"), names)).alias("key", "values"),
     )
 
 

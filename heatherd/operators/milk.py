@@ -24,13 +24,14 @@ def milk_production(payloads: DataFrame, geo_level: str) -> DataFrame:
     # a lone object would be read as a list of one
     is_list = F.startswith(F.ltrim("payload"), F.lit("["))
     first = F.try_element_at(F.from_json("payload", _RESULT), F.lit(1))["resultados"]
+    # outer explodes: an inner one would parse every payload again to drop empty ones
     series = payloads.filter(is_list).select(
-        F.explode(F.try_element_at(first, F.lit(1))["series"]).alias("s")
+        F.explode_outer(F.try_element_at(first, F.lit(1))["series"]).alias("s")
     )
     values = series.select(
         F.col("s.localidade.id").try_cast("bigint").alias("code"),
         F.col("s.localidade.nome").alias("nome"),
-        F.explode("s.serie").alias("year", "raw"),
+        F.explode_outer("s.serie").alias("year", "raw"),
     )
     return values.select(
         "code", "nome", F.col("year").try_cast("bigint").alias("year"),

@@ -22,7 +22,7 @@ _FEATURES = "features array<struct<properties:map<string,string>,geometry:string
 
 def localities(payloads: DataFrame, parent_path: str | None = None) -> DataFrame:
     """(id, nome, parent_id) of every object of the JSON lists; a broken parent path gives null."""
-    entry = payloads.select(F.explode(F.from_json("payload", "array<string>")).alias("e"))
+    entry = payloads.select(F.explode_outer(F.from_json("payload", "array<string>")).alias("e")).filter(F.col("e").isNotNull())
     parent = F.lit(None) if parent_path is None else F.get_json_object("e", f"$.{parent_path}")
     return entry.select(
         F.get_json_object("e", "$.id").try_cast("bigint").alias("id"),
@@ -35,7 +35,7 @@ def boundaries(payloads: DataFrame, level: str) -> DataFrame:
     """(code, nivel, geometry) of every feature with a valid geometry."""
     if level not in BOUNDARY_LEVELS:
         raise ValueError(f"invalid level {level!r}; must be one of {BOUNDARY_LEVELS}")
-    feature = payloads.select(F.explode(F.from_json("payload", _FEATURES)["features"]).alias("f"))
+    feature = payloads.select(F.explode_outer(F.from_json("payload", _FEATURES)["features"]).alias("f"))
     return feature.select(
         first_filled(F.col("f.properties"), "codarea", "CODAREA", "code").alias("code"),
         F.lit(level).alias("nivel"),

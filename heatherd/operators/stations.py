@@ -34,7 +34,7 @@ def stations(payloads: DataFrame, fields: Sequence[str] | None = None) -> DataFr
     """
     fields = payload_fields(payloads) if fields is None else list(fields)
     fields = list(dict.fromkeys([*STATION_FIELDS, *fields]))
-    entry = payloads.select(F.explode(F.from_json("payload", "array<map<string,string>>")).alias("e"))
+    entry = payloads.select(F.explode_outer(F.from_json("payload", "array<map<string,string>>")).alias("e"))
     table = entry.select(*[F.try_element_at("e", F.lit(f)).alias(snake_case_name(f)) for f in fields])
     return (
         table.withColumns({c: decimal_comma(F.col(c)) for c in ("vl_latitude", "vl_longitude")})

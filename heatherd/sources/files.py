@@ -24,6 +24,7 @@ STATION_CODE = r"[A-Z]\d{3}"
 HEADER_LINE = r"(?i)^(data[;(]|data \()"
 HEADER_WITHIN = 15
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85]"
+RARE_BREAK = "\r(?!\n)|[\x0b\x0c\x1c\x1d\x1e\x85]"
 PHANTOM_COLUMN = r"^$|^unnamed|^_*\d+_*$"
 RENAMED = {"data_yyyy_mm_dd": "data"}
 
@@ -60,6 +61,12 @@ def archive_members(archives: DataFrame) -> DataFrame:
     return archives.select("content").mapInPandas(_csv_members, "file_name string, content binary")
 
 
+def _lines(text: Column) -> Column:
+    """Text cut at its line breaks, without a pattern for files that only have the two usual ones."""
+    usual = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\n")
+    return F.when(text.rlike(RARE_BREAK), F.split(text, LINE_BREAK)).otherwise(usual)
+
+
 def _fields(line: Column) -> Column:
     plain = F.split(line, SEPARATOR)
     quoted = F.transform(
@@ -77,29 +84,33 @@ def _column_name(raw: Column) -> Column:
 
 
 def _parsed_files(files: DataFrame, stations: Sequence[str] | DataFrame | None, station_bound: int | None) -> DataFrame:
-    """Per usable file: station, normalized header names and the lines below the header."""
+    """Per file of a station: normalized header names and the lines below the header, null without one.
+
+    Files without a header are not filtered here: Spark would move the filter below the
+    projections and cut every file into lines once more to evaluate it.
+    """
     coded = files.withColumn("cd_estacao", F.regexp_substr("file_name", F.lit(STATION_CODE))).filter(
         F.col("cd_estacao").isNotNull()
     )
     head = F.transform(F.slice("lines", 1, HEADER_WITHIN), lambda line: line.rlike(HEADER_LINE))
     return (
         keep_stations(coded, stations, station_bound)
-        .select("cd_estacao", "file_name", F.split(F.decode("content", "ISO-8859-1"), LINE_BREAK).alias("lines"))
+        .select("cd_estacao", "file_name", F.decode("content", "ISO-8859-1").alias("text"))
+        .select("cd_estacao", "file_name", _lines(F.col("text")).alias("lines"))
         .withColumn("at", F.array_position(head, True).cast("int"))
-        .filter(F.col("at") > 0)
         .select(
             "cd_estacao", "file_name",
             F.transform(F.split(F.get("lines", F.col("at") - 1), SEPARATOR), _column_name).alias("names"),
-            F.filter(F.slice("lines", F.col("at") + 1, F.size("lines")), lambda line: F.length(line) > 0).alias("body"),
+            F.when(F.col("at") > 0, F.slice("lines", F.col("at") + 1, F.size("lines"))).alias("body"),
         )
-        .filter(F.size("body") > 0)
     )
 
 
 def header_columns(files: DataFrame, stations: Sequence[str] | DataFrame | None = None, station_bound: int | None = None) -> list[str]:
-    """Names of all columns found in any file. Only the distinct names reach the driver."""
+    """Names of all columns found in any file with rows. Only the distinct names reach the driver."""
     names = (
         _parsed_files(files, stations, station_bound)
+        .filter(F.exists("body", lambda line: F.length(line) > 0))
         .select(F.explode("names").alias("name"))
         .filter(~F.col("name").rlike(PHANTOM_COLUMN))
         .distinct()
@@ -129,7 +140,9 @@ def station_history(
     located = _parsed_files(files, stations, station_bound).select(
         "cd_estacao", "body", *[F.array_position("names", c).cast("int").alias(p) for c, p in position.items()]
     )
-    lines = located.select("cd_estacao", *position.values(), F.explode("body").alias("line"))
+    lines = located.select("cd_estacao", *position.values(), F.explode_outer("body").alias("line")).filter(
+        F.length("line") > 0
+    )
     fields = lines.select("cd_estacao", *position.values(), _fields(F.col("line")).alias("fields"))
     return fields.select(
         "cd_estacao",
