@@ -37,14 +37,17 @@ def grid_value(raw: Column) -> Column:
     return F.when(value > MISSING_BELOW, value)
 
 
+def _key_date(key: Column) -> Column:
+    return F.concat_ws("-", F.substring(key, 1, 4), F.substring(key, 5, 2), F.substring(key, 7, 2)).try_cast("date")
+
+
 def grid_day(key: Column) -> Column:
-    return F.when(F.length(key) == 8, F.try_to_date(key, "yyyyMMdd"))
+    return F.when(key.rlike(r"^\d{8}$"), _key_date(key))
 
 
 def grid_hour_day(key: Column) -> Column:
     """Day of a YYYYMMDDHH key, null unless the whole key is valid."""
-    valid = key.rlike(r"^\d{8}([01]\d|2[0-3])$")
-    return F.when(valid, F.try_to_date(F.substring(key, 1, 8), "yyyyMMdd"))
+    return F.when(key.rlike(r"^\d{8}([01]\d|2[0-3])$"), _key_date(key))
 
 
 def grid_hour(key: Column) -> Column:

@@ -17,6 +17,7 @@ from heatherd.operators.daily import daily_climate
 from heatherd.operators.stations import station_coordinates, stations
 from heatherd.plans import imputation
 from heatherd.plans.work import missing_blocks, year_blocks
+from heatherd.session import written
 from heatherd.sources.files import archive_members, station_files, station_history
 from heatherd.sources.payloads import documents
 from heatherd.sources.tables import write_table
@@ -63,6 +64,8 @@ def build_history(
     else:
         source = station_files(spark, files)
     history = station_history(source, known_stations(spark, folder), columns)
+    # Sorting samples its input before it reads it: parse once, then sort the parsed table.
+    history = written(history, "history")
     # several readings of one station and day may lie in different files of the table
     write_product(history, folder, HISTORY, spread=[c for c in ("hora_utc",) if c in history.columns])
 
@@ -99,7 +102,8 @@ def build_grid_hourly(
     """Hourly series of all stations whose point has landed."""
     coordinates = station_coordinates(product(spark, folder, STATIONS))
     landed = grid.station_payloads(documents(spark, payloads), coordinates)
-    write_product(grid.grid_hourly(landed, parameters), folder, GRID_HOURLY)
+    hours = written(grid.grid_hourly(landed, parameters), "grid")  # parsed once, not again for the sort
+    write_product(hours, folder, GRID_HOURLY)
 
 
 def missing_grid_blocks(spark: SparkSession, folder: str, payloads: Paths, first_year: int, last_year: int, size: int = 10) -> DataFrame:

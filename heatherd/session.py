@@ -22,7 +22,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 

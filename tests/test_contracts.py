@@ -31,7 +31,7 @@ def test_contract_by_name(name, contract):
     assert find_contract(name) == contract
 
 
-def test_contract_schemas_parse():
+def test_contract_schemas_parse(spark):
     for contract in CONTRACTS.values():
         assert set(contract.sort) <= set(contract.schema.names)
 
