@@ -33,9 +33,11 @@ def coverage_overall(coverage: DataFrame) -> DataFrame:
 def most_imputed(coverage: DataFrame) -> DataFrame:
     """Stations by imputed share: all of a short list, the first ones of a long list.
 
-    The sort keeps at most the long-report limit of rows; only those are ranked.
+    The sort keeps at most the long-report limit of rows; only those are ranked. Shares equal to
+    nine digits are a tie, which goes to the lower code: the last bits of a mean depend on the
+    order in which Spark adds, and would rank tied stations differently from run to run.
     """
-    order = [F.desc_nulls_first("frac_horas_temp_imp"), F.asc("cd_estacao")]
+    order = [F.round("frac_horas_temp_imp", 9).desc_nulls_first(), F.asc("cd_estacao")]
     stations = single_value(coverage.agg(F.count(F.lit(1)).alias("n")), "n")["n"]
     first = coverage.orderBy(*order).limit(LONG_REPORT)
     ranked = first.withColumn("posicao", F.row_number().over(Window.orderBy(*order)))
