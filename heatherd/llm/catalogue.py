@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op8_repetition_coverage(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.quality_rules(docs).drop("text")
+    return quality.quality_rules(docs).drop("text", "dup_gram_chars")
 
 
 ship_by_value(__name__)
