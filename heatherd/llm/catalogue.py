@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heatherd.llm import ngram_join, quality
+from heatherd.llm import ngram_join, quality, suffix_dedup
 from heatherd.session import ship_by_value
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,13 @@ FROM documents LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) A
 """
 
 
+@query
+def op7_suffix_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_repetition_coverage(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
