@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heatherd.llm import ngram_join, quality, suffix_dedup
+from heatherd.llm import mixing, ngram_join, quality, suffix_dedup
 from heatherd.session import ship_by_value
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,40 @@ FROM documents LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) A
 """
 
 
+@query
+def op6_source_mix(spark, sf_dir):
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+ORACLE["op6_source_mix"] = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3.0::DOUBLE * sum(size) AS cap,
+    [5.0::DOUBLE, 2.0, 1.0][CAST((row_number() OVER (ORDER BY source COLLATE "C" NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS weight
+  FROM sized GROUP BY source
+), levels AS (
+  SELECT cap / weight AS ratio,
+    (SELECT CAST(sum(source_size) AS DOUBLE) FROM sources) - coalesce(sum(cap) OVER before, 0) AS rest,
+    (SELECT sum(weight) FROM sources) - coalesce(sum(weight) OVER before, 0) AS weights
+  FROM sources WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT max(CASE WHEN rest / weights < ratio THEN rest / weights END) AS level FROM levels
+), targets AS (
+  SELECT source, source_size, CASE WHEN level IS NULL THEN cap ELSE least(cap, level * weight) END AS target FROM sources, level
+), rates AS (
+  SELECT s.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN least(t.target / t.source_size, 3.0) ELSE 0 END AS rate,
+    CAST(CAST('0x' || substr(md5('20240601|' || coalesce(s.source, chr(1) || 'null') || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT)
+      AS DOUBLE) / 4503599627370496 AS drawn
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (floor(rate) + CASE WHEN drawn < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM rates
+"""
+
+
 @query
 def op7_suffix_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
