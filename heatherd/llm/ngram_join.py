@@ -28,7 +28,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
@@ -42,6 +41,7 @@ PERCENT = 80
 GROUPS = 64  # coordinates of a point
 SLOTS, CHUNKS = 1 << 18, 32  # counters for the order of shingles, and the parts they travel in
 BLOCK = 2_000  # rows of one side of a bucket that one step compares
+SMALL = 256  # pairs of a block that are compared without a tree
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -177,34 +177,58 @@ class CountTree:
         return np.concatenate(found[0]), np.concatenate(found[1])
 
 
+def small_blocks(block: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of all pairs (query, indexed row) within each block; `block` is ascending."""
+    query, index = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    blocks = block[query]
+    first = np.searchsorted(block[index], blocks, side="left")
+    count = np.searchsorted(block[index], blocks, side="right") - first
+    left = np.repeat(query, count)
+    nth = np.arange(len(left)) - np.repeat(np.cumsum(count) - count, count)
+    return left, index[np.repeat(first, count) + nth]
+
+
 def compare_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within each block (token, i, j) that the bound leaves.
+    """Pairs of different components within each block (token, i, j).
 
-    The rows arrive sorted by block; `side` 0 holds the queries, `side` 1 the indexed rows.
+    The rows arrive sorted by block; `side` 0 holds the queries, `side` 1 the indexed rows. A block
+    with points goes through the tree; of a small one all pairs of possible sizes are returned.
     """
-    def search(rows: pa.Table) -> pa.RecordBatch:
-        side, doc, label = (rows.column(c).to_numpy() for c in ("side", "doc_id", "label"))
-        sizes, at = rows.column("n_shingles").to_numpy(), points(rows.column("point").combine_chunks())
-        query, index = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        if not len(query) or not len(index):
-            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, ["a", "b"])
-        left, right = CountTree(at[index], sizes[index]).search(at[query], sizes[query], percent)
-        left, right = query[left], index[right]
-        apart = label[left] != label[right]
-        a, b = doc[left[apart]], doc[right[apart]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    held: pa.Table | None = None
+    def settle(rows: pa.Table) -> pa.RecordBatch:
+        side, doc, label, sizes = (rows.column(c).to_numpy() for c in ("side", "doc_id", "label", "n_shingles"))
+        keys = [rows.column(c).to_numpy() for c in ("token", "i", "j")]
+        new = np.append(True, np.any([key[1:] != key[:-1] for key in keys], axis=0))
+        block = np.cumsum(new)
+        large = rows.column("point").is_valid().to_numpy()
+        found = []
+        small = np.flatnonzero(~large)
+        if len(small):
+            left, right = small_blocks(block[small], side[small])
+            found.append((small[left], small[right]))
+        for number in np.unique(block[large]):
+            start, stop = np.searchsorted(block, [number, number + 1])
+            at = points(rows.column("point").slice(start, stop - start).combine_chunks())
+            query, index = (start + np.flatnonzero(side[start:stop] == k) for k in (0, 1))
+            if len(query) and len(index):
+                left, right = CountTree(at[index - start], sizes[index]).search(at[query - start], sizes[query], percent)
+                found.append((query[left], index[right]))
+        left, right = (np.concatenate([pair[k] for pair in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+        a, b = sizes[left], sizes[right]
+        near = (label[left] != label[right]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+        a, b = doc[left[near]], doc[right[near]]
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        keys = pd.MultiIndex.from_arrays([held.column(c).to_numpy() for c in ("token", "i", "j")])
-        code = pd.factorize(keys)[0]
-        cuts = [0, *(np.flatnonzero(np.diff(code)) + 1)]
-        for start, stop in zip(cuts, cuts[1:]):
-            yield search(held.slice(start, stop - start))
-        held = held.slice(cuts[-1])
-    if held is not None and held.num_rows:
-        yield search(held)
+        rows = pa.Table.from_batches([*held, batch])
+        keys = [rows.column(c).to_numpy() for c in ("token", "i", "j")]
+        cut = int(np.flatnonzero(np.append(True, np.any([key[1:] != key[:-1] for key in keys], axis=0)))[-1])
+        if cut:  # the last block may go on
+            yield settle(rows.slice(0, cut))
+        held = rows.slice(cut).to_batches()
+    if held:
+        yield settle(pa.Table.from_batches(held))
 
 
 def verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -264,6 +288,7 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
         hits = tokens.join(counted.where("low <> high").select("token"), "token")
         hits = hits.join(copies.toDF("doc_id", "rep"), "doc_id", "left").select("token", F.coalesce("rep", "doc_id").alias("doc_id")).distinct()
         hits = scratch.write(hits, "hits")
+        scratch.drop("prefixes")
         pivots = hits.groupBy("token").agg(F.min("doc_id").alias("pivot"))
         stars = hits.join(pivots, "token").where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
         stars = scratch.write(stars, "stars")
@@ -296,14 +321,19 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
         place = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
         queries = mixed.where("odd").withColumn("i", place("cells_i")).withColumn("j", every("cells_j")).withColumn("side", F.lit(0))
         indexed = mixed.withColumn("j", place("cells_j")).withColumn("i", every("cells_i")).withColumn("side", F.lit(1))
-        columns = ["token", "i", "j", "side", "doc_id", "label"]
-        blocks = queries.select(columns).union(indexed.select(columns)).join(reps, "doc_id")
+        columns = ["token", "i", "j", "side", "doc_id", "label", (F.col("n") * F.col("n_odd") > SMALL).alias("large")]
+        blocks = scratch.write(queries.select(columns).union(indexed.select(columns)), "blocks")
+        large = blocks.where("large").join(reps, "doc_id")
+        small = blocks.where("not large").join(reps.drop("point"), "doc_id").withColumn("point", F.lit(None).cast("binary"))
+        blocks = large.union(small.select(large.columns))
         pairs = (
             blocks.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
             .mapInArrow(lambda batches: compare_blocks(batches, percent), "a long, b long").distinct()
             .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
         )
-        cross_links = links(scratch.write(pairs, "pairs"), "cross")
+        pairs = scratch.write(pairs, "pairs")
+        scratch.drop("blocks", "labelled", "hits")
+        cross_links = links(pairs, "cross")
 
         all_links = star_links.union(cross_links)
         # an id that stands in several rows joins the classes of all of them
@@ -314,7 +344,7 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
         result = rows.select("doc_id", "n_shingles").join(owned, "doc_id", "left").select(
             "doc_id", "n_shingles", F.coalesce("group", "doc_id").alias("component_id"))
         result = scratch.write(result, "result")
-        scratch.drop("described", "prefixes", "hits", "labelled", "sets", "classes", "members", "stars", "pairs")
+        scratch.drop("described", "sets", "classes", "members", "stars", "pairs")
         return result
 
 
