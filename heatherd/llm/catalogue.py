@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heatherd.llm import mixing, ngram_join, quality, suffix_dedup
+from heatherd.llm import mixing, ngram_join, packing, quality, suffix_dedup, token_files
 from heatherd.session import ship_by_value
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,11 @@ FROM documents LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) A
 """
 
 
+@query
+def op3_orc_tokens(spark, sf_dir):
+    return token_files.tokenize_to_files(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_source_mix(spark, sf_dir):
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -98,4 +103,9 @@ def op8_repetition_coverage(spark, sf_dir):
     return quality.quality_rules(docs).drop("text", "dup_gram_chars")
 
 
+@query
+def op10_tiered_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 ship_by_value(__name__)

@@ -9,7 +9,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from heatherd.session import ship_by_value
 
@@ -17,6 +17,9 @@ from heatherd.session import ship_by_value
 # text is a step of its own, so texts are never cut.
 SLICE_BYTES = 1 << 20
 
+# Ranges of a running total, and the rows of one below the largest number of ranges.
+RANGES, RANGE_ROWS = 4_096, 5_000
+
 # Shuffle files of a finished job are removed at once instead of when the driver collects
 # garbage. Batches sent to Python are bounded by bytes as well as by rows.
 SETTINGS = {
@@ -116,29 +119,34 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
-def exclusive_total(df: DataFrame, order: list[str], value: str, alias: str, buckets: int) -> DataFrame:
+def exclusive_total(df: DataFrame, light: DataFrame, order: list[str], value: str, alias: str, rows: int) -> DataFrame:
     """Adds `alias`: the sum of `value` over all rows before, in ascending `order`.
 
-    The first order column must be numeric. Its approximate quantiles cut the rows into
-    `buckets` ranges; sums of earlier ranges plus a window inside the range give the total,
-    so no task sees all rows. Only one row per range meets in a task.
+    The first order column must be a number. Its approximate quantiles, taken from `light` (the
+    same rows, cheap to compute), cut the rows into ranges; sums of earlier ranges and a window
+    inside the range give the total, so no task sees all rows. One sum per range (at most
+    `RANGES`) meets in one task.
     """
-    first = order[0]
-    cuts = df.approxQuantile(first, [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)) if buckets > 1 else []
-    cuts = sorted(set(cuts))
-    bucket: Column = F.lit(0)
-    if cuts:
-        # position among the cuts; nulls come first, as in Spark's ascending order
-        bucket = F.when(F.col(first).isNull(), -1).otherwise(
-            F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(first)))
-        )
-    df = df.withColumn("_range", bucket)
-    sums = df.groupBy("_range").agg(F.sum(value).alias("_sum"))
+    first, count = order[0], max(1, min(RANGES, -(-rows // RANGE_ROWS)))
+    cuts = light.approxQuantile(first, [i / count for i in range(1, count)], 1 / (4 * count)) if count > 1 else []
+    cuts = np.array(sorted(set(cuts)))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(first).to_numpy(zero_copy_only=False)  # a null becomes nan, and the last range
+            spot = np.searchsorted(cuts, keys, side="right")
+            spot = np.where(batch.column(first).is_null().to_numpy(zero_copy_only=False), -1, spot)
+            yield batch.append_column("_range", pa.array(spot, pa.int64()))
+
+    def placed(frame: DataFrame) -> DataFrame:
+        return frame.mapInArrow(place, frame.withColumn("_range", F.lit(0).cast("long")).schema)
+
+    sums = placed(light.select(first, value)).groupBy("_range").agg(F.sum(value).alias("_sum"))
     before = sums.select("_range", F.coalesce(F.sum("_sum").over(
         Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        df.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        placed(df).withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
         .join(F.broadcast(before), "_range")
         .withColumn(alias, F.col("_before") + F.col("_inside"))
         .drop("_range", "_before", "_inside")
