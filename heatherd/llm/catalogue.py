@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heatherd.llm import mixing, ngram_join, packing, quality, suffix_dedup, token_files
+from heatherd.llm import mixing, ngram_join, packing, quality, revisits, suffix_dedup, token_counts, token_files
 from heatherd.session import ship_by_value
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,50 @@ def op3_orc_tokens(spark, sf_dir):
     return token_files.tokenize_to_files(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_revisits(spark, sf_dir):
+    records = revisits.records_from_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return revisits.resolve_revisits(records).select(
+        "record_id", "canonical", F.col("at").alias("seen_at"), "response_id", "response_at", "outcome", F.size("headers").alias("n_headers"),
+        F.col("headers")["expires"].alias("expires"), F.col("headers")["content-type"].alias("content_type"),
+        F.sha2("body", 256).alias("body_sha256"), F.length("body").cast("long").alias("body_chars"))
+
+
+ORACLE["op5_revisits"] = r"""
+WITH timed AS (
+  SELECT *, 1700000000 + (page_id * 7919) % 2592000 AS seen_at, '"' || substr(md5(html), 1, 16) || '"' AS tag,
+    regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM pages
+), parts AS (
+  SELECT *, regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), ':(80|443)$', '') AS host,
+    regexp_extract(rest, '^[^/?]*([^?]*)', 1) AS path,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'), lambda x: x <> '')), '&') AS query FROM timed
+), named AS (
+  SELECT page_id, seen_at, tag, html, page_id % 7 = 0 AS no_tag,
+    host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN query = '' THEN '' ELSE '?' || query END AS canonical FROM parts
+), seen AS (
+  SELECT page_id * 3 + k AS record_id, canonical, seen_at + k * 3600 * (1 + page_id % 48) AS seen_at,
+    CASE WHEN no_tag THEN NULL WHEN page_id % 5 = 0 AND k = 2 THEN '"new"' ELSE tag END AS tag,
+    CASE WHEN page_id % 5 = 0 AND k = 2 THEN 'later' ELSE 'day ' || (page_id % 400) END AS modified
+  FROM named, (VALUES (1), (2)) AS twice(k)
+), ranked AS (
+  SELECT s.*, n.page_id, n.seen_at AS response_at, n.html, CASE WHEN NOT n.no_tag THEN n.tag END AS old_tag, 'day ' || (n.page_id % 400) AS old_modified,
+    row_number() OVER (PARTITION BY s.record_id ORDER BY n.seen_at DESC NULLS LAST, n.page_id DESC) AS rank
+  FROM seen s LEFT JOIN named n ON s.canonical = n.canonical AND n.seen_at < s.seen_at
+), judged AS (
+  SELECT *, CASE WHEN page_id IS NULL THEN 'no_response'
+    WHEN old_tag IS NOT NULL AND tag IS NOT NULL THEN CASE WHEN old_tag = tag THEN 'resolved' ELSE 'changed' END
+    WHEN old_modified = modified THEN 'resolved' ELSE 'changed' END AS outcome
+  FROM ranked WHERE rank = 1
+)
+SELECT record_id, canonical, CAST(seen_at AS BIGINT) AS seen_at, page_id * 3 AS response_id, CAST(response_at AS BIGINT) AS response_at, outcome,
+  CASE WHEN outcome = 'resolved' THEN 4 END AS n_headers, CASE WHEN outcome = 'resolved' THEN 'soon' END AS expires,
+  CASE WHEN outcome = 'resolved' THEN 'text/html' END AS content_type,
+  CASE WHEN outcome = 'resolved' THEN sha256(html) END AS body_sha256,
+  CASE WHEN outcome = 'resolved' THEN CAST(length(html) AS BIGINT) END AS body_chars
+FROM judged
+"""
+
+
 @query
 def op6_source_mix(spark, sf_dir):
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -103,6 +147,11 @@ def op8_repetition_coverage(spark, sf_dir):
     return quality.quality_rules(docs).drop("text", "dup_gram_chars")
 
 
+@query
+def op9_longest_match_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 @query
 def op10_tiered_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
