@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heatherd.llm import mixing, ngram_join, packing, quality, revisits, suffix_dedup, token_counts, token_files
+from heatherd.llm import mixing, ngram_join, packing, projections, quality, revisits, suffix_dedup, token_counts, token_files
 from heatherd.session import ship_by_value
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,11 @@ def op3_orc_tokens(spark, sf_dir):
     return token_files.tokenize_to_files(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_counted_projections(spark, sf_dir):
+    return projections.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_revisits(spark, sf_dir):
     records = revisits.records_from_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
