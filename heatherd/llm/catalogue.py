@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heatherd.llm import mixing, ngram_join, packing, projections, quality, revisits, suffix_dedup, token_counts, token_files
+from heatherd.llm import mixing, ngram_join, packing, projections, quality, revisits, suffix_dedup, token_counts, token_files, wrappers
 from heatherd.session import ship_by_value
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_wrapper_text(spark, sf_dir):
+    return wrappers.extract_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_count_vector_join(spark, sf_dir):
     return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))

@@ -39,7 +39,8 @@ from heatherd.session import ship_by_value
 WIDTH = 5
 PERCENT = 80
 GROUPS = 64  # coordinates of a point
-SLOTS, CHUNKS = 1 << 18, 32  # counters for the order of shingles, and the parts they travel in
+SLOT_BITS, CHUNKS = 22, 64  # counters for the order of shingles (a power of two), and the parts they travel in
+SLOTS = 1 << SLOT_BITS
 BLOCK = 2_000  # rows of one side of a bucket that one step compares
 SMALL = 256  # pairs of a block that are compared without a tree
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -78,14 +79,14 @@ def points(column: pa.Array) -> np.ndarray:
 
 def describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """A row per document (id, size, fingerprint, point), then the partition's counters in parts."""
-    make, counters = Shingler(width), np.zeros(SLOTS, np.int64)
+    make, counters = Shingler(width), np.zeros(SLOTS, np.uint32)
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fingerprint", pa.binary()),
                         ("point", pa.binary()), ("chunk", pa.int32()), ("counters", pa.binary())])
     for batch in slices(batches, "text"):
         sizes, prints, places = [], [], []
         for text in texts_of(batch, "text"):
             found = make(text)
-            np.add.at(counters, (found >> np.uint64(46)).astype(np.int64), 1)
+            np.add.at(counters, (found >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
             sizes.append(len(found))
             prints.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
             places.append(point(found))
@@ -98,20 +99,30 @@ def describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
     nulls = pa.nulls(len(used))
     yield pa.RecordBatch.from_arrays(
         [nulls.cast(pa.int64()), nulls.cast(pa.int64()), nulls.cast(pa.binary()), nulls.cast(pa.binary()),
-         pa.array(used, pa.int32()), pa.array([parts[i].astype("<i8").tobytes() for i in used], pa.binary())], schema=schema)
+         pa.array(used, pa.int32()), pa.array([pack_counters(parts[i]) for i in used], pa.binary())], schema=schema)
+
+
+def pack_counters(part: np.ndarray) -> bytes:
+    """Counters in as few bytes each as the largest needs; the width follows from the length."""
+    width = next(w for w in (1, 2, 4, 8) if part.max(initial=0) < 1 << 8 * w)
+    return part.astype(f"<u{width}").tobytes()
+
+
+def unpack_counters(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // (SLOTS // CHUNKS)}").astype(np.int64)
 
 
 def add_counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, part in zip(batch.column("chunk").to_pylist(), batch.column("counters").to_pylist()):
-            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(part, "<i8")
+            sums[chunk] = sums.get(chunk, 0) + unpack_counters(part)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(list(sums), pa.int32()), pa.array([s.astype("<i8").tobytes() for s in sums.values()], pa.binary())],
+        [pa.array(list(sums), pa.int32()), pa.array([pack_counters(s) for s in sums.values()], pa.binary())],
         ["chunk", "counters"])
 
 
-def prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, counters: np.ndarray) -> Iterator[pa.RecordBatch]:
+def prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, ranks: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(token, doc_id) for the prefix of every set; equal sets of one partition appear once."""
     make, seen = Shingler(width), set()
     for batch in slices(batches, "text"):
@@ -122,7 +133,7 @@ def prefixes(batches: Iterator[pa.RecordBatch], width: int, percent: int, counte
             if doc is None or not len(found) or mark in seen:
                 continue
             seen.add(mark)
-            order = np.lexsort((found, counters[(found >> np.uint64(46)).astype(np.int64)]))
+            order = np.lexsort((found, ranks[(found >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]))
             first = found[order[: len(found) + percent * len(found) // -100 + 1]]
             tokens.append(first.view(np.int64))
             docs.append(np.full(len(first), doc, np.int64))
@@ -270,8 +281,10 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
         )
         counters = np.zeros((CHUNKS, SLOTS // CHUNKS), np.int64)
         for part in parts:
-            counters[part.chunk] = np.frombuffer(part.counters, "<i8")
-        counters = counters.ravel()
+            counters[part.chunk] = unpack_counters(part.counters)
+        # only the order of the counts matters, so it fits 32 bits at any scale
+        ranks = np.unique(counters.ravel(), return_inverse=True)[1].astype(np.uint32)
+        shared_ranks = spark.sparkContext.broadcast(ranks)
         rows = described.where("chunk is null").drop("chunk", "counters")
 
         # one member for all copies of a set, or of an id
@@ -283,8 +296,8 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
         reps = members.where("doc_id = rep").select("doc_id", "n_shingles", "point")
 
         tokens = scratch.write(docs.mapInArrow(
-            lambda batches: prefixes(batches, width, percent, counters), "token long, doc_id long"), "prefixes")
-        counted = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+            lambda batches: prefixes(batches, width, percent, shared_ranks.value), "token long, doc_id long"), "prefixes")
+        counted = tokens.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         hits = tokens.join(counted.where("low <> high").select("token"), "token")
         hits = hits.join(copies.toDF("doc_id", "rep"), "doc_id", "left").select("token", F.coalesce("rep", "doc_id").alias("doc_id")).distinct()
         hits = scratch.write(hits, "hits")
