@@ -116,13 +116,13 @@ def to_cells(batches: Iterator[pa.RecordBatch], how: Plan) -> Iterator[pa.Record
             keys = how.cells(unit_rows(batch.column("vector").to_pylist()))
             for t in range(how.tables):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), t, np.int32)), pa.array(keys[:, t]), *(batch.column(c) for c in ("vec_id", "weight", "vector"))],
-                    ["t", "cell", "vec_id", "weight", "vector"])
+                    [pa.array(np.full(len(keys), t, np.int32)), pa.array(keys[:, t]), *(batch.column(c) for c in ("vec_id", "mark", "weight", "vector"))],
+                    ["t", "cell", "vec_id", "mark", "weight", "vector"])
 
 
 def compare(rows: pa.Table, how: Plan) -> pa.RecordBatch:
-    """Links of one block: (vec_id, links, root), the root a vector of the block it is joined with."""
-    ids, weight, place = (rows.column(c).to_numpy() for c in ("vec_id", "weight", "place"))
+    """Links of one block: (vec_id, mark, links, root), the root a vector of the block it is joined with."""
+    ids, mark, weight, place = (rows.column(c).to_numpy() for c in ("vec_id", "mark", "weight", "place"))
     t, i, j = (rows.column(c)[0].as_py() for c in ("t", "i", "j"))
     unit = unit_rows(rows.column("vector").to_pylist())
     at = unit @ how.lines(unit.shape[1])[0]
@@ -156,7 +156,8 @@ def compare(rows: pa.Table, how: Plan) -> pa.RecordBatch:
         root = root[root]
     found = links > 0
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids[found]), pa.array(links[found].astype(np.int64)), pa.array(ids[root[found]])], ["vec_id", "links", "root"])
+        [pa.array(ids[found]), pa.array(mark[found]), pa.array(links[found].astype(np.int64)), pa.array(ids[root[found]])],
+        ["vec_id", "mark", "links", "root"])
 
 
 def compare_blocks(batches: Iterator[pa.RecordBatch], how: Plan) -> Iterator[pa.RecordBatch]:
@@ -181,26 +182,27 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         rows = scratch.write(
             vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(valid_vectors, "vec_id long, vector binary"), "rows")
         usable = rows.where("vec_id is not null and vector is not null")
-        reps = scratch.write(usable.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight")), "reps")
+        reps = scratch.write(usable.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight"))
+            .withColumn("mark", F.xxhash64("vector")), "reps")  # tells vectors of one id apart
         how = plan(reps.count(), threshold)
-        cells = reps.mapInArrow(lambda batches: to_cells(batches, how), "t int, cell long, vec_id long, weight long, vector binary")
+        cells = reps.mapInArrow(lambda batches: to_cells(batches, how), "t int, cell long, vec_id long, mark long, weight long, vector binary")
         full = scratch.write(cells.groupBy("t", "cell").count().where("count > 1"), "full")
         parts = F.ceil(F.col("count") / BLOCK).cast("int")
         placed = cells.join(full, ["t", "cell"]).withColumn("parts", parts).withColumn(
             "place", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
         pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-            "t", "cell", "vec_id", "weight", "vector", "place", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"))
+            "t", "cell", "vec_id", "mark", "weight", "vector", "place", F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"))
         found = scratch.write(
             pairs.repartition("t", "cell", "i", "j").sortWithinPartitions("t", "cell", "i", "j")
-            .mapInArrow(lambda batches: compare_blocks(batches, how), "vec_id long, links long, root long"), "found")
+            .mapInArrow(lambda batches: compare_blocks(batches, how), "vec_id long, mark long, links long, root long"), "found")
 
-        owners = rows.join(reps.toDF("vector", "rep", "weight"), "vector").select("vec_id", "rep", "weight")
+        owners = rows.join(reps.select("vector", F.col("vec_id").alias("rep")), "vector").select("vec_id", "rep")
         owners = scratch.write(owners.where("vec_id is not null"), "owners")
         same = owners.where("vec_id <> rep").select(F.col("rep").alias("a"), F.col("vec_id").alias("b"))
         edges = found.where("vec_id <> root").select(F.col("root").alias("a"), F.col("vec_id").alias("b")).union(same)
         labels = components(edges, scratch, "all")
-        links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
-        counted = reps.join(links, "vec_id", "left").select("vector", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"))
+        links = found.groupBy("vec_id", "mark").agg(F.sum("links").alias("links"))
+        counted = reps.join(links, ["vec_id", "mark"], "left").select("vector", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"))
         result = (
             rows.join(counted, "vector", "left").join(labels.toDF("vec_id", "component"), "vec_id", "left")
             .select("vec_id", F.when(F.col("vec_id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
