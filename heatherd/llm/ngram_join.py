@@ -13,8 +13,8 @@ choose the order, so they cannot lose a link. Shared passages thus make no bucke
 make up the document.
 
 Inside a bucket not all pairs are built. First every member is compared with the bucket's
-smallest one. Then only members of different components are compared, through the tree, in
-blocks of at most `BLOCK` rows. No link between different components is lost, and copies of one
+smallest one, then members of other components with a random one. What is then still apart is
+compared through the tree, in blocks of at most `BLOCK` rows. No link between different components is lost, and copies of one
 set are one member throughout.
 
 Defined cases: a document without words or text has an empty set and links with nothing; one
@@ -43,6 +43,7 @@ SLOT_BITS, CHUNKS = 22, 64  # counters for the order of shingles (a power of two
 SLOTS = 1 << SLOT_BITS
 BLOCK = 2_000  # rows of one side of a bucket that one step compares
 SMALL = 256  # pairs of a block that are compared without a tree
+PAIRS = 50_000  # pairs that are bounded at a time
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,11 +71,26 @@ class Shingler:
 
 
 def point(found: np.ndarray) -> bytes:
-    return np.bincount((found & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes()
+    return packed(np.bincount((found & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS))
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs; the width follows from the length."""
+    width = next(w for w in (1, 2, 4, 8) if counts.max(initial=0) < 1 << 8 * w)
+    return counts.astype(f"<u{width}").tobytes()
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // size}").astype(np.int64)
 
 
 def points(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
+    rows, widths = column.to_pylist(), pa.compute.binary_length(column).to_numpy(zero_copy_only=False) // GROUPS
+    out = np.empty((len(rows), GROUPS), np.int64)
+    for width in np.unique(widths):
+        some = np.flatnonzero(widths == width)
+        out[some] = np.frombuffer(b"".join([rows[i] for i in some]), f"<u{width}").reshape(-1, GROUPS)
+    return out
 
 
 def describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -99,26 +115,16 @@ def describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
     nulls = pa.nulls(len(used))
     yield pa.RecordBatch.from_arrays(
         [nulls.cast(pa.int64()), nulls.cast(pa.int64()), nulls.cast(pa.binary()), nulls.cast(pa.binary()),
-         pa.array(used, pa.int32()), pa.array([pack_counters(parts[i]) for i in used], pa.binary())], schema=schema)
-
-
-def pack_counters(part: np.ndarray) -> bytes:
-    """Counters in as few bytes each as the largest needs; the width follows from the length."""
-    width = next(w for w in (1, 2, 4, 8) if part.max(initial=0) < 1 << 8 * w)
-    return part.astype(f"<u{width}").tobytes()
-
-
-def unpack_counters(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{len(data) // (SLOTS // CHUNKS)}").astype(np.int64)
+         pa.array(used, pa.int32()), pa.array([packed(parts[i]) for i in used], pa.binary())], schema=schema)
 
 
 def add_counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, part in zip(batch.column("chunk").to_pylist(), batch.column("counters").to_pylist()):
-            sums[chunk] = sums.get(chunk, 0) + unpack_counters(part)
+            sums[chunk] = sums.get(chunk, 0) + unpacked(part, SLOTS // CHUNKS)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(list(sums), pa.int32()), pa.array([pack_counters(s) for s in sums.values()], pa.binary())],
+        [pa.array(list(sums), pa.int32()), pa.array([packed(s) for s in sums.values()], pa.binary())],
         ["chunk", "counters"])
 
 
@@ -203,30 +209,32 @@ def compare_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
     """Pairs of different components within each block (token, i, j).
 
     The rows arrive sorted by block; `side` 0 holds the queries, `side` 1 the indexed rows. A block
-    with points goes through the tree; of a small one all pairs of possible sizes are returned.
+    of more than `SMALL` pairs goes through the tree; pairs of small ones are bounded directly.
     """
     def settle(rows: pa.Table) -> pa.RecordBatch:
         side, doc, label, sizes = (rows.column(c).to_numpy() for c in ("side", "doc_id", "label", "n_shingles"))
         keys = [rows.column(c).to_numpy() for c in ("token", "i", "j")]
         new = np.append(True, np.any([key[1:] != key[:-1] for key in keys], axis=0))
         block = np.cumsum(new)
-        large = rows.column("point").is_valid().to_numpy()
-        found = []
-        small = np.flatnonzero(~large)
-        if len(small):
-            left, right = small_blocks(block[small], side[small])
-            found.append((small[left], small[right]))
-        for number in np.unique(block[large]):
+        at = points(rows.column("point").combine_chunks())
+        sides = [np.bincount(block[side == k], minlength=block[-1] + 1) for k in (0, 1)]
+        large = sides[0] * sides[1] > SMALL
+        small, found = np.flatnonzero(~large[block]), []
+        left, right = small_blocks(block[small], side[small])
+        for begin in range(0, len(left), PAIRS):
+            a, b = small[left[begin : begin + PAIRS]], small[right[begin : begin + PAIRS]]
+            some = (label[a] != label[b]) & (100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b]))
+            a, b = a[some], b[some]
+            near = possible(np.minimum(at[a], at[b]).sum(axis=1), sizes[a] + sizes[b], percent)
+            found.append((a[near], b[near]))
+        for number in np.flatnonzero(large):
             start, stop = np.searchsorted(block, [number, number + 1])
-            at = points(rows.column("point").slice(start, stop - start).combine_chunks())
             query, index = (start + np.flatnonzero(side[start:stop] == k) for k in (0, 1))
-            if len(query) and len(index):
-                left, right = CountTree(at[index - start], sizes[index]).search(at[query - start], sizes[query], percent)
-                found.append((query[left], index[right]))
+            left, right = CountTree(at[index], sizes[index]).search(at[query], sizes[query], percent)
+            found.append((query[left], index[right]))
         left, right = (np.concatenate([pair[k] for pair in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-        a, b = sizes[left], sizes[right]
-        near = (label[left] != label[right]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
-        a, b = doc[left[near]], doc[right[near]]
+        apart = label[left] != label[right]
+        a, b = doc[left[apart]], doc[right[apart]]
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
@@ -281,7 +289,7 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
         )
         counters = np.zeros((CHUNKS, SLOTS // CHUNKS), np.int64)
         for part in parts:
-            counters[part.chunk] = unpack_counters(part.counters)
+            counters[part.chunk] = unpacked(part.counters, SLOTS // CHUNKS)
         # only the order of the counts matters, so it fits 32 bits at any scale
         ranks = np.unique(counters.ravel(), return_inverse=True)[1].astype(np.uint32)
         shared_ranks = spark.sparkContext.broadcast(ranks)
@@ -298,10 +306,11 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
         tokens = scratch.write(docs.mapInArrow(
             lambda batches: prefixes(batches, width, percent, shared_ranks.value), "token long, doc_id long"), "prefixes")
         counted = tokens.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-        hits = tokens.join(counted.where("low <> high").select("token"), "token")
+        common = scratch.write(counted.where("low <> high").select("token"), "common")
+        hits = tokens.join(common, "token")
         hits = hits.join(copies.toDF("doc_id", "rep"), "doc_id", "left").select("token", F.coalesce("rep", "doc_id").alias("doc_id")).distinct()
         hits = scratch.write(hits, "hits")
-        scratch.drop("prefixes")
+        scratch.drop("prefixes", "common")
         pivots = hits.groupBy("token").agg(F.min("doc_id").alias("pivot"))
         stars = hits.join(pivots, "token").where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
         stars = scratch.write(stars, "stars")
@@ -319,11 +328,24 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
             both = near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
             return scratch.write(both.mapInArrow(lambda batches: verify(batches, percent), "a long, b long"), f"{name}-links")
 
-        star_links = links(stars, "star")
-        labels = components(star_links, scratch, "star")
+        def labelled_hits(labels: DataFrame, name: str) -> DataFrame:
+            joined = hits.join(labels.toDF("doc_id", "label"), "doc_id", "left")
+            return scratch.write(joined.withColumn("label", F.coalesce("label", "doc_id")), name)
 
-        labelled = hits.join(labels.toDF("doc_id", "label"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-        labelled = scratch.write(labelled, "labelled")
+        star_links = links(stars, "star")
+        labelled = labelled_hits(components(star_links, scratch, "star"), "starred")
+        # a second round with a random member of every bucket joins most of what is left of dense groups
+        pick = F.min(F.struct(F.xxhash64("doc_id", "token").alias("hash"), F.col("doc_id").alias("pick"), F.col("label").alias("main")))
+        picks = labelled.groupBy("token").agg(pick.alias("at")).select("token", "at.pick", "at.main")
+        again = labelled.join(picks, "token").where("label <> main").select(
+            F.least("doc_id", "pick").alias("a"), F.greatest("doc_id", "pick").alias("b")).distinct()
+        tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        picked = scratch.write(again.join(tested, ["a", "b"], "left_anti"), "picked")
+        star_links = star_links.union(links(picked, "picked"))
+        tested = tested.union(picked)
+        scratch.drop("starred")
+
+        labelled = labelled_hits(components(star_links, scratch, "picked"), "labelled")
         main = labelled.groupBy("token").agg(
             F.min("label").alias("main"), F.max("label").alias("high"), F.count("*").alias("n")).where("main <> high")
         mixed = labelled.join(main, "token").withColumn("odd", F.col("label") != F.col("main"))
@@ -334,15 +356,12 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
         place = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
         queries = mixed.where("odd").withColumn("i", place("cells_i")).withColumn("j", every("cells_j")).withColumn("side", F.lit(0))
         indexed = mixed.withColumn("j", place("cells_j")).withColumn("i", every("cells_i")).withColumn("side", F.lit(1))
-        columns = ["token", "i", "j", "side", "doc_id", "label", (F.col("n") * F.col("n_odd") > SMALL).alias("large")]
-        blocks = scratch.write(queries.select(columns).union(indexed.select(columns)), "blocks")
-        large = blocks.where("large").join(reps, "doc_id")
-        small = blocks.where("not large").join(reps.drop("point"), "doc_id").withColumn("point", F.lit(None).cast("binary"))
-        blocks = large.union(small.select(large.columns))
+        columns = ["token", "i", "j", "side", "doc_id", "label"]
+        blocks = scratch.write(queries.select(columns).union(indexed.select(columns)), "blocks").join(reps, "doc_id")
         pairs = (
             blocks.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
             .mapInArrow(lambda batches: compare_blocks(batches, percent), "a long, b long").distinct()
-            .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+            .join(tested, ["a", "b"], "left_anti")
         )
         pairs = scratch.write(pairs, "pairs")
         scratch.drop("blocks", "labelled", "hits")
@@ -350,14 +369,14 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
 
         all_links = star_links.union(cross_links)
         # an id that stands in several rows joins the classes of all of them
-        again = members.join(shared, "doc_id", "left_semi").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-        labels = components(all_links.union(again), scratch, "all")
+        repeated = members.join(shared, "doc_id", "left_semi").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+        labels = components(all_links.union(repeated), scratch, "all")
         owned = members.groupBy("doc_id").agg(F.min("rep").alias("rep"))
         owned = owned.join(labels.toDF("rep", "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("group"))
         result = rows.select("doc_id", "n_shingles").join(owned, "doc_id", "left").select(
             "doc_id", "n_shingles", F.coalesce("group", "doc_id").alias("component_id"))
         result = scratch.write(result, "result")
-        scratch.drop("described", "sets", "classes", "members", "stars", "pairs")
+        scratch.drop("described", "sets", "classes", "members", "stars", "picked", "pairs")
         return result
 
 

@@ -38,7 +38,7 @@ from heatherd.session import ship_by_value
 LENGTH = 50  # bytes of a string
 GRAM = 16  # bytes of an anchor
 PART = 1 << 20
-BLOCK = 512  # different surroundings of one anchor that are sorted together
+BLOCK = 2_048  # different surroundings of one anchor that are sorted together
 POSITION_BITS = 28
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -185,8 +185,21 @@ def sort_suffixes(data: np.ndarray, hashes: Hashes, at: np.ndarray, group: np.nd
 
 
 def repeated(data: np.ndarray, at: np.ndarray, group: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """Which of the strings also occur, in their group, in a document with a smaller id."""
-    hashes = Hashes(data)
+    """Which of the strings also occur, in their group, in a document with a smaller id.
+
+    A string whose hash is alone in its group equals no other, so only the rest is sorted.
+    """
+    hashes, out = Hashes(data), np.zeros(len(at), bool)
+    whole = mix(hashes.of(at, LENGTH) + mix(group))
+    order = np.argsort(whole)
+    alike = whole[order[1:]] == whole[order[:-1]]
+    several = np.sort(order[np.append(False, alike) | np.append(alike, False)])
+    if len(several):
+        out[several] = repeated_among(data, hashes, at[several], group[several], docs[several])
+    return out
+
+
+def repeated_among(data: np.ndarray, hashes: Hashes, at: np.ndarray, group: np.ndarray, docs: np.ndarray) -> np.ndarray:
     order = sort_suffixes(data, hashes, at, group)
     x, y = at[order[:-1]], at[order[1:]]
     same = group[order[:-1]] == group[order[1:]]
@@ -299,7 +312,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         hits = scratch.write(found.join(shared, "token"), "hits")
         around = scratch.write(hits.groupBy("token", "around").agg(F.min("doc_id").alias("owner")), "around")
         kinds = scratch.write(around.groupBy("token").count().where("count > 1").select("token", (F.col("count") > BLOCK).alias("hot")), "kinds")
-        owned = hits.join(around, ["token", "around"])
+        owned = scratch.write(hits.join(around, ["token", "around"]).select("token", "doc_id", "place", "owner"), "owned")
+        scratch.drop("shared", "hits", "around")
         begin = F.shiftright("place", 12).bitwiseAND(F.lit((1 << 36) - 1)) - F.shiftright("place", 6).bitwiseAND(F.lit(63))
         inside = owned.where("doc_id > owner").select(
             "doc_id", F.shiftright("place", 48).alias("tag"), begin.alias("begin"),
@@ -307,12 +321,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         inside = scratch.write(inside, "inside")
         edges = owned.where("doc_id = owner").join(kinds, "token").select("token", "doc_id", "place", "hot")
         edges = scratch.write(edges, "edges")
+        scratch.drop("owned", "kinds")
         wanted = edges.groupBy("doc_id", F.shiftright("place", 48).alias("tag")).agg(
             F.collect_list(F.struct("token", "place", "hot")).alias("edges"))
         tagged = plain.withColumn("tag", F.crc32(F.col("text").cast("binary")).bitwiseAND(F.lit(TAG).cast("long")))
         cut = tagged.join(wanted, ["doc_id", "tag"]).select("doc_id", "text", "edges").mapInArrow(
             cut_edges, "token long, doc_id long, tag long, begin long, before long, hot boolean, bytes binary")
         cut = scratch.write(cut, "cut")
+        scratch.drop("edges")
         ranges = "doc_id long, tag long, begin long, end long"
         sorted_out = cut.where("not hot").repartition("token").sortWithinPartitions("token").mapInArrow(sort_edges, ranges)
         sorted_out = scratch.write(sorted_out, "sorted")
@@ -321,11 +337,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         strings = scratch.write(strings.select(
             "doc_id", "tag", (F.col("begin") + F.col("nth")).alias("begin"),
             F.substring("bytes", F.col("nth") + 1, F.lit(LENGTH)).alias("string")), "strings")
+        scratch.drop("cut")
         owners = scratch.write(strings.groupBy("string").agg(F.min("doc_id").alias("owner")), "owners")
         hot = strings.join(owners, "string").where("doc_id > owner").select(
             "doc_id", "tag", "begin", (F.col("begin") + LENGTH).alias("end"))
+        hot = scratch.write(hot, "hot")
+        scratch.drop("strings", "owners")
         gone = inside.union(sorted_out).union(hot).groupBy("doc_id", "tag").agg(
             F.collect_list(F.struct("begin", "end")).alias("_ranges"))
+        gone = scratch.write(gone, "gone")
+        scratch.drop("inside", "sorted", "hot")
         names = docs.columns
         whole = docs.withColumn("_tag", F.crc32(F.col("text").cast("binary")).bitwiseAND(F.lit(TAG).cast("long")))
         joined = whole.join(gone.toDF("_id", "_tag2", "_ranges"),
@@ -334,7 +355,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                              F.lit(None).cast("binary").alias("kept")).schema
         result = joined.select(*names, "_ranges").mapInArrow(lambda batches: cut_out(batches, "text", names), schema)
         result = scratch.write(result, "result")
-        scratch.drop("shared", "hits", "around", "kinds", "inside", "edges", "cut", "sorted", "strings", "owners")
+        scratch.drop("gone")
     return result
 
 

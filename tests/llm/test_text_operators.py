@@ -167,7 +167,7 @@ def plain_removal(rows, length=suffix_dedup.LENGTH):
     return Counter(out)
 
 
-@pytest.mark.parametrize("block, part", [(512, 1 << 20), (1, 300)])
+@pytest.mark.parametrize("block, part", [(2_048, 1 << 20), (1, 300)])
 def test_suffix_dedup_matches_all_strings(docs, corpus, monkeypatch, block, part):
     monkeypatch.setattr(suffix_dedup, "BLOCK", block)
     monkeypatch.setattr(suffix_dedup, "PART", part)
