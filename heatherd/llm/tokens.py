@@ -18,9 +18,11 @@ from heatherd.session import ship_by_value
 # White space and format characters beyond ASCII, on which regular expression engines differ, and
 # control characters that some count as white space: a text with one is encoded in one piece.
 UNSURE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
-# A word with the space before it, the white space before that, a last white space of another kind.
-SPACED = re.compile(r" ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]")
-WORD = re.compile(r"[^ \t-\r]+")
+# Letters up to a plain mark or white space, which every pre-tokenizer here takes as one piece; else
+# a word with the space before it, the white space before that, a last white space of another kind.
+LETTERS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?![^ \t-\r.,;:!?*#$%&])"
+SPACED = re.compile(rf" ?{LETTERS}| ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]")
+WORD = re.compile(rf"{LETTERS}|[^ \t-\r]+")
 LONG = 200  # characters; longer pieces are not remembered
 LIMIT = 400_000  # remembered pieces
 JOINT = 1_000  # pieces encoded side by side
@@ -77,13 +79,13 @@ class Encoder:
         for start in range(0, len(joint), JOINT):
             part = joint[start : start + JOINT]
             found = self.tokenizer.encode(gap.join([pieces[i] for i in part]), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
+            ids = np.array(found.ids, "<u4").tobytes()
             begins = np.array([offset[0] for offset in found.offsets], np.int64)
             sizes = np.array([len(pieces[i]) + len(gap) for i in part])
-            cuts = np.searchsorted(begins, np.cumsum(sizes)).tolist()
+            cuts = np.searchsorted(begins, np.cumsum(sizes)) * 4
             low = 0
-            for i, high in zip(part, cuts):
-                out[i] = ids[low:high].tobytes()
+            for i, high in zip(part, cuts.tolist()):
+                out[i] = ids[low:high]
                 low = high
         return out
 
