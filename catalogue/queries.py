@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from heatherd.functions import climate, payload, text
 from heatherd.functions.geometry import is_wkb, point_xy
@@ -113,7 +113,7 @@ def stress_class(spark, sf_dir):
 
 @query
 def snake_case(spark, sf_dir):
-    spelled = F.concat(F.lit("  Umidade (%) - Média "), F.upper("p_name"), F.lit(" / "), F.col("p_brand"), F.lit("; "), F.col("p_type"))
+    spelled = F.concat(F.lit("  Umidade (%) - Média "), F.upper("p_name"), F.lit(" / "), F.col("p_brand"), F.lit("; "), F.col("p_type"), F.lit(" Krakōw ﬁx Șibiu ½ 東京"))
     return table(spark, sf_dir, "part").select("p_partkey", text.snake_case(spelled).alias("nome"))
 
 
@@ -212,6 +212,25 @@ def day_composition(spark, sf_dir):
     return coverage.day_types(_daily(spark, sf_dir))
 
 
+@query
+def impute_network_resumed(spark, sf_dir):
+    """A first run on part of the grid and registry, then one on all: the same as one full run."""
+    whole, readings, registry = derived.grid(spark, sf_dir), derived.history(spark, sf_dir, late_start=True), _coordinates_table(spark, sf_dir)
+    options = {"staging": scratch_path(spark, "staging"), "batch_size": 3, "min_samples": MIN_SAMPLES, "station_bound": _bound(spark, sf_dir)}
+    first = registry.filter(F.col("cd_estacao") != "A001")
+    imputation.impute_all(whole.filter((F.col("data") < "1997-01-01") | (F.col("cd_estacao") < "A003")), readings, first, **options)
+    imputation.impute_all(whole, readings, first, years=(1995, 1996), **options)
+    return imputation.impute_all(whole, readings, registry, **options)
+
+
+@query
+def impute_codes(spark, sf_dir):
+    """Chosen stations, one of which never observed anything."""
+    codes = ["A001", "A004", f"A{_bound(spark, sf_dir) - 1:03d}"]
+    return imputation.impute_codes(
+        derived.grid(spark, sf_dir), derived.history(spark, sf_dir, late_start=True), codes, min_samples=MIN_SAMPLES)
+
+
 @query
 def impute_network(spark, sf_dir):
     registry = _coordinates_table(spark, sf_dir)
@@ -276,7 +295,7 @@ def class_flip(spark, sf_dir):
 def validate_sample(spark, sf_dir):
     scored = imputation.validate_sample(
         derived.grid(spark, sf_dir), derived.history(spark, sf_dir, late_start=True),
-        derived.grid(spark, sf_dir), TEST_YEARS, n=3, min_samples=MIN_SAMPLES,
+        derived.grid_stations(spark, sf_dir), TEST_YEARS, n=3, min_samples=MIN_SAMPLES,
     )
     return holdout.station_errors(scored)
 
@@ -306,6 +325,13 @@ def completeness(spark, sf_dir):
     )
 
 
+@query
+def excluded_stations(spark, sf_dir):
+    return coverage.excluded_stations(
+        stations.observed_only(_daily(spark, sf_dir), _bound(spark, sf_dir)), derived.station_registry(spark, sf_dir)
+    )
+
+
 @query
 def observations_per_station(spark, sf_dir):
     return stations.observations_per_station(_daily(spark, sf_dir))
@@ -534,15 +560,24 @@ def _grid_payloads(spark, sf_dir, key):
 @query
 def grid_hourly(spark, sf_dir):
     key = F.concat(F.replace("data", F.lit("-"), F.lit("")), F.lpad(F.col("hora").cast("string"), 2, "0"))
-    return grid.grid_hourly(_grid_payloads(spark, sf_dir, key), None)
+    return grid.grid_hourly(_grid_payloads(spark, sf_dir, key))
+
+
+@query
+def point_hourly(spark, sf_dir):
+    """Documents of points that are no station."""
+    key = F.concat(F.replace("data", F.lit("-"), F.lit("")), F.lpad(F.col("hora").cast("string"), 2, "0"))
+    points = _grid_payloads(spark, sf_dir, key).drop("cd_estacao")
+    return grid.grid_hourly(points, ["T2M", "RH2M"])
 
 
 @query
 def grid_daily(spark, sf_dir):
-    """Every hour of the grid as one more day of the month's document: keys of hour 0 are the dates."""
-    date_key = F.replace("data", F.lit("-"), F.lit(""))
-    key = F.when(F.col("hora") == 0, date_key).otherwise(F.concat(date_key, F.col("hora").cast("string")))
-    return grid.grid_daily(_grid_payloads(spark, sf_dir, key))
+    """Every hour of the grid as the day of its own year; on some days the key is no date."""
+    year = F.substring("data", 1, 4).cast("int") - 100 * F.col("hora")
+    date_key = F.concat(year.cast("string"), F.replace(F.substring("data", 5, 6), F.lit("-"), F.lit("")))
+    broken = F.substring("data", 6, 5).isin("02-29", "07-19")
+    return grid.grid_daily(_grid_payloads(spark, sf_dir, F.when(broken, F.concat(date_key, F.lit("x"))).otherwise(date_key)))
 
 
 @query
@@ -671,7 +706,22 @@ def sorted_sink(spark, sf_dir):
 def sorted_check(spark, sf_dir):
     """Files of a table written in key order, checked in their stored order."""
     path = _written_daily(spark, sf_dir, ["cd_estacao", "data"])
-    return tables.order_violations(spark, path, ["cd_estacao", "data"]).agg(F.sum("violations").alias("violations"))
+    return tables.order_violations(spark, path, ["cd_estacao", "data"]).agg(
+        F.sum("violations").alias("violations"), F.count_if("overlaps").alias("overlaps"))
+
+
+@query
+def order_broken(spark, sf_dir):
+    """Two files that overlap; in one the last day of every station stands behind all other rows."""
+    path = scratch_path(spark, "broken")
+    days = daily.daily_climate(derived.history(spark, sf_dir)).select("cd_estacao", "data", "temp_med")
+    last = F.max("data").over(Window.partitionBy("cd_estacao"))
+    for half, order in ((0, []), (1, ["late"])):
+        part = days.filter(F.dayofyear("data") % 2 == half).withColumn("late", F.col("data") == last)
+        placed = part.repartition(1).sortWithinPartitions(*order, "cd_estacao", "data").drop("late")
+        placed.write.mode("append").parquet(path)
+    found = tables.order_violations(spark, path, ["cd_estacao", "data"])
+    return found.agg(F.sum("violations").alias("violations"), F.count_if("overlaps").alias("overlaps"), F.count(F.lit(1)).alias("files"))
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,9 +11,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Tokens that mean "missing" in station files.
 NULL_TOKENS = ["", "NA", "-9999", "-9999,0"]
 
-# Latin-1 characters and their NFKD form reduced to ASCII, one character each.
-_LATIN1 = [chr(c) for c in range(0x80, 0x100)]
-_FOLDED = {c: unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode() for c in _LATIN1}
+# Characters with an ASCII part under NFKD, and what is left of them; built from the character
+# database, so any script folds as in Python. Single characters go through one translation.
+_FOLDED = {
+    chr(c): folded
+    for c in range(0x80, sys.maxunicode + 1)
+    if (folded := unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode())
+}
 _ONE_TO_ONE = {c: f for c, f in _FOLDED.items() if len(f) == 1}
 _ONE_TO_MANY = {c: f for c, f in _FOLDED.items() if len(f) > 1}
 
@@ -57,13 +62,21 @@ def missing_to_null(text: Column) -> Column:
 
 
 def snake_case(text: Column) -> Column:
-    """ASCII snake case of Latin-1 text; characters beyond Latin-1 are dropped."""
-    for char, folded in _ONE_TO_MANY.items():
-        text = F.replace(text, F.lit(char), F.lit(folded))
-    text = F.translate(text, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
-    text = F.regexp_replace(text, r"[^\x00-\x7F]", "")
-    text = F.regexp_replace(F.lower(text), "[^a-z0-9]+", "_")
-    return F.btrim(text, F.lit("_"))
+    """ASCII snake case of text in any script; characters without an ASCII part are dropped."""
+    plain = F.translate(text, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
+    # few texts have a character that becomes several, such as a ligature
+    several = F.aggregate(
+        F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(_several(), c), c)),
+        F.lit(""), lambda joined, c: F.concat(joined, c))
+    plain = F.when(plain.rlike(r"[^\x00-\x7F]"), several).otherwise(plain)
+    plain = F.regexp_replace(plain, r"[^\x00-\x7F]", "")
+    plain = F.regexp_replace(F.lower(plain), "[^a-z0-9]+", "_")
+    return F.btrim(plain, F.lit("_"))
+
+
+def _several() -> Column:
+    pairs = [F.struct(F.lit(c), F.lit(f)) for c, f in _ONE_TO_MANY.items()]
+    return F.map_from_entries(F.array(*pairs))
 
 
 def snake_case_name(name: str) -> str:

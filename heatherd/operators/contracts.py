@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from heatherd.functions.geometry import is_wkb
 from heatherd.functions.payload import BOUNDARY_LEVELS, GEO_LEVELS
-from heatherd.sources.tables import ROW_GROUP_ROWS, file_counts, order_violations, parquet_layout
+from heatherd.sources.tables import ROW_GROUP_ROWS, UNREADABLE, file_counts, order_violations, parquet_layout
 
 
 @dataclass(frozen=True)
@@ -93,7 +93,9 @@ def unknown_levels(df: DataFrame, column: str, allowed: tuple[str, ...]) -> Data
 
 
 def layout_problems(layout: DataFrame) -> DataFrame:
-    """Columns stored with another codec, and files whose first of several row groups has an odd size."""
+    """Unreadable files, columns stored with another codec, and files whose first of several row groups has an odd size."""
+    broken = layout.filter(F.col("codec") == UNREADABLE).select(F.lit("unreadable"), "file_path", "column")
+    layout = layout.filter(F.col("codec") != UNREADABLE)
     codecs = layout.filter(F.col("codec") != "ZSTD").groupBy("file_path").agg(
         F.count(F.lit(1)).alias("n")
     ).select(F.lit("codec").alias("check"), F.col("file_path").alias("subject"), F.concat("n", F.lit(" chunks")).alias("detail"))
@@ -102,7 +104,7 @@ def layout_problems(layout: DataFrame) -> DataFrame:
     odd = groups.filter(
         (F.col("last") > 0) & ~F.col("first").between(ROW_GROUP_ROWS, ROW_GROUP_ROWS + ROW_GROUP_SLACK - 1)
     ).select(F.lit("row group"), "file_path", F.concat("first", F.lit(" rows")))
-    return codecs.union(odd)
+    return codecs.union(odd).union(broken)
 
 
 def _counted(check: str, subject: str, rows: DataFrame) -> DataFrame:
@@ -113,15 +115,17 @@ def _counted(check: str, subject: str, rows: DataFrame) -> DataFrame:
 
 def check_contract(spark: SparkSession, path: str, name: str) -> DataFrame:
     """All problems of the table at `path`, one row each; no rows mean that it keeps its contract."""
-    df = spark.read.parquet(path)
+    layout = layout_problems(parquet_layout(spark, path))
+    broken = layout.filter(F.col("check") == "unreadable")
+    if not broken.isEmpty():  # nothing else can be told of a table with such files
+        return layout
     found = find_contract(name)
     if found is None:
-        return layout_problems(parquet_layout(spark, path)).union(
-            spark.createDataFrame([("contract", name, "no contract has this name")], PROBLEMS)
-        )
+        return layout.union(spark.createDataFrame([("contract", name, "no contract has this name")], PROBLEMS))
+    df = spark.read.parquet(path)
     contract = CONTRACTS[found]
     problems = spark.createDataFrame(schema_problems(df.schema, contract), PROBLEMS)
-    problems = problems.union(layout_problems(parquet_layout(spark, path)))
+    problems = problems.union(layout)
     rows = file_counts(spark, path).agg(F.sum("rows").alias("n")).filter(F.col("n").isNull())
     problems = problems.union(rows.select(F.lit("empty"), F.lit(name), F.lit("0 rows")))
     if contract.geometry in df.columns:
@@ -129,6 +133,8 @@ def check_contract(spark: SparkSession, path: str, name: str) -> DataFrame:
     if contract.levels and contract.levels[0] in df.columns:
         problems = problems.union(_counted("level", contract.levels[0], unknown_levels(df, *contract.levels)))
     if contract.sort and set(contract.sort) <= set(df.columns):
-        unsorted = order_violations(spark, path, contract.sort).filter(F.col("violations") > 0)
+        order = order_violations(spark, path, contract.sort)
+        unsorted = order.filter(F.col("violations") > 0)
         problems = problems.union(unsorted.select(F.lit("order"), "file_path", F.concat("violations", F.lit(" rows"))))
+        problems = problems.union(order.filter("overlaps").select(F.lit("order"), "file_path", F.lit("overlaps other files")))
     return problems

@@ -5,19 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from heatherd.functions.climate import OBSERVED
-from heatherd.session import single_value
-
-# A report longer than the first number is cut to the second.
-LONG_REPORT, SHOWN = 25, 15
 
 
 def coverage_by_station(daily: DataFrame) -> DataFrame:
+    """Imputed shares per station, in code order."""
     return daily.groupBy("cd_estacao").agg(
         F.count(F.lit(1)).alias("dias"),
         F.avg((F.col("temp_origem") != OBSERVED).cast("double")).alias("frac_dias_temp_tocada"),
         F.avg("temp_frac_imp").alias("frac_horas_temp_imp"),
         F.avg("umid_frac_imp").alias("frac_horas_umid_imp"),
-    )
+    ).orderBy("cd_estacao")
 
 
 def coverage_overall(coverage: DataFrame) -> DataFrame:
@@ -30,18 +27,16 @@ def coverage_overall(coverage: DataFrame) -> DataFrame:
     )
 
 
-def most_imputed(coverage: DataFrame) -> DataFrame:
-    """Stations by imputed share: all of a short list, the first ones of a long list.
+def most_imputed(coverage: DataFrame, n: int | None = None) -> DataFrame:
+    """Stations ranked by imputed share: all of them, or the first `n` as a top-n report.
 
-    The sort keeps at most the long-report limit of rows; only those are ranked. Shares equal to
-    nine digits are a tie, which goes to the lower code: the last bits of a mean depend on the
-    order in which Spark adds, and would rank tied stations differently from run to run.
+    Shares equal to nine digits are a tie, which goes to the lower code: the last bits of a mean
+    depend on the order in which Spark adds, and would rank tied stations differently from run
+    to run. There is one row per station.
     """
     order = [F.round("frac_horas_temp_imp", 9).desc_nulls_first(), F.asc("cd_estacao")]
-    stations = single_value(coverage.agg(F.count(F.lit(1)).alias("n")), "n")["n"]
-    first = coverage.orderBy(*order).limit(LONG_REPORT)
-    ranked = first.withColumn("posicao", F.row_number().over(Window.orderBy(*order)))
-    return ranked.filter((stations <= LONG_REPORT) | (F.col("posicao") <= SHOWN))
+    first = coverage if n is None else coverage.orderBy(*order).limit(n)
+    return first.withColumn("posicao", F.row_number().over(Window.orderBy(*order)))
 
 
 def day_types(daily: DataFrame) -> DataFrame:
@@ -64,6 +59,11 @@ def completeness(daily: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
+def excluded_stations(daily: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Codes of the wanted stations that the daily table does not have, in order."""
+    return wanted.select("cd_estacao").distinct().join(daily.select("cd_estacao").distinct(), "cd_estacao", "left_anti").orderBy("cd_estacao")
+
+
 def rows_per_station(history: DataFrame, n: int = 10) -> DataFrame:
     """The n stations with most rows; ties go to the lower code."""
     counts = history.groupBy("cd_estacao").agg(F.count(F.lit(1)).alias("linhas"))

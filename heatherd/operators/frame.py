@@ -35,11 +35,19 @@ def hourly_observations(
     codes: Sequence[str] | DataFrame | None = None,
     temperature: str = TEMPERATURE_COLUMN,
     humidity: str = HUMIDITY_COLUMN,
+    max_codes: int | None = None,
 ) -> DataFrame:
-    """One row per station, day and hour: the mean of the readings that pass the range checks."""
+    """One row per station, day and hour: the mean of the readings that pass the range checks.
+
+    Where the session allows it the readings are placed by station and day before they are
+    merged, and the hourly frame needs no second shuffle. An archive has one reading an hour,
+    so merging before the shuffle would save nothing.
+    """
+    history = keep_stations(history, codes, max_codes)
+    if colocates_by_day(history.sparkSession):
+        history = history.select("cd_estacao", "data", "hora_utc", temperature, humidity).repartition("cd_estacao", "data")
     return (
-        keep_stations(history, codes)
-        .select(
+        history.select(
             "cd_estacao", "data", hour_of(F.col("hora_utc")).alias("hora"),
             decimal_comma(F.col(temperature)).alias("temp"), decimal_comma(F.col(humidity)).alias("rh"),
         )
@@ -58,8 +66,7 @@ def hourly_frame(grid: DataFrame, observations: DataFrame) -> DataFrame:
     columns = HOUR_KEY + [c for c in ("t2m", "rh2m", "batch") if c in grid.columns]
     grid = grid.select(columns)
     if colocates_by_day(grid.sparkSession):
-        grid = grid.repartition("cd_estacao", "data")
-        observations = observations.repartition("cd_estacao", "data")
+        grid = grid.repartition("cd_estacao", "data")  # as the observations are
     return grid.join(observations, HOUR_KEY, "left").withColumns(
         {"mes": month_of(F.col("data")), "ano": year_of(F.col("data"))}
     )

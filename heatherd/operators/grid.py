@@ -20,8 +20,6 @@ _POINT = (
     "properties struct<parameter:map<string,map<string,string>>>"
 )
 DAILY_PARAMETERS = ("T2M", "RH2M", "PRECTOTCORR")
-HOURLY_PARAMETERS = ("T2M", "RH2M")
-MAX_PARAMETERS = 500
 
 
 def aligned(parameter: Column, names: Sequence[str]) -> Column:
@@ -58,6 +56,14 @@ def station_payloads(documents: DataFrame, coordinates: DataFrame) -> DataFrame:
     return named.join(at, ["vl_latitude", "vl_longitude"]).select("cd_estacao", "inicio", "fim", "payload")
 
 
+def strayed_documents(documents: DataFrame, coordinates: DataFrame) -> DataFrame:
+    """File names of the point documents at whose point no station stands."""
+    part = F.split(F.regexp_replace("file_name", r"\.json$", ""), "_")
+    named = documents.select(
+        "file_name", number(F.get(part, F.lit(0))).alias("vl_latitude"), number(F.get(part, F.lit(1))).alias("vl_longitude"))
+    return named.join(coordinates, ["vl_latitude", "vl_longitude"], "left_anti").select("file_name")
+
+
 def _unpacked(payloads: DataFrame, names: Sequence[str], *keep: str) -> DataFrame:
     """One row per key of every payload; a payload without keys gives one with a null key.
 
@@ -79,10 +85,8 @@ def parameter_names(payloads: DataFrame) -> list[str]:
     """All parameters found in the payloads, in order of their column names."""
     found = (
         payloads.select(F.explode(F.map_keys(F.from_json("payload", _POINT)["properties"]["parameter"])).alias("name"))
-        .distinct().limit(MAX_PARAMETERS + 1).collect()
+        .distinct().collect()
     )
-    if len(found) > MAX_PARAMETERS:
-        raise ValueError(f"more than {MAX_PARAMETERS} different parameters in the payloads")
     return sorted((r["name"] for r in found), key=str.lower)
 
 
@@ -94,10 +98,10 @@ def grid_daily(payloads: DataFrame) -> DataFrame:
     )
 
 
-def grid_hourly(payloads: DataFrame, parameters: Sequence[str] | None = HOURLY_PARAMETERS) -> DataFrame:
+def grid_hourly(payloads: DataFrame, parameters: Sequence[str] | None = None) -> DataFrame:
     """Hours of (cd_estacao, payload) rows with one column per parameter.
 
-    `parameters=None` looks for all parameters of the payloads first. Without a `cd_estacao`
+    Without `parameters` all that the payloads hold are looked for first. Without a `cd_estacao`
     column the station is null.
     """
     parameters = sorted(parameters, key=str.lower) if parameters is not None else parameter_names(payloads)

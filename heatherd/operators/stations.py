@@ -14,15 +14,11 @@ from heatherd.session import broadcast_if, single_value
 # Fields of every station payload.
 STATION_FIELDS = ("CD_ESTACAO", "DC_NOME", "SG_ESTADO", "VL_LATITUDE", "VL_LONGITUDE")
 
-MAX_FIELDS = 1000
-
 
 def payload_fields(payloads: DataFrame) -> list[str]:
     """All field names used by any station of the payloads."""
     entries = payloads.select(F.explode(F.from_json("payload", "array<map<string,string>>")).alias("e"))
-    names = entries.select(F.explode(F.map_keys("e")).alias("name")).distinct().limit(MAX_FIELDS + 1).collect()
-    if len(names) > MAX_FIELDS:
-        raise ValueError(f"more than {MAX_FIELDS} different field names in the station payloads")
+    names = entries.select(F.explode(F.map_keys("e")).alias("name")).distinct().collect()
     return sorted(r["name"] for r in names)
 
 
@@ -44,7 +40,7 @@ def stations(payloads: DataFrame, fields: Sequence[str] | None = None) -> DataFr
 
 
 def station_coordinates(stations: DataFrame, codes: Sequence[str] | DataFrame | None = None) -> DataFrame:
-    """One row per station with both coordinates; of several rows the smallest coordinates are kept."""
+    """One row per station with both coordinates, in code order; of several rows the smallest coordinates are kept."""
     at = F.struct("vl_latitude", "vl_longitude")
     return (
         keep_stations(stations.select("cd_estacao", "vl_latitude", "vl_longitude"), codes)
@@ -52,6 +48,7 @@ def station_coordinates(stations: DataFrame, codes: Sequence[str] | DataFrame |
         .groupBy("cd_estacao")
         .agg(F.min(at).alias("at"))
         .select("cd_estacao", "at.*")
+        .orderBy("cd_estacao")
     )
 
 

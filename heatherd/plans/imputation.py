@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from heatherd.operators.fit import MIN_SAMPLES
 from heatherd.operators.frame import hourly_frame, hourly_observations, keep_stations
 from heatherd.operators.holdout import score_frame
-from heatherd.operators.impute import add_day_type, aggregate_daily, impute_hourly
+from heatherd.operators.impute import add_day_type, aggregate_daily, impute_daily, impute_hourly
 from heatherd.operators.stations import sample_stations, station_batches, station_coordinates
 from heatherd.session import broadcast_if, written
 from heatherd.sources.tables import write_table
@@ -18,21 +19,42 @@ from heatherd.sources.tables import write_table
 BATCH_SIZE = 20
 
 
-def staged_days(spark, staging: str) -> DataFrame | None:
+def run_folder(staging: str, method: str, years: tuple[int, int] | None, min_samples: int) -> str:
+    """Runs with other results stage in other folders."""
+    span = "all" if years is None else f"{years[0]:04d}-{years[1]:04d}"
+    return f"{staging.rstrip('/')}/{method}-{min_samples}-{span}"
+
+
+def staged_days(spark, folder: str) -> DataFrame | None:
     """Daily rows staged so far, or None before the first run."""
     try:
-        return spark.read.parquet(staging)
+        return spark.read.parquet(folder)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
-def pending_batches(batches: DataFrame, staged: DataFrame | None) -> DataFrame:
-    """Stations of every batch that lacks at least one of its stations."""
+def named_batches(stations: DataFrame, batch_size: int) -> DataFrame:
+    """(cd_estacao, batch); a batch is named by its exact members, not by its number.
+
+    A station more or less in the registry moves the members of all later batches, and those
+    get names under which nothing is staged yet.
+    """
+    numbered = station_batches(stations, batch_size)
+    members = F.array_join(F.array_sort(F.collect_set("cd_estacao")), "\n")  # at most one batch of codes
+    names = numbered.groupBy("batch").agg(F.concat(F.lit("m"), F.substring(F.sha2(members, 256), 1, 24)).alias("name"))
+    return numbered.join(names, "batch").select("cd_estacao", F.col("name").alias("batch"))
+
+
+def pending_batches(batches: DataFrame, grid: DataFrame, staged: DataFrame | None) -> DataFrame:
+    """Stations of every batch that is not staged with all grid hours of all its members."""
     if staged is None:
         return batches
-    absent = batches.join(staged.select("cd_estacao").distinct(), "cd_estacao", "left_anti")
+    hours = grid.groupBy("cd_estacao").agg(F.count(F.lit(1)).alias("hours"), F.min("data").alias("low"), F.max("data").alias("high"))
+    day = F.col("data").cast("string")
+    done = staged.groupBy("batch", "cd_estacao").agg(F.sum("n_horas").alias("hours"), F.min(day).alias("low"), F.max(day).alias("high"))
+    absent = batches.join(hours, "cd_estacao").join(done, ["batch", "cd_estacao", "hours", "low", "high"], "left_anti")
     return batches.join(absent.select("batch").distinct(), "batch", "left_semi")
 
 
@@ -57,24 +79,49 @@ def impute_all(
 ) -> DataFrame:
     """Imputed daily table of all stations that observed something.
 
-    Batches whose stations are all staged are not computed again; incomplete ones are. The
-    pending batches run as one job and replace only their own partitions of the staging
-    table. The last fallback of the fit is the batch, so the result does not depend on how
-    often the run was resumed.
+    Work is staged by batch below `staging`, in a folder for each method, span of years and
+    `min_samples`. A batch whose members are all staged with all their grid hours is not
+    computed again; the others run as one job and replace only their own partitions. The last
+    fallback of the fit is the batch, so the result does not depend on how often the run was
+    resumed. A changed history needs a new staging folder.
     """
     spark = grid.sparkSession
-    batches = station_batches(station_coordinates(stations, codes), batch_size)
-    # written first: the run replaces parts of the staging table that this list is read from
-    pending = broadcast_if(written(pending_batches(batches, staged_days(spark, staging)), "pending"), station_bound)
-    wanted = within_years(grid, years).join(pending, "cd_estacao")
-    frame = hourly_frame(wanted, hourly_observations(history, pending.select("cd_estacao")))
-    hourly = impute_hourly(frame, method, min_samples, station_bound, scope="batch")
-    daily = aggregate_daily(hourly, carry=("batch",))
-    write_table(daily, staging, partition_by=["batch"])
-    full = keep_stations(spark.read.parquet(staging).drop("batch"), batches, station_bound)
+    folder = run_folder(staging, method, years, min_samples)
+    batches = named_batches(station_coordinates(stations, codes), batch_size)
+    grid = within_years(grid, years)
+    # written first: the run replaces parts of the staging table that these lists are read from
+    members = f"{staging.rstrip("/")}-members/{uuid.uuid4().hex}"  # the result is read with it, so it stays
+    batches.write.parquet(members)
+    batches = spark.read.parquet(members)
+    with written(pending_batches(batches, grid, staged_days(spark, folder)), "pending") as pending:
+        wanted = grid.join(broadcast_if(pending, station_bound), "cd_estacao")
+        observed = hourly_observations(history, pending.select("cd_estacao"), max_codes=station_bound)
+        hourly = impute_hourly(hourly_frame(wanted, observed), method, min_samples, station_bound, scope="batch")
+        # a task holds one batch and year, so a batch gets one file per year
+        daily = aggregate_daily(hourly, carry=("batch",)).repartition("batch", F.year("data"))
+        write_table(daily, folder, partition_by=["batch"])
+    days = spark.read.schema(daily.schema).parquet(folder)
+    full = days.join(broadcast_if(batches, station_bound), ["batch", "cd_estacao"], "left_semi").drop("batch")
     return add_day_type(full, only_observed_stations=True, station_bound=station_bound)
 
 
+def impute_codes(
+    grid: DataFrame,
+    history: DataFrame,
+    codes: Sequence[str],
+    method: str = "scaling",
+    years: tuple[int, int] | None = None,
+    min_samples: int = MIN_SAMPLES,
+) -> DataFrame:
+    """Imputed daily table of chosen stations, those that never observed anything included.
+
+    The last fallback of the fit is all chosen stations together.
+    """
+    codes = list(dict.fromkeys(codes))
+    chosen = keep_stations(within_years(grid, years), codes)
+    return impute_daily(hourly_frame(chosen, hourly_observations(history, codes)), method, min_samples, len(codes))
+
+
 def validate_sample(
     grid: DataFrame,
     history: DataFrame,

@@ -65,9 +65,9 @@ def build_history(
         source = station_files(spark, files)
     history = station_history(source, known_stations(spark, folder), columns)
     # Sorting samples its input before it reads it: parse once, then sort the parsed table.
-    history = written(history, "history")
-    # several readings of one station and day may lie in different files of the table
-    write_product(history, folder, HISTORY, spread=[c for c in ("hora_utc",) if c in history.columns])
+    with written(history, "history") as parsed:
+        # several readings of one station and day may lie in different files of the table
+        write_product(parsed, folder, HISTORY, spread=[c for c in ("hora_utc",) if c in parsed.columns])
 
 
 def build_daily(spark: SparkSession, folder: str) -> None:
@@ -97,13 +97,19 @@ def build_grid_daily(spark: SparkSession, folder: str, name: str, payloads: Path
 
 
 def build_grid_hourly(
-    spark: SparkSession, folder: str, payloads: Paths, parameters: Sequence[str] | None = grid.HOURLY_PARAMETERS
+    spark: SparkSession, folder: str, payloads: Paths, parameters: Sequence[str] | None = None
 ) -> None:
     """Hourly series of all stations whose point has landed."""
     coordinates = station_coordinates(product(spark, folder, STATIONS))
     landed = grid.station_payloads(documents(spark, payloads), coordinates)
-    hours = written(grid.grid_hourly(landed, parameters), "grid")  # parsed once, not again for the sort
-    write_product(hours, folder, GRID_HOURLY)
+    with written(grid.grid_hourly(landed, parameters), "grid") as hours:  # parsed once, not again for the sort
+        write_product(hours, folder, GRID_HOURLY)
+
+
+def build_point_hourly(spark: SparkSession, folder: str, name: str, payloads: Paths, parameters: Sequence[str] | None = None) -> None:
+    """Hourly series of one point that is no station; `name` tells the point and the period."""
+    with written(grid.grid_hourly(documents(spark, payloads), parameters), "point") as hours:
+        write_product(hours, folder, f"{GRID_HOURLY}_{name}")
 
 
 def missing_grid_blocks(spark: SparkSession, folder: str, payloads: Paths, first_year: int, last_year: int, size: int = 10) -> DataFrame:
@@ -122,23 +128,39 @@ def build_imputed(
     batch_size: int = imputation.BATCH_SIZE,
     codes: Sequence[str] | None = None,
 ) -> None:
+    """The imputed table of the network, or with `codes` of chosen stations.
+
+    Chosen stations are fitted together and all kept, observed or not; nothing is staged.
+    """
+    if codes is not None:
+        daily = imputation.impute_codes(
+            product(spark, folder, GRID_HOURLY), product(spark, folder, HISTORY), codes, method=method, years=years)
+        write_product(daily, folder, IMPUTED)
+        return
     registry = product(spark, folder, STATIONS)
     daily = imputation.impute_all(
         product(spark, folder, GRID_HOURLY), product(spark, folder, HISTORY), registry, staging,
-        method=method, years=years, batch_size=batch_size, codes=codes,
+        method=method, years=years, batch_size=batch_size,
         station_bound=registry.count(),  # a small table; its count bounds every per-station table
     )
     write_product(daily, folder, IMPUTED)
 
 
 def imputation_report(
-    spark: SparkSession, folder: str, test_years: Sequence[int], sample: int = 12, method: str = "scaling"
+    spark: SparkSession, folder: str, test_years: Sequence[int], sample: int = 12, method: str = "scaling",
+    codes: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """The tables of the quality report: errors on a sample of stations, coverage and composition."""
+    """The tables of the quality report: hold-out errors, coverage, composition and what is missing.
+
+    Errors are measured on a sample of the registered stations, or on all of the chosen `codes`.
+    """
     daily, registry = product(spark, folder, IMPUTED), product(spark, folder, STATIONS)
+    wanted = registry.dropna(subset=["vl_latitude", "vl_longitude"]).select("cd_estacao")
+    if codes is not None:
+        wanted = spark.createDataFrame([(c,) for c in dict.fromkeys(codes)], "cd_estacao string")
     scored = imputation.validate_sample(
-        product(spark, folder, GRID_HOURLY), product(spark, folder, HISTORY),
-        daily.select("cd_estacao"), test_years, sample, method,
+        product(spark, folder, GRID_HOURLY), product(spark, folder, HISTORY), wanted, test_years,
+        sample if codes is None else max(1, len(codes)), method,
     )
     days = holdout.complete_days(scored)
     by_station = coverage.coverage_by_station(daily)
@@ -150,5 +172,6 @@ def imputation_report(
         "coverage": coverage.coverage_overall(by_station),
         "most_imputed": coverage.most_imputed(by_station),
         "day_types": coverage.day_types(daily),
-        "completeness": coverage.completeness(daily, registry.dropna(subset=["vl_latitude", "vl_longitude"])),
+        "completeness": coverage.completeness(daily, wanted),
+        "excluded": coverage.excluded_stations(daily, wanted),
     }

@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -26,7 +28,10 @@ SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators are planned for. Results never depend on them."""
+    """Apply the runtime settings the operators are planned for, for the rest of the session.
+
+    Results never depend on them; a caller that keeps other values loses shuffles, not rows.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -39,23 +44,32 @@ def colocates_by_day(spark: SparkSession) -> bool:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, below the shared folder of the cluster.
 
-    The folder comes from `spark.checkpoint.dir`. Only a local session that has no
-    such setting falls back to a temporary folder of this machine.
+    The folder comes from `spark.checkpoint.dir`. Only a plain local session without that
+    setting gets a temporary folder of its machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         root = tempfile.mkdtemp(prefix="heatherd-")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/heatherd/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a table in the shared scratch folder: computed once, its lineage cut."""
+def remove_table(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """`df` as a table in the shared scratch folder while the block runs: computed once, then removed."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove_table(df.sparkSession, path)
 
 
 def broadcast_if(df: DataFrame, max_rows: int | None) -> DataFrame:

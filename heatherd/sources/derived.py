@@ -15,9 +15,6 @@ from heatherd.operators.frame import HUMIDITY_COLUMN, TEMPERATURE_COLUMN
 
 ROWS_PER_STATION = 12_000
 HOURS_PER_DAY = 6
-
-# A small table is one Parquet row group, which one task would scan and compute alone.
-FEW_ROWS = 10_000_000
 LATE_STATION, LATE_START = 4, "1996-01-01"
 
 
@@ -41,7 +38,9 @@ def station_count(spark: SparkSession, sf_dir: str) -> int:
 
 
 def code(station: Column) -> Column:
-    return F.concat(F.lit("A"), F.lpad(station.cast("string"), 3, "0"))
+    """Three digits or, where a number needs them, more."""
+    digits = station.cast("string")
+    return F.concat(F.lit("A"), F.lpad(digits, F.greatest(F.length(digits), F.lit(3)), F.lit("0")))
 
 
 def season(day: Column, station: Column, hour: Column) -> Column:
@@ -59,8 +58,6 @@ def readings(spark: SparkSession, sf_dir: str, late_start: bool = False) -> Data
     lineitem = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_shipdate"
     )
-    if reading_count(spark, sf_dir) < FEW_ROWS:
-        lineitem = lineitem.repartition(spark.sparkContext.defaultParallelism, "l_orderkey")
     rows = lineitem.select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
         (F.col("l_suppkey") % station_count(spark, sf_dir)).alias("station"),
@@ -126,6 +123,11 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def grid_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of the stations of the grid."""
+    return spark.range(station_count(spark, sf_dir) + 1).select(code(F.col("id")).alias("cd_estacao"))
+
+
 def station_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every supplier as a registered station."""
     return table(spark, sf_dir, "supplier").select(

@@ -21,7 +21,7 @@ ship_by_value(__name__)
 
 # Fixed patterns: station code in a file name, header line, line breaks, phantom columns.
 STATION_CODE = r"[A-Z]\d{3}"
-HEADER_LINE = r"(?i)^(data[;(]|data \()"
+HEADER_LINE = r"(?i)^Data[;(]|^DATA \("
 HEADER_WITHIN = 15
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85]"
 RARE_BREAK = "\r(?!\n)|[\x0b\x0c\x1c\x1d\x1e\x85]"
@@ -31,8 +31,6 @@ RENAMED = {"data_yyyy_mm_dd": "data"}
 SEPARATOR = ";"
 SEPARATOR_OUTSIDE_QUOTES = ';(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
-MAX_COLUMNS = 2000
-
 
 def station_files(spark: SparkSession, path: str | Sequence[str], suffix: str = "csv") -> DataFrame:
     """All files below `path` with the suffix, in any letter case."""
@@ -114,11 +112,8 @@ def header_columns(files: DataFrame, stations: Sequence[str] | DataFrame | None
         .select(F.explode("names").alias("name"))
         .filter(~F.col("name").rlike(PHANTOM_COLUMN))
         .distinct()
-        .limit(MAX_COLUMNS + 1)
         .collect()
     )
-    if len(names) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} different columns in the station files")
     return sorted(r["name"] for r in names)
 
 

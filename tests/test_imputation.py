@@ -277,9 +277,17 @@ def network_stations(spark):
     return spark.createDataFrame([(f"A00{s}", -10.0 - s, -40.0) for s in range(1, 8)], "cd_estacao string, vl_latitude double, vl_longitude double")
 
 
+def network_run(grid, history, registry, staging, **options):
+    return imputation.impute_all(grid, history, registry, staging, batch_size=3, min_samples=MIN_SAMPLES, station_bound=7, **options)
+
+
+def bag(df):
+    return sorted(map(str, df.collect()))
+
+
 def test_resumable_network_run(spark, tables, tmp_path):
     grid, history = tables
-    staging = str(tmp_path / "staging")
+    staging, registry = str(tmp_path / "staging"), network_stations(spark)
     rows = [r for r in plain_frame()]
     batches = [{"A001", "A002", "A003"}, {"A004", "A005", "A006"}, {"A007"}]
     expected = {}
@@ -288,18 +296,41 @@ def test_resumable_network_run(spark, tables, tmp_path):
         expected |= plain_daily(part, plain_correction(part, part, "scaling")[1])
     expected = {k: v for k, v in expected.items() if k[0] != "A004"}  # never observed
 
-    def run(g):
-        return imputation.impute_all(g, history, network_stations(spark), staging, batch_size=3, min_samples=MIN_SAMPLES, station_bound=7)
+    def files():
+        folder = imputation.run_folder(staging, "scaling", None, MIN_SAMPLES)
+        first = spark.read.parquet(folder).filter("cd_estacao = 'A001'")
+        return {r[0] for r in first.select("_metadata.file_path").distinct().collect()}
 
-    first = run(grid.filter("cd_estacao <> 'A005'")).collect()
+    first = network_run(grid.filter("cd_estacao <> 'A005'"), history, registry, staging).collect()
     assert {r["cd_estacao"] for r in first} == {"A001", "A002", "A003", "A006"}
-    before = {r[0] for r in spark.read.parquet(staging).filter("batch = 0").select("_metadata.file_path").distinct().collect()}
-    pending = imputation.pending_batches(stations.station_batches(network_stations(spark), 3), imputation.staged_days(spark, staging))
-    assert {r["cd_estacao"] for r in pending.collect()} == {"A004", "A005", "A006", "A007"}
-    check_daily(run(grid).collect(), expected)
-    after = {r[0] for r in spark.read.parquet(staging).filter("batch = 0").select("_metadata.file_path").distinct().collect()}
-    assert before == after  # a finished batch is not written again
-    check_daily(run(grid).collect(), expected)
+    before = files()
+    staged = imputation.staged_days(spark, imputation.run_folder(staging, "scaling", None, MIN_SAMPLES))
+    pending = imputation.pending_batches(imputation.named_batches(registry, 3), grid, staged)
+    assert {r["cd_estacao"] for r in pending.collect()} == {"A004", "A005", "A006"}
+    check_daily(network_run(grid, history, registry, staging).collect(), expected)
+    assert before == files()  # a finished batch is not written again
+    check_daily(network_run(grid, history, registry, staging).collect(), expected)
+
+
+def test_resumed_run_of_a_grown_registry(spark, tables, tmp_path):
+    """A new first station moves the members of every batch."""
+    grid, history = tables
+    staging, registry = str(tmp_path / "staging"), network_stations(spark)
+    network_run(grid, history, registry.filter("cd_estacao > 'A001'"), staging)
+    whole = network_run(grid, history, registry, str(tmp_path / "once"))
+    grown = network_run(grid, history, registry, staging)
+    assert bag(grown) == bag(whole) and {r["cd_estacao"] for r in grown.collect()} == {"A001", "A002", "A003", "A005", "A006"}
+    shrunk = registry.filter("cd_estacao <> 'A002'")
+    assert bag(network_run(grid, history, shrunk, staging)) == bag(network_run(grid, history, shrunk, str(tmp_path / "other")))
+
+
+def test_resumed_run_with_more_days_other_years_and_method(spark, tables, tmp_path):
+    grid, history = tables
+    staging, registry = str(tmp_path / "staging"), network_stations(spark)
+    network_run(grid.filter("data < '2002-01-01'"), history, registry, staging)
+    for options in ({}, {"years": (2002, 2002)}, {"method": "linear"}):
+        fresh = network_run(grid, history, registry, str(tmp_path / f"fresh{len(str(options))}"), **options)
+        assert bag(network_run(grid, history, registry, staging, **options)) == bag(fresh)
 
 
 def test_years_limit_the_run(spark, tables, tmp_path):
@@ -308,6 +339,15 @@ def test_years_limit_the_run(spark, tables, tmp_path):
     assert {(r["cd_estacao"], r["data"].year) for r in daily.select("cd_estacao", "data").distinct().collect()} == {("A001", 2002)}
 
 
+def test_chosen_stations_share_a_fit_and_all_stay(spark, tables):
+    grid, history = tables
+    codes = ["A002", "A004", "A002"]
+    part = [r for r in plain_frame() if r["code"] in codes]
+    daily = imputation.impute_codes(grid, history, codes, min_samples=MIN_SAMPLES).collect()
+    check_daily(daily, plain_daily(part, plain_correction(part, part, "scaling")[1]))
+    assert {r["cd_estacao"] for r in daily} == {"A002", "A004"}  # A004 never observed
+
+
 def test_sampled_validation(spark, tables):
     scored = imputation.validate_sample(*tables, network_stations(spark), [2002], n=3, min_samples=MIN_SAMPLES)
     assert {r[0] for r in scored.select("cd_estacao").distinct().collect()} == {"A001", "A003", "A005"}
@@ -328,11 +368,11 @@ def test_coverage(hourly_frame):
     assert stations.observed_only(daily).select("cd_estacao").distinct().count() == 5
 
 
-@pytest.mark.parametrize("n, shown", [(25, 25), (26, 15), (3, 3)])
-def test_long_reports_are_cut(spark, n, shown):
-    df = spark.range(n).selectExpr("format_string('S%03d', id) AS cd_estacao", "if(id = 2, null, id / 100) AS frac_horas_temp_imp")
-    rows = coverage.most_imputed(df).orderBy("posicao").collect()
-    assert len(rows) == shown and rows[0]["cd_estacao"] == "S002" and rows[1]["cd_estacao"] == (f"S{n - 1:03d}" if n > 3 else "S001")
+@pytest.mark.parametrize("n, top, shown", [(25, None, 25), (1_200, None, 1_200), (1_200, 15, 15), (3, 15, 3)])
+def test_stations_are_ranked_and_cut_on_request(spark, n, top, shown):
+    df = spark.range(n).selectExpr("format_string('S%04d', id) AS cd_estacao", "if(id = 2, null, id / 100) AS frac_horas_temp_imp")
+    rows = coverage.most_imputed(df, top).orderBy("posicao").collect()
+    assert len(rows) == shown and rows[0]["cd_estacao"] == "S0002" and rows[1]["cd_estacao"] == (f"S{n - 1:04d}" if n > 3 else "S0001")
 
 
 def test_completeness(spark):
@@ -340,6 +380,7 @@ def test_completeness(spark):
     wanted = spark.createDataFrame([("A",), ("C",), ("C",), ("D",)], "cd_estacao string")
     assert tuple(coverage.completeness(daily, wanted).collect()[0]) == (3, 1, 2)
     assert {r[0] for r in stations.missing_stations(wanted, daily).collect()} == {"C", "D"}
+    assert [r[0] for r in coverage.excluded_stations(daily, wanted).collect()] == ["C", "D"]
 
 
 @pytest.mark.parametrize("size, n", [(5, 12), (12, 12), (13, 12), (100, 7), (671, 12), (29, 28)])

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from heatherd.operators.daily import daily_climate
+from heatherd.operators.contracts import check_contract
 from heatherd.operators.frame import HUMIDITY_COLUMN, TEMPERATURE_COLUMN
 from heatherd.sources.files import archive_members, header_columns, station_files, station_history
 from heatherd.sources.payloads import documents
@@ -16,13 +17,13 @@ from heatherd.sources.tables import file_counts, order_violations, parquet_layou
 PREAMBLE = "REGIAO:;SE\nUF:;MG\nESTAÇÃO:;SÃO JOÃO\nALTITUDE:;850,00\n"
 NEW_HEADER = "Data;Hora UTC;PRECIPITAÇÃO TOTAL, HORÁRIO (mm);TEMPERATURA DO AR - BULBO SECO, HORARIA (°C);UMIDADE RELATIVA DO AR, HORARIA (%);\n"
 NEW_ROWS = [
-    "2024-01-01;0000 UTC;0,0;22,3;78;",
-    "2024-01-01;0100 UTC;0,0;22,1;79;",
-    "2024-01-01;1200 UTC;0,2;28,5;55;",
-    "2024-01-01;1500 UTC;1,4;30,1;48;",
-    "2024-01-02;0000 UTC;0,0;21,0;82;",
-    "2024-01-02;1500 UTC;0,8;55,0;-5;",
-    "2024-01-02;1600 UTC;;29,8;52;",
+    "2017-06-10;0300 UTC;0,4;9,5;91;",
+    "2017-06-10;0400 UTC;0,6;9,25;93;",
+    "2017-06-10;0500 UTC;;8,75;94;",
+    "2017-06-10;1700 UTC;0,0;17,5;61;",
+    "2017-06-11;0300 UTC;0,0;71,5;-3;",
+    "2017-06-11;0400 UTC;0,0;10,5;88;",
+    "2017-06-11;1800 UTC;2,2;16,25;67;",
 ]
 OLD_HEADER = "DATA (YYYY-MM-DD);HORA (UTC);UMIDADE RELATIVA DO AR, HORARIA (%);TEMPERATURA DO AR - BULBO SECO, HORARIA (°C);hora (utc);2;;\n"
 OLD_ROWS = ['2001-05-01;"00:00";60;-9999;9;x;;;surplus', "2001-05-01;01:00:00;-9999,0;20", "", "2001-05-02;02:00;NA;21,5;1;y;;"]
@@ -50,7 +51,7 @@ def test_drifting_headers_match_by_name(spark, folder):
     rows = station_history(files).collect()
     assert len(rows) == 10
     new = [r for r in rows if r["cd_estacao"] == "A001"]
-    assert len(new) == 7 and {r["data"] for r in new} == {"2024-01-01", "2024-01-02"}
+    assert len(new) == 7 and {r["data"] for r in new} == {"2017-06-10", "2017-06-11"}
     assert [r["precipitacao_total_horario_mm"] for r in new].count(None) == 1
     old = {r["hora_utc"]: r for r in rows if r["cd_estacao"] == "B002"}
     assert set(old) == {"00:00", "01:00:00", "02:00"}
@@ -76,8 +77,8 @@ def test_quoted_separator_stays_in_its_field(spark):
 
 def test_files_to_daily_climate(spark, folder):
     days = {r["data"]: r for r in daily_climate(station_history(station_files(spark, str(folder)), ["A001"])).collect()}
-    assert set(days) == {dt.date(2024, 1, 1), dt.date(2024, 1, 2)}
-    assert days[dt.date(2024, 1, 2)]["temp_max"] == 29.8 and days[dt.date(2024, 1, 2)]["umid_min"] == 52.0
+    assert set(days) == {dt.date(2017, 6, 10), dt.date(2017, 6, 11)}
+    assert days[dt.date(2017, 6, 11)]["temp_max"] == 16.25 and days[dt.date(2017, 6, 11)]["umid_min"] == 67.0
 
 
 def test_archives(spark, folder, tmp_path_factory):
@@ -120,7 +121,26 @@ def test_order_violations_inside_and_between_runs(spark, tmp_path):
     # out of order once inside a run and once where two runs of 100,000 rows meet
     key = F.when(F.col("id") == 10, -1).when(F.col("id") >= 100_000, F.col("id") - 150_000).otherwise(F.col("id"))
     ids.select(key.alias("k")).write.parquet(path)
-    assert order_violations(spark, path, ["k"]).collect()[0]["violations"] == 2
+    found = order_violations(spark, path, ["k"]).collect()
+    assert [(r["violations"], r["overlaps"]) for r in found] == [(2, False)]
+
+
+def test_order_of_nulls_and_across_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for rows in ([(None, 1), ("a", None), ("a", 1), ("b", 0)], [("b", 1), ("c", 2), (None, 3)], [("d", 0)]):
+        spark.createDataFrame(rows, "k string, v int").coalesce(1).write.mode("append").parquet(path)
+    found = sorted((r["violations"], r["overlaps"]) for r in order_violations(spark, path, ["k", "v"]).collect())
+    assert found == [(0, False), (0, False), (1, True)]  # the null of the second file belongs into the first
+    spark.createDataFrame([("bb", 0)], "k string, v int").coalesce(1).write.mode("append").parquet(path)
+    assert sum(r["overlaps"] for r in order_violations(spark, path, ["k", "v"]).collect()) == 2
+
+
+def test_unreadable_files_are_reported(spark, tmp_path):
+    path = str(tmp_path / "inmet_historico_diario")
+    write_table(spark.range(3), path)
+    (tmp_path / "inmet_historico_diario" / "part-broken.parquet").write_bytes(b"PAR1 not a table")
+    assert [(r["check"], r["subject"].rsplit("/", 1)[-1]) for r in check_contract(spark, path, "inmet_historico_diario").collect()] == [
+        ("unreadable", "part-broken.parquet")]
 
 
 def test_partitioned_write_replaces_only_its_partitions(spark, tmp_path):
