@@ -309,9 +309,15 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
         common = scratch.write(counted.where("low <> high").select("token"), "common")
         hits = tokens.join(common, "token")
         hits = hits.join(copies.toDF("doc_id", "rep"), "doc_id", "left").select("token", F.coalesce("rep", "doc_id").alias("doc_id")).distinct()
-        hits = scratch.write(hits, "hits")
+        hits = scratch.write(hits, "all-hits")
         scratch.drop("prefixes", "common")
-        pivots = hits.groupBy("token").agg(F.min("doc_id").alias("pivot"))
+        # most buckets of a group of near copies have the same members: one of them is enough
+        marks = [F.bit_xor(F.xxhash64(F.lit(seed), "doc_id")).alias(f"mark{seed}") for seed in (1, 2)]
+        buckets = hits.groupBy("token").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"), F.count("*").alias("n"), *marks)
+        buckets = buckets.where("pivot <> last").groupBy("pivot", "last", "n", "mark1", "mark2").agg(F.min("token").alias("token"))
+        pivots = scratch.write(buckets.select("token", "pivot"), "pivots")
+        hits = scratch.write(hits.join(pivots.select("token"), "token"), "hits")
+        scratch.drop("all-hits")
         stars = hits.join(pivots, "token").where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
         stars = scratch.write(stars, "stars")
 
@@ -376,7 +382,7 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
         result = rows.select("doc_id", "n_shingles").join(owned, "doc_id", "left").select(
             "doc_id", "n_shingles", F.coalesce("group", "doc_id").alias("component_id"))
         result = scratch.write(result, "result")
-        scratch.drop("described", "sets", "classes", "members", "stars", "picked", "pairs")
+        scratch.drop("described", "sets", "classes", "members", "pivots", "stars", "picked", "pairs")
         return result
 
 
