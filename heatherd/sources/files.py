@@ -7,7 +7,9 @@ from archives, or from any table that holds files.
 from __future__ import annotations
 
 import io
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -22,7 +24,7 @@ ship_by_value(__name__)
 # Fixed patterns: station code in a file name, header line, line breaks, phantom columns.
 STATION_CODE = r"[A-Z]\d{3}"
 HEADER_LINE = r"(?i)^Data[;(]|^DATA \("
-HEADER_WITHIN = 15
+HEADER_WITHIN = 15  # lines that are searched for the header
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85]"
 RARE_BREAK = "\r(?!\n)|[\x0b\x0c\x1c\x1d\x1e\x85]"
 PHANTOM_COLUMN = r"^$|^unnamed|^_*\d+_*$"
@@ -44,19 +46,39 @@ def station_files(spark: SparkSession, path: str | Sequence[str], suffix: str =
     )
 
 
-def _csv_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _packed_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """CSV members as they are stored in their archives, cut out by the central directory."""
     for batch in batches:
-        for content in batch["content"]:
+        for number, content in enumerate(batch["content"]):
+            view = memoryview(content)
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for member in archive.infolist():
+                for place, member in enumerate(archive.infolist()):
                     name = member.filename.rsplit("/", 1)[-1]
-                    if name.lower().endswith(".csv"):
-                        yield pd.DataFrame({"file_name": [name], "content": [archive.read(member)]})
+                    if not name.lower().endswith(".csv"):
+                        continue
+                    if member.flag_bits & 1 or member.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+                        raw, deflated = archive.read(member), False
+                    else:
+                        names = sum(struct.unpack_from("<2H", view, member.header_offset + 26))
+                        start = member.header_offset + 30 + names
+                        raw, deflated = bytes(view[start : start + member.compress_size]), member.compress_type == zipfile.ZIP_DEFLATED
+                    yield pd.DataFrame({"file_name": [name], "spot": [number + place], "deflated": [deflated], "content": [raw]})
+
+
+def _inflated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for name, deflated, content in zip(batch["file_name"], batch["deflated"], batch["content"]):
+            yield pd.DataFrame({"file_name": [name], "content": [zlib.decompress(content, -15) if deflated else content]})
 
 
 def archive_members(archives: DataFrame) -> DataFrame:
-    """One row per CSV member of every ZIP archive, under its base name, one member in memory at a time."""
-    return archives.select("content").mapInPandas(_csv_members, "file_name string, content binary")
+    """One row per CSV member of every ZIP archive, under its base name.
+
+    An archive is only cut up where it is read. Its members are dealt out as they are, and
+    unpacked and parsed one at a time elsewhere, so a task has members and not archives.
+    """
+    packed = archives.select("content").mapInPandas(_packed_members, "file_name string, spot int, deflated boolean, content binary")
+    return packed.repartition("file_name", "spot").mapInPandas(_inflated, "file_name string, content binary")
 
 
 def _lines(text: Column) -> Column:
@@ -81,7 +103,9 @@ def _column_name(raw: Column) -> Column:
     return name
 
 
-def _parsed_files(files: DataFrame, stations: Sequence[str] | DataFrame | None, station_bound: int | None) -> DataFrame:
+def _parsed_files(
+    files: DataFrame, stations: Sequence[str] | DataFrame | None, station_bound: int | None, header_within: int = HEADER_WITHIN
+) -> DataFrame:
     """Per file of a station: normalized header names and the lines below the header, null without one.
 
     Files without a header are not filtered here: Spark would move the filter below the
@@ -90,7 +114,7 @@ def _parsed_files(files: DataFrame, stations: Sequence[str] | DataFrame | None,
     coded = files.withColumn("cd_estacao", F.regexp_substr("file_name", F.lit(STATION_CODE))).filter(
         F.col("cd_estacao").isNotNull()
     )
-    head = F.transform(F.slice("lines", 1, HEADER_WITHIN), lambda line: line.rlike(HEADER_LINE))
+    head = F.transform(F.slice("lines", 1, header_within), lambda line: line.rlike(HEADER_LINE))
     return (
         keep_stations(coded, stations, station_bound)
         .select("cd_estacao", "file_name", F.decode("content", "ISO-8859-1").alias("text"))
@@ -104,10 +128,12 @@ def _parsed_files(files: DataFrame, stations: Sequence[str] | DataFrame | None,
     )
 
 
-def header_columns(files: DataFrame, stations: Sequence[str] | DataFrame | None = None, station_bound: int | None = None) -> list[str]:
+def header_columns(
+    files: DataFrame, stations: Sequence[str] | DataFrame | None = None, station_bound: int | None = None, header_within: int = HEADER_WITHIN
+) -> list[str]:
     """Names of all columns found in any file with rows. Only the distinct names reach the driver."""
     names = (
-        _parsed_files(files, stations, station_bound)
+        _parsed_files(files, stations, station_bound, header_within)
         .filter(F.exists("body", lambda line: F.length(line) > 0))
         .select(F.explode("names").alias("name"))
         .filter(~F.col("name").rlike(PHANTOM_COLUMN))
@@ -117,11 +143,19 @@ def header_columns(files: DataFrame, stations: Sequence[str] | DataFrame | None
     return sorted(r["name"] for r in names)
 
 
+def skipped_files(files: DataFrame, header_within: int = HEADER_WITHIN) -> DataFrame:
+    """Names of the files without a station code or a header in their first lines, which `station_history` leaves out."""
+    lines = F.slice(_lines(F.decode("content", "ISO-8859-1")), 1, header_within)
+    coded = F.regexp_substr("file_name", F.lit(STATION_CODE)).isNotNull()
+    return files.filter(~coded | ~F.exists(lines, lambda line: line.rlike(HEADER_LINE))).select("file_name")
+
+
 def station_history(
     files: DataFrame,
     stations: Sequence[str] | DataFrame | None = None,
     columns: Sequence[str] | None = None,
     station_bound: int | None = None,
+    header_within: int = HEADER_WITHIN,
 ) -> DataFrame:
     """The all-text hourly history of the files, with columns matched by name.
 
@@ -129,10 +163,10 @@ def station_history(
     null; of repeated columns the first counts. Naming the `columns` saves the extra pass over
     the files that looks for all header names.
     """
-    columns = header_columns(files, stations, station_bound) if columns is None else list(columns)
+    columns = header_columns(files, stations, station_bound, header_within) if columns is None else list(columns)
     position = {c: f"_at_{i}" for i, c in enumerate(columns)}
     # Positions are found once per file, so a line carries small integers instead of the header.
-    located = _parsed_files(files, stations, station_bound).select(
+    located = _parsed_files(files, stations, station_bound, header_within).select(
         "cd_estacao", "body", *[F.array_position("names", c).cast("int").alias(p) for c, p in position.items()]
     )
     lines = located.select("cd_estacao", *position.values(), F.explode_outer("body").alias("line")).filter(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from heatherd.operators.daily import daily_climate
 from heatherd.operators.contracts import check_contract
 from heatherd.operators.frame import HUMIDITY_COLUMN, TEMPERATURE_COLUMN
-from heatherd.sources.files import archive_members, header_columns, station_files, station_history
+from heatherd.sources.files import archive_members, header_columns, skipped_files, station_files, station_history
 from heatherd.sources.payloads import documents
 from heatherd.sources.tables import file_counts, order_violations, parquet_layout, write_table
 
@@ -91,6 +91,16 @@ def test_archives(spark, folder, tmp_path_factory):
     members = archive_members(station_files(spark, str(root), "zip"))
     assert {r["file_name"] for r in members.collect()} == {"INMET_SE_MG_A001_TEST.CSV", "INMET_SE_MG_B002_TEST.csv"}
     assert station_history(members).count() == 10
+    plan = members._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("_inflated") < plan.index("RepartitionByExpression") < plan.index("_packed_members")
+    stored = spark.createDataFrame([("x.zip", bytearray((root / "2024.zip").read_bytes()))] * 2, "file_name string, content binary")
+    assert archive_members(stored).count() == 2
+
+
+def test_skipped_files_are_named(spark, folder):
+    skipped = lambda **more: {r[0] for r in skipped_files(station_files(spark, str(folder)), **more).collect()}
+    assert skipped() == {"no_code.csv", "C003_no_header.csv", "D004_late_header.csv"}
+    assert skipped(header_within=16) == {"no_code.csv", "C003_no_header.csv"}
 
 
 def test_documents(spark, tmp_path):
