@@ -682,7 +682,7 @@ def union_by_name(spark, sf_dir):
     typed = derived.readings(spark, sf_dir).select("cd_estacao", "day", "temp", "rh")
     early = typed.filter(F.col("day") < "1998-01-01").select("day", "cd_estacao", F.col("temp").cast("int").alias("temp"))
     late = typed.filter(F.col("day") >= "1998-01-01")
-    return early.unionByName(late, allowMissingColumns=True).groupBy("cd_estacao").agg(
+    return frame.union_frames([early, late]).groupBy("cd_estacao").agg(
         F.count(F.lit(1)).alias("linhas"), F.sum("temp").alias("temp"), F.count("rh").alias("rh")
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,6 +31,14 @@ def keep_stations(df: DataFrame, codes: Sequence[str] | DataFrame | None, max_co
     return df.filter(F.col("cd_estacao").isin(list(codes)))
 
 
+def union_frames(frames: Sequence[DataFrame]) -> DataFrame:
+    """Rows of all frames with columns matched by name.
+
+    A column that a frame lacks is null there; of different numeric types the wider one is kept.
+    """
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
+
+
 def hourly_observations(
     history: DataFrame,
     codes: Sequence[str] | DataFrame | None = None,
