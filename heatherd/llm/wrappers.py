@@ -38,13 +38,16 @@ MIN_PAGES = 4  # pages that must share a text before it counts as part of the te
 MAX_DEPTH = 200  # elements nested deeper are read as blocks of the element at that depth
 CONSTANT_SHARE = 0.8  # of the pages that have the element
 
+INSIDE = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"  # of a tag; a quoted value may hold the end mark
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|noscript|template|iframe|svg|select|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<",
+    rf"|<svg(?=[\s/>]){INSIDE}/>"
+    rf"|<(script|style|noscript|template|iframe|svg|select|textarea|title)(?=[\s/>])(?:{INSIDE}>|[^>]*>).*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({INSIDE})(?:>|\Z)|[^<]+|<",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# A name with its value, so that nothing inside a value is taken for a name.
+ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORDS = re.compile(r"[a-z]+")
 
 # HTML elements by how they lay out text.
@@ -78,12 +81,12 @@ def element(tag: str, attributes: str, inside_article: bool) -> Node:
         return Node(tag, tag, tag in LEFT_OUT or tag == "header" and not inside_article)
     names, role, hidden, main = [], "", False, tag in MAIN
     for found in ATTRIBUTE.finditer(attributes):
-        key, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
+        key, value = (found[1] or "").lower(), (found[2] or found[3] or found[4] or "").lower()
         if key in ("class", "id"):
             names += WORDS.findall(value)
         elif key == "role":
             role = value
-        else:
+        elif key == "hidden" or key == "aria-hidden":
             hidden = hidden or key == "hidden" or value == "true"
     out = tag in LEFT_OUT or role in ROLES or hidden or (tag == "header" and not inside_article)
     if not main and tag != "body":

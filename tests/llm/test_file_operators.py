@@ -265,6 +265,32 @@ def test_wrapper_inference_folds_groups_and_options():
     assert body[5][0][5][0][:3] == ["li", 2, 1]  # one repeated group
 
 
+def read(html, *others):
+    """The text of a page, read with the wrapper of it and the other pages of its host."""
+    wrapper = wrappers.skeleton(wrappers.parse(html))
+    for other in others:
+        wrapper = wrappers.merge(wrapper, wrappers.skeleton(wrappers.parse(other)))
+    return wrappers.Reader(wrapper).text(html)
+
+
+@pytest.mark.parametrize("attributes", [
+    'style="overflow:hidden"', "style='overflow: hidden'", "style=overflow:hidden", 'data-id="share"', "data-hidden=1", 'title=\'class="menu"\'',
+    'data-x="a" data-role="navigation"', "data-aria-hidden=true", 'aria-hidden="false"', '"hidden"'])
+def test_values_of_other_attributes_rule_nothing_out(attributes):
+    assert read(f"<div {attributes}><article><p>x <span {attributes}>y</span></article></div>") == "x y"
+    assert read("<article>see <a href='/hidden-gems'>gems</a> and <a href=\"/x?id=menu\">menus</a></article>") == "see gems and menus"
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN=''", 'aria-hidden = "true"', "data-x='>' hidden", "role=search", "a=b role='dialog'"])
+def test_exact_attributes_rule_out(attributes):
+    assert read(f"<article>x<div {attributes}>no</div></article>") == "x"
+
+
+def test_self_closed_svg_ends_where_it_closes():
+    assert read('<article>a<svg width="1"/>b<svg d="x>y" />c<svg><text>no</text></svg>d<svg/></article>') == "abcd"
+    assert read("<article><title-card>a</title-card><svg-icon></svg-icon>b</article>") == "a\n\nb"
+
+
 # Queries and pipeline
 
 
