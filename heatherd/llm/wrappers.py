@@ -65,35 +65,58 @@ AROUND = frozenset(
     "signup login search share sharing social related recommended recommendations comment comments reply replies respond disqus "
     "breadcrumb breadcrumbs pagination pager widget toolbar masthead topbar skip hidden".split())
 MAIN = frozenset("article main".split())
+# A header of these is the article's own.
+PARTS = frozenset("article entry post story content section page chapter".split())
+# Words at the head of a class of articles that are cards or comments.
+CARDS = frozenset("related recommended recommendation recommendations teaser card comment comments reply promo sponsored ad advert".split())
+# Whole class names of reader comments: their text differs as that of articles does, so the wrapper cannot tell them.
+COMMENTS = re.compile(r"(?:(?:user|reader|post|article|story|page)[-_])?comments(?:[-_](?:list|area|section))?|comment[-_]list|disqus(?:[-_]\w+)*")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TEXTUAL = HEADINGS | INLINE | frozenset("p li td th tr dt dd pre blockquote figcaption".split())
+FIELDS = frozenset("input button label".split())
+CHARS_OF_ITEM = 20  # text outside links that may go with a link or field of a list of those, as marks and captions
 
 
 class Node:
-    """An element: its label, kids (elements and texts in order), and whether names rule it out."""
+    """An element: its label, kids (elements and texts in order), whether it is ruled out, and whether its names hint at that."""
 
-    __slots__ = ("label", "tag", "kids", "out")
+    __slots__ = ("label", "tag", "kids", "out", "named")
 
-    def __init__(self, label: str, tag: str, out: bool):
-        self.label, self.tag, self.kids, self.out = label, tag, [], out
+    def __init__(self, label: str, tag: str, out: bool, named: bool = False):
+        self.label, self.tag, self.kids, self.out, self.named = label, tag, [], out, named
 
 
 def element(tag: str, attributes: str, inside_article: bool) -> Node:
     if not attributes:
         return Node(tag, tag, tag in LEFT_OUT or tag == "header" and not inside_article)
-    names, role, hidden, main = [], "", False, tag in MAIN
+    classes, ids, role, hidden = [], [], "", False
     for found in ATTRIBUTE.finditer(attributes):
         key, value = (found[1] or "").lower(), (found[2] or found[3] or found[4] or "").lower()
-        if key in ("class", "id"):
-            names += WORDS.findall(value)
+        if key == "class":
+            classes += value.split()
+        elif key == "id":
+            ids += WORDS.findall(value)
         elif key == "role":
             role = value
         elif key == "hidden" or key == "aria-hidden":
             hidden = hidden or key == "hidden" or value == "true"
     out = tag in LEFT_OUT or role in ROLES or hidden or (tag == "header" and not inside_article)
-    if not main and tag != "body":
-        out = out or not AROUND.isdisjoint(names)
+    words = [WORDS.findall(name) for name in classes]
+    names = {word for of_class in words for word in of_class}.union(ids)
     if role in ("main", "article") and not out:
         return Node("main", "main", False)
-    return Node(f"{tag}.{'.'.join(sorted(set(names)))}" if names else tag, tag, out)
+    if tag in MAIN:
+        named = tag == "article" and any(of_class and of_class[0] in CARDS for of_class in words)
+    elif tag == "body":
+        named = False
+    elif inside_article:  # names are a hint that needs more to it, see `furniture`
+        named = tag not in TEXTUAL and not AROUND.isdisjoint(names - {"header"})
+        out = out or tag not in TEXTUAL and any(COMMENTS.fullmatch(name) for name in classes)
+    else:
+        named = any(not AROUND.isdisjoint(of_class) and (PARTS.isdisjoint(of_class) or "header" not in of_class) for of_class in words)
+        named = named or tag not in INLINE and tag not in HEADINGS and not AROUND.isdisjoint(ids)
+        out = out or named
+    return Node(f"{tag}.{'.'.join(sorted(names))}" if names else tag, tag, out, named)
 
 
 def parse(page: str) -> Node:
@@ -238,6 +261,33 @@ def has_article(wrapper: list) -> bool:
     return any(kid[0].split(".")[0] in MAIN or has_article(kid) for kid in wrapper[5])
 
 
+def measure(node: Node, in_link: bool = False) -> tuple[int, int, int]:
+    """Characters outside and inside links below a node, and its links and form fields."""
+    outside = inside = items = 0
+    for kid in node.kids:
+        if isinstance(kid, str):
+            n = len("".join(kid.split()))
+            outside, inside = (outside, inside + n) if in_link else (outside + n, inside)
+        elif kid.tag in FIELDS:
+            items += 1
+        elif not kid.out:
+            below = measure(kid, in_link or kid.tag == "a")
+            outside, inside, items = outside + below[0], inside + below[1], items + below[2] + (kid.tag == "a")
+    return outside, inside, items
+
+
+def holds(node: Node, tag: str) -> bool:
+    return any(isinstance(kid, Node) and (kid.tag == tag or holds(kid, tag)) for kid in node.kids)
+
+
+def furniture(node: Node) -> bool:
+    """Whether an element in an article whose names hint at furniture is a list of links or form fields, or a card."""
+    if node.tag in MAIN:
+        return True
+    outside, inside, items = measure(node)
+    return items >= 2 and outside <= inside + CHARS_OF_ITEM * items and outside <= 2 * CHARS_OF_ITEM * items and not holds(node, "h1")
+
+
 def blocks(node: Node, template: dict | None, out: list[list[str]]) -> None:
     """Appends the blocks of text below a node; `template` holds the constants of its wrapper node."""
     for kid in node.kids:
@@ -248,7 +298,7 @@ def blocks(node: Node, template: dict | None, out: list[list[str]]) -> None:
                 out.append([])
             elif kid.tag == "br":
                 out[-1].append(" ")
-        elif not kid.out:
+        elif not kid.out and not (kid.named and furniture(kid)):
             below = (template or {}).get("kids", {}).get(kid.label)
             if below and below["constant"] is not None and below["constant"] == constant(kid):
                 continue
@@ -294,6 +344,7 @@ class Reader:
         root = parse(page)
         out: list[list[str]] = [[]]
         main = articles(root, [])
+        main = [node for node in main if not node.named] or main  # cards stand for a page that has nothing else
         if main:
             for node in main:
                 out.append([])

@@ -291,6 +291,24 @@ def test_self_closed_svg_ends_where_it_closes():
     assert read("<article><title-card>a</title-card><svg-icon></svg-icon>b</article>") == "a\n\nb"
 
 
+@pytest.mark.parametrize("part, text", [
+    ("<div class='article-header'><h1>Title</h1><p>lead</div>", "Title\n\nlead"), ("<div class=entry-header><h1><a>Title</a></h1></div>", "Title"),
+    ("<h2 id=related-work>Related</h2>", "Related"), ("<h2 id=search>Search</h2>", "Search"), ("<h2 id=comments-on-the-method>On</h2>", "On"),
+    ("<section id='social-history'><p>long ago</section>", "long ago"), ("<p class=notice>mind this</p>", "mind this"),
+    ("<div class=related><p>" + "work of others " * 9 + "<a>one</a> <a>two</a></div>", ("work of others " * 9 + "one two")),
+    ("<div class=share>Share: <a>one</a> <a>two</a></div>", ""), ("<div id=search><label>find</label><input><input></div>", ""),
+    ("<nav>no</nav><div class=comments><p>no</div>", "")])
+def test_names_alone_rule_nothing_out_inside_an_article(part, text):
+    assert read(f"<article><p>x</p>{part}</article>") == (f"x\n\n{text}" if text else "x")
+
+
+def test_cards_are_not_main_text():
+    assert read("<article class=related>card</article><article class='post share'>story</article><article class=comment-body>c</article>") == "story"
+    assert read("<article>story<article class='comment even'>c</article></article>") == "story"
+    assert read("<article class=teaser>only</article>") == "only"
+    assert read("<h1 id=search-trees>T</h1><div class=post-header><h2>S</h2></div><div class=header>no</div>") == "T\n\nS"
+
+
 # Queries and pipeline
 
 
