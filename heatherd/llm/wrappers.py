@@ -119,10 +119,70 @@ def element(tag: str, attributes: str, inside_article: bool) -> Node:
     return Node(f"{tag}.{'.'.join(sorted(names))}" if names else tag, tag, out, named)
 
 
+def measure(node: Node, in_link: bool = False, beside: bool = False) -> tuple[int, int, int]:
+    """Characters outside and inside links below a node, and its links and form fields; `beside` leaves articles out."""
+    outside = inside = items = 0
+    for kid in node.kids:
+        if isinstance(kid, str):
+            n = len("".join(kid.split()))
+            outside, inside = (outside, inside + n) if in_link else (outside + n, inside)
+        elif kid.tag in FIELDS:
+            items += 1
+        elif not kid.out and not (beside and kid.tag in MAIN):
+            below = measure(kid, in_link or kid.tag == "a", beside)
+            outside, inside, items = outside + below[0], inside + below[1], items + below[2] + (kid.tag == "a")
+    return outside, inside, items
+
+
+def nested(node: Node, found: list[Node]) -> list[Node]:
+    """The articles in a main element, without those in articles."""
+    for kid in node.kids:
+        if isinstance(kid, Node) and not kid.out:
+            if kid.tag in MAIN:
+                found.append(kid)
+            else:
+                nested(kid, found)
+    return found
+
+
+def linked_heading(node: Node) -> bool:
+    """Whether a heading of an article is a link, as on cards."""
+    for kid in node.kids:
+        if isinstance(kid, Node) and not kid.out:
+            if kid.tag in HEADINGS:
+                outside, inside, _ = measure(kid, node.tag == "a")
+                return inside > outside
+            if linked_heading(kid):
+                return True
+    return False
+
+
+def settle(main: Node) -> None:
+    """Tells cards in a main element from articles that are its text, and rules out by name what is beside the latter."""
+    inner = nested(main, [])
+    if not inner:
+        return
+    beside = sum(measure(main, beside=True)[:2])
+    sizes = [measure(article) for article in inner]
+    for article, (outside, inside, _) in zip(inner, sizes):
+        article.named = article.named or beside > 0 and inside > outside or linked_heading(article) and beside > outside
+    if sum(sum(size[:2]) for article, size in zip(inner, sizes) if not article.named) > beside:
+        names_beside(main)
+
+
+def names_beside(node: Node) -> None:
+    for kid in node.kids:
+        if isinstance(kid, Node) and kid.tag not in MAIN:
+            kid.out = kid.out or kid.named
+            if not kid.out:
+                names_beside(kid)
+
+
 def parse(page: str) -> Node:
     """The tree of a page; elements that may stay open are closed where the next one begins."""
     root = Node("", "", False)
     stack, articles, deeper = [root], 0, 0
+    mains: list[Node] = []
 
     def pop(depth: int) -> None:
         nonlocal articles
@@ -169,6 +229,10 @@ def parse(page: str) -> Node:
         stack[-1].kids.append(node)
         stack.append(node)
         articles += tag in MAIN
+        if node.tag == "main":
+            mains.append(node)
+    for main in mains:
+        settle(main)
     return root
 
 
@@ -261,21 +325,6 @@ def has_article(wrapper: list) -> bool:
     return any(kid[0].split(".")[0] in MAIN or has_article(kid) for kid in wrapper[5])
 
 
-def measure(node: Node, in_link: bool = False) -> tuple[int, int, int]:
-    """Characters outside and inside links below a node, and its links and form fields."""
-    outside = inside = items = 0
-    for kid in node.kids:
-        if isinstance(kid, str):
-            n = len("".join(kid.split()))
-            outside, inside = (outside, inside + n) if in_link else (outside + n, inside)
-        elif kid.tag in FIELDS:
-            items += 1
-        elif not kid.out:
-            below = measure(kid, in_link or kid.tag == "a")
-            outside, inside, items = outside + below[0], inside + below[1], items + below[2] + (kid.tag == "a")
-    return outside, inside, items
-
-
 def holds(node: Node, tag: str) -> bool:
     return any(isinstance(kid, Node) and (kid.tag == tag or holds(kid, tag)) for kid in node.kids)
 
@@ -325,9 +374,7 @@ def articles(node: Node, found: list[Node]) -> list[Node]:
     for kid in node.kids:
         if isinstance(kid, Node) and not kid.out:
             if kid.tag in MAIN:
-                inner: list[Node] = []
-                # a main element around articles stands for those
-                found += articles(kid, inner) or [kid] if kid.tag == "main" else [kid]
+                found.append(kid)
             else:
                 articles(kid, found)
     return found
@@ -342,9 +389,18 @@ class Reader:
 
     def text(self, page: str) -> str:
         root = parse(page)
+        text = self.main_text(root)
+        if not text:
+            cards = [card for node in articles(root, []) for card in [node, *nested(node, [])] if card.named]
+            for card in cards:  # they stand for a page that has nothing else
+                card.named = False
+            text = self.main_text(root) if cards else text
+        return text
+
+    def main_text(self, root: Node) -> str:
         out: list[list[str]] = [[]]
         main = articles(root, [])
-        main = [node for node in main if not node.named] or main  # cards stand for a page that has nothing else
+        main = [node for node in main if not node.named]
         if main:
             for node in main:
                 out.append([])

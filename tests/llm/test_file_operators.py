@@ -309,6 +309,19 @@ def test_cards_are_not_main_text():
     assert read("<h1 id=search-trees>T</h1><div class=post-header><h2>S</h2></div><div class=header>no</div>") == "T\n\nS"
 
 
+@pytest.mark.parametrize("main, text", [
+    ("<h1>Title</h1><p>lead</p><article><p>long story</article>", "Title\n\nlead\n\nlong story"),
+    ("<h1>T</h1><p>the whole story</p><article class=teaser>card</article>", "T\n\nthe whole story"),
+    ("<h1>T</h1><p>the whole long story</p><article><h3><a href=/x>other</a></h3><p>its lead</article>", "T\n\nthe whole long story"),
+    ("<p>the story</p><section class=social-history><p>long ago</section><article><a>card</a></article>", "the story\n\nlong ago"),
+    ("<header><h1>T</h1></header><div class=sidebar>no</div><article><p>a longer story</article><div class=share>no</div>", "T\n\na longer story"),
+    ("<nav>no</nav><article><p>story</article><aside>no</aside>", "story"),
+    ("<article><h2><a>one</a></h2><p>x</article><article><h2><a>two</a></h2><p>y</article>", "one\n\nx\n\ntwo\n\ny"),
+    ("<article class=card>only</article>", "only"), ("<p>story<article>part</article>", "story\n\npart")])
+def test_main_around_articles_keeps_its_text(main, text):
+    assert read(f"<main>{main}</main><p>out") == text
+
+
 # Queries and pipeline
 
 
