@@ -36,7 +36,8 @@ from heatherd.session import ship_by_value
 
 MIN_PAGES = 4  # pages that must share a text before it counts as part of the template
 MAX_DEPTH = 200  # elements nested deeper are read as blocks of the element at that depth
-CONSTANT_SHARE = 0.8  # of the pages that have the element
+CONSTANT_SHARE = 0.8  # of the pages that have the element around the text
+MISSES = 8  # pages more than half that may lack a text before it is no longer counted
 
 INSIDE = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"  # of a tag; a quoted value may hold the end mark
 TOKEN = re.compile(
@@ -236,16 +237,37 @@ def parse(page: str) -> Node:
     return root
 
 
-# A wrapper node is [label, pages, repeated, texts, chars outside links, kids]; `texts` counts pages
-# by the hash of their constant text, under -1 once they differ too much to be one.
+# A wrapper node is [label, pages, repeated, texts, chars outside links, kids]; `texts` has, for the own
+# texts of kids by label and hash, [pages that have it, chars outside links]. Texts that less than half of
+# the pages share are not counted on.
+APART, SAME, BESIDE = range(3)  # nodes merged are of different pages, of one page, or neighbours on any pages
 
 
-def skeleton(node: Node, in_link: bool = False) -> list:
+def own_text(node: Node) -> str:
+    return " ".join("".join(kid for kid in node.kids if isinstance(kid, str)).split())
+
+
+def key(label: str, own: str) -> str:
+    return f"{label} {zlib.crc32(own.encode())}"
+
+
+def skeleton(node: Node) -> list:
     """The wrapper of a single page."""
+    return skeleton_and_text(node, False)[0]
+
+
+def skeleton_and_text(node: Node, in_link: bool) -> tuple[list, str]:
     in_link = in_link or node.tag == "a"
-    own = " ".join("".join(kid for kid in node.kids if isinstance(kid, str)).split())
-    kids = [skeleton(kid, in_link) for kid in node.kids if isinstance(kid, Node) and kid.tag not in VOID and not kid.out]
-    return [node.label, 1, 0, zlib.crc32(own.encode()) if own else 0, 0 if in_link else len(own), repeats(kids)]
+    own = own_text(node)
+    kids, texts = [], {}
+    for kid in node.kids:
+        if isinstance(kid, Node) and kid.tag not in VOID and not kid.out:
+            one, text = skeleton_and_text(kid, in_link)
+            kids.append(one)
+            if text:
+                known = texts.setdefault(key(kid.label, text), [1, 0])
+                known[1] += one[4]
+    return [node.label, 1, 0, texts, 0 if in_link else len(own), repeats(kids)], own
 
 
 def repeats(kids: list) -> list:
@@ -256,24 +278,39 @@ def repeats(kids: list) -> list:
         for period in (1, 2, 3):
             first, second = out[-2 * period : -period], out[-period:]
             if len(first) == period and [k[0] for k in first] == [k[0] for k in second]:
-                folded = [merge(a, b) for a, b in zip(first, second)]
+                folded = [merge(a, b, SAME) for a, b in zip(first, second)]
                 for a in folded:
-                    a[1], a[2] = 1, 1
+                    a[2] = 1
                 out[-2 * period :] = folded
                 break
     return out
 
 
-def merge(a: list, b: list) -> list:
+def merge(a: list, b: list, how: int = APART) -> list:
     """Union-free generalisation of two wrapper nodes with one label."""
-    text = a[3] if a[3] == b[3] else -1
-    return [a[0], a[1] + b[1], a[2] | b[2], text, a[4] + b[4], align(a[5], b[5])]
+    pages = a[1] + b[1] if how == APART else max(a[1], b[1])
+    return [a[0], pages, a[2] | b[2], shared(a, b, pages, how), a[4] + b[4], align(a[5], b[5], how)]
+
+
+def shared(a: list, b: list, pages: int, how: int) -> dict:
+    """Counts of the texts of both; of neighbours, which may be on the same pages, as many as are certain."""
+    out, less = {}, min(a[1], b[1]) if how == BESIDE else 0
+    for one, other, both in ((a[3], b[3], True), (b[3], a[3], False)):
+        for text, (n, chars) in one.items():
+            if text in other:
+                if not both:
+                    continue
+                n, chars = n + other[text][0], chars + other[text][1]
+            n = min(n, 1) if how == SAME else n - less
+            if n > 0 and 2 * n + MISSES >= pages:
+                out[text] = [n, chars]
+    return out
 
 
-def align(a: list, b: list) -> list:
+def align(a: list, b: list, how: int = APART) -> list:
     """Kids of both in order: equal labels are merged, others stay as optional (fewer pages than the parent)."""
     if [k[0] for k in a] == [k[0] for k in b]:
-        return [merge(x, y) for x, y in zip(a, b)]
+        return [merge(x, y, how) for x, y in zip(a, b)]
     ahead: dict[str, list[int]] = {}
     for j in range(len(b) - 1, -1, -1):
         ahead.setdefault(b[j][0], []).append(j)
@@ -285,7 +322,7 @@ def align(a: list, b: list) -> list:
         if places:
             stop = places.pop()
             out += b[j:stop]
-            out.append(merge(x, b[stop]))
+            out.append(merge(x, b[stop], how))
             j = stop + 1
         else:
             out.append(x)
@@ -297,28 +334,40 @@ def repeats_kept(kids: list) -> list:
     out: list = []
     for kid in kids:
         if out and out[-1][0] == kid[0]:
-            pages = max(out[-1][1], kid[1])
-            out[-1] = merge(out[-1], kid)
-            out[-1][1], out[-1][2] = pages, 1
+            out[-1] = merge(out[-1], kid, BESIDE)
+            out[-1][2] = 1
         else:
             out.append(kid)
     return out
 
 
-def content_path(wrapper: list) -> list[str]:
-    """Labels down to the subtree that holds most slot text outside links, in a template without an article."""
-    def weight(node: list) -> int:
-        own = node[4] if node[3] == -1 or node[1] < MIN_PAGES else 0
-        return own + sum(weight(kid) for kid in node[5])
+def fixed_texts(wrapper: list) -> list[str]:
+    """Own texts of kids that count as part of the template."""
+    least = max(MIN_PAGES, CONSTANT_SHARE * wrapper[1])
+    return [text for text, (pages, _) in wrapper[3].items() if pages >= least]
 
-    path, node = [], wrapper
-    total = weight(node)
+
+def slot_chars(wrapper: list) -> dict[str, int]:
+    """Characters of slots outside links by the label of the kid that holds them."""
+    found: dict[str, int] = {}
+    for kid in wrapper[5]:
+        found[kid[0]] = found.get(kid[0], 0) + kid[4] + sum(slot_chars(kid).values())
+    for text in fixed_texts(wrapper):
+        found[text.rsplit(" ", 1)[0]] -= wrapper[3][text][1]
+    return found
+
+
+def content_path(wrapper: list) -> list[str]:
+    """Labels down to the smallest subtree with all slot text outside links, in a template without an article."""
+    path, node, own = [], wrapper, wrapper[4]
     while True:
-        best = max(node[5], key=weight, default=None)
-        if best is None or weight(best) * 10 < total * 9 or best[0].split(".")[0] in ("p", "li", "td", "h1", "h2") or best[2]:
+        holders = [label for label, chars in slot_chars(node).items() if chars > 0]
+        kids = [kid for kid in node[5] if kid[0] in holders]
+        if own or len(kids) != 1 or kids[0][2] or kids[0][0].split(".")[0] in ("p", "li", "td", "h1", "h2"):
             return path
-        path.append(best[0])
-        node = best
+        own = kids[0][4] - sum(node[3][text][1] for text in fixed_texts(node) if text.rsplit(" ", 1)[0] == kids[0][0])
+        node = kids[0]
+        path.append(node[0])
 
 
 def has_article(wrapper: list) -> bool:
@@ -337,37 +386,47 @@ def furniture(node: Node) -> bool:
     return items >= 2 and outside <= inside + CHARS_OF_ITEM * items and outside <= 2 * CHARS_OF_ITEM * items and not holds(node, "h1")
 
 
-def blocks(node: Node, template: dict | None, out: list[list[str]]) -> None:
-    """Appends the blocks of text below a node; `template` holds the constants of its wrapper node."""
+CELLS = frozenset("td th dt dd".split())
+
+
+def blocks(node: Node, template: tuple | None, out: list[list[str]], lost: list[str], skip: bool = False, tied: bool = False) -> None:
+    """Appends the blocks of text below a node.
+
+    `template` is what `constants` has for it; texts of the template go to `lost`, what is below them stays.
+    `skip` is set where the own text is one; in a block with own text of the page (`tied`) inline elements keep theirs.
+    """
+    tied = tied or not skip and any(isinstance(kid, str) and not kid.isspace() and kid for kid in node.kids)
     for kid in node.kids:
         if isinstance(kid, str):
-            out[-1].append(kid)
+            (lost if skip else out[-1]).append(kid)
+            if skip:
+                out[-1].append(" ")
         elif kid.tag in VOID:
             if kid.tag == "hr":
                 out.append([])
             elif kid.tag == "br":
                 out[-1].append(" ")
         elif not kid.out and not (kid.named and furniture(kid)):
-            below = (template or {}).get("kids", {}).get(kid.label)
-            if below and below["constant"] is not None and below["constant"] == constant(kid):
-                continue
             inline = kid.tag in INLINE
+            fixed = template is not None and not (inline and tied) and is_fixed(kid, template)
             if not inline:
                 out.append([])
-            blocks(kid, below, out)
+            blocks(kid, template and template[1].get(kid.label), out, lost, fixed, inline and tied)
             if not inline:
                 out.append([])
 
 
-def constant(node: Node) -> int:
-    own = " ".join("".join(kid for kid in node.kids if isinstance(kid, str)).split())
-    return zlib.crc32(own.encode()) if own else 0
+def is_fixed(kid: Node, template: tuple) -> bool:
+    return bool(template[0]) and key(kid.label, own_text(kid)) in template[0]
 
 
-def constants(wrapper: list, parent: int) -> dict:
-    """The wrapper as a lookup: kids by label, and the text that counts as part of the template."""
-    fixed = wrapper[3] not in (0, -1) and wrapper[1] >= MIN_PAGES and wrapper[1] >= CONSTANT_SHARE * parent and not wrapper[2]
-    return {"constant": wrapper[3] if fixed else None, "kids": {kid[0]: constants(kid, wrapper[1]) for kid in wrapper[5]}}
+def constants(wrappers: list[list]) -> tuple:
+    """Wrapper nodes of one label as a lookup: own texts of kids that are part of the template, and kids by label."""
+    kids: dict[str, list] = {}
+    for kid in (kid for wrapper in wrappers for kid in wrapper[5]):
+        kids.setdefault(kid[0], []).append(kid)
+    fixed = {text for wrapper in wrappers for text in fixed_texts(wrapper)}
+    return fixed, {label: constants(group) for label, group in kids.items()}
 
 
 def articles(node: Node, found: list[Node]) -> list[Node]:
@@ -385,7 +444,8 @@ class Reader:
 
     def __init__(self, wrapper: list):
         self.path = None if has_article(wrapper) else content_path(wrapper)
-        self.template = constants(wrapper, wrapper[1])
+        # pages that agree in everything have no constants to go by
+        self.template = constants([wrapper]) if wrapper[4] or any(slot_chars(wrapper).values()) else None
 
     def text(self, page: str) -> str:
         root = parse(page)
@@ -404,15 +464,16 @@ class Reader:
         if main:
             for node in main:
                 out.append([])
-                blocks(node, None, out)
+                blocks(node, None, out, [])
         else:
-            node, template = root, self.template
+            node, template, skip = root, self.template, False
             for label in self.path or ():
                 following = [kid for kid in node.kids if isinstance(kid, Node) and kid.label == label and not kid.out]
                 if len(following) != 1:
                     break
-                node, template = following[0], template["kids"].get(label, {"constant": None, "kids": {}})
-            blocks(node, template, out)
+                node, skip = following[0], template is not None and is_fixed(following[0], template)
+                template = template and template[1].get(label)
+            blocks(node, template, out, [], skip)
         texts = (" ".join(html.unescape("".join(parts)).split()) for parts in out)
         return "\n\n".join(text for text in texts if text)
 

@@ -322,6 +322,20 @@ def test_main_around_articles_keeps_its_text(main, text):
     assert read(f"<main>{main}</main><p>out") == text
 
 
+def test_only_constant_text_goes_and_what_is_below_stays():
+    pages = [f"<body><h1>Title {i}</h1><p class=byline>By <a>author {i}</a></p><div class=abstract>Abstract <p>short {i}</p></div><div class=hint>Read "
+             f"<b>all</b></div><div class=text>{'long text ' * 40}{i}</div></body>" for i in range(5)]
+    assert read(*pages).split("\n\n") == ["Title 0", "author 0", "short 0", "long text " * 40 + "0"]
+    few = [f"<div class=box>{'much text ' * 50}{i}</div><div class=story></div>" for i in range(20)]
+    assert read("<div class=box></div><div class=story>the story</div>", *few) == "the story"
+    one = [f"<div class=a><p class=x>Menu</p></div><div class=b><p class=x>Menu</p><div class=c>{i} <i>Menu</i> text</div></div>" for i in range(5)]
+    assert read(*one) == "0 Menu text"  # constants inside a sentence stay
+
+
+def test_pages_that_agree_in_everything_are_read_whole():
+    assert read(*["<div class=a>same</div><p>text"] * 6) == "same\n\ntext"
+
+
 # Queries and pipeline
 
 
