@@ -7,15 +7,19 @@ side has becomes optional. The wrapper thus tells what the template of a host re
 (constant texts, lists of links) from what the pages fill in.
 
 Every task folds its pages into one wrapper per host, and the wrappers of a host are folded again,
-so a host with a third of all pages is never gathered in one task. A page is then read with its
-host's wrapper: the text of its article element, or, where the template has none, of the subtree
-whose slots hold most text outside links. Menus, headers, footers, sidebars, notices, adverts,
-forms and reader comments are left out by the names of their elements, roles and classes, outside
-articles also texts that the template repeats.
+so a host with a third of all pages is never gathered in one task. Every page is then aligned with
+its host's wrapper: the text comes from the slots of its article or main element, or, where the
+template has none, of the smallest subtree with all slot text outside links. Texts that the
+template repeats are left out in articles too, as are menus, headers, footers, sidebars, notices,
+adverts, forms and reader comments outside them by the names of their elements, roles and classes.
+Inside an article a name is only a hint: it counts for lists of links or form fields, for adverts
+that the wrapper has on several pages, and, as nothing else tells them, for containers whose whole
+class name says reader comments.
 
 Defined cases: a null or empty page has an empty text; a page without a usable URL belongs to the
 host ''; pages of one host that agree in everything have no constants to go by, so nothing is
-taken off as one below `MIN_PAGES` pages; equal rows have equal results; an empty table gives an
+taken off as one below `MIN_PAGES` pages, nor from an article of which most is such text, as in
+copies; cells of tables in articles and constants inside a sentence stay; equal rows have equal results; an empty table gives an
 empty result; other columns are ignored. A tag that the end of the page cuts off is dropped, as
 browsers do; pages are read whole.
 """
@@ -74,6 +78,10 @@ CARDS = frozenset("related recommended recommendation recommendations teaser car
 COMMENTS = re.compile(r"(?:(?:user|reader|post|article|story|page)[-_])?comments(?:[-_](?:list|area|section))?|comment[-_]list|disqus(?:[-_]\w+)*")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TEXTUAL = HEADINGS | INLINE | frozenset("p li td th tr dt dd pre blockquote figcaption".split())
+# Names of adverts without further words but these places for them.
+ADVERTS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsored promo ad.slot ad.unit ad.container ad.box ad.banner "
+    "ad.wrapper ads.wrapper".split())
 FIELDS = frozenset("input button label".split())
 CHARS_OF_ITEM = 20  # text outside links that may go with a link or field of a list of those, as marks and captions
 
@@ -378,9 +386,10 @@ def holds(node: Node, tag: str) -> bool:
     return any(isinstance(kid, Node) and (kid.tag == tag or holds(kid, tag)) for kid in node.kids)
 
 
-def furniture(node: Node) -> bool:
-    """Whether an element in an article whose names hint at furniture is a list of links or form fields, or a card."""
-    if node.tag in MAIN:
+def furniture(node: Node, template: tuple | None) -> bool:
+    """Whether an element in an article whose names hint at furniture is a card, a list of links or form fields, or an
+    advert that the host's wrapper has on several pages."""
+    if node.tag in MAIN or template is not None and template[2] >= MIN_PAGES and node.label.split(".", 1)[-1] in ADVERTS:
         return True
     outside, inside, items = measure(node)
     return items >= 2 and outside <= inside + CHARS_OF_ITEM * items and outside <= 2 * CHARS_OF_ITEM * items and not holds(node, "h1")
@@ -389,11 +398,13 @@ def furniture(node: Node) -> bool:
 CELLS = frozenset("td th dt dd".split())
 
 
-def blocks(node: Node, template: tuple | None, out: list[list[str]], lost: list[str], skip: bool = False, tied: bool = False) -> None:
+def blocks(node: Node, template: tuple | None, out: list[list[str]], lost: list[str], skip: bool = False, tied: bool = False,
+           article: bool = False) -> None:
     """Appends the blocks of text below a node.
 
     `template` is what `constants` has for it; texts of the template go to `lost`, what is below them stays.
-    `skip` is set where the own text is one; in a block with own text of the page (`tied`) inline elements keep theirs.
+    `skip` is set where the own text is one; in a block with own text of the page (`tied`) inline elements keep theirs,
+    in an article cells of tables and definitions do too.
     """
     tied = tied or not skip and any(isinstance(kid, str) and not kid.isspace() and kid for kid in node.kids)
     for kid in node.kids:
@@ -406,12 +417,15 @@ def blocks(node: Node, template: tuple | None, out: list[list[str]], lost: list[
                 out.append([])
             elif kid.tag == "br":
                 out[-1].append(" ")
-        elif not kid.out and not (kid.named and furniture(kid)):
+        elif not kid.out:
+            below = template and template[1].get(kid.label)
+            if kid.named and furniture(kid, below):
+                continue
             inline = kid.tag in INLINE
-            fixed = template is not None and not (inline and tied) and is_fixed(kid, template)
+            fixed = template is not None and not (inline and tied) and not (article and kid.tag in CELLS) and is_fixed(kid, template)
             if not inline:
                 out.append([])
-            blocks(kid, template and template[1].get(kid.label), out, lost, fixed, inline and tied)
+            blocks(kid, below, out, lost, fixed, inline and tied or article and kid.tag in CELLS, article)
             if not inline:
                 out.append([])
 
@@ -421,24 +435,48 @@ def is_fixed(kid: Node, template: tuple) -> bool:
 
 
 def constants(wrappers: list[list]) -> tuple:
-    """Wrapper nodes of one label as a lookup: own texts of kids that are part of the template, and kids by label."""
+    """Wrapper nodes of one label as a lookup: own texts of kids that are part of the template, kids by label, and pages."""
     kids: dict[str, list] = {}
     for kid in (kid for wrapper in wrappers for kid in wrapper[5]):
         kids.setdefault(kid[0], []).append(kid)
     fixed = {text for wrapper in wrappers for text in fixed_texts(wrapper)}
-    return fixed, {label: constants(group) for label, group in kids.items()}
+    return fixed, {label: constants(group) for label, group in kids.items()}, max(wrapper[1] for wrapper in wrappers)
 
 
-def articles(node: Node, found: list[Node]) -> list[Node]:
+def articles(node: Node, template: tuple | None, found: list[tuple]) -> list[tuple]:
+    """(article, what the template has for it, whether its own text is part of the template), without articles in articles."""
     for kid in node.kids:
         if isinstance(kid, Node) and not kid.out:
+            below = template and template[1].get(kid.label)
             if kid.tag in MAIN:
-                found.append(kid)
+                found.append((kid, below, template is not None and is_fixed(kid, template)))
             else:
-                articles(kid, found)
+                articles(kid, below, found)
     return found
 
 
+def joined(blocks_of_text: list[list[str]]) -> list[str]:
+    texts = (" ".join(html.unescape("".join(parts)).split()) for parts in blocks_of_text)
+    return [text for text in texts if text]
+
+
+def article_text(node: Node, template: tuple | None, fixed: bool) -> list[str]:
+    """The text of an article without what its host repeats; whole where that is most of it, as in copies of one article."""
+    out: list[list[str]] = [[]]
+    lost: list[str] = []
+    blocks(node, template, out, lost, fixed, article=True)
+    texts = joined(out)
+    if sum(map(len, lost)) > sum(map(len, texts)):
+        whole: list[list[str]] = [[]]
+        blocks(node, without_texts(template), whole, [], article=True)
+        return joined(whole)
+    return texts
+
+
+def without_texts(template: tuple | None) -> tuple | None:
+    return template and (set(), {label: without_texts(kid) for label, kid in template[1].items()}, template[2])
+
+
 class Reader:
     """Reads pages of one host with its wrapper."""
 
@@ -451,31 +489,26 @@ class Reader:
         root = parse(page)
         text = self.main_text(root)
         if not text:
-            cards = [card for node in articles(root, []) for card in [node, *nested(node, [])] if card.named]
+            cards = [card for node, *_ in articles(root, None, []) for card in [node, *nested(node, [])] if card.named]
             for card in cards:  # they stand for a page that has nothing else
                 card.named = False
             text = self.main_text(root) if cards else text
         return text
 
     def main_text(self, root: Node) -> str:
-        out: list[list[str]] = [[]]
-        main = articles(root, [])
-        main = [node for node in main if not node.named]
+        main = [found for found in articles(root, self.template, []) if not found[0].named]
         if main:
-            for node in main:
-                out.append([])
-                blocks(node, None, out, [])
-        else:
-            node, template, skip = root, self.template, False
-            for label in self.path or ():
-                following = [kid for kid in node.kids if isinstance(kid, Node) and kid.label == label and not kid.out]
-                if len(following) != 1:
-                    break
-                node, skip = following[0], template is not None and is_fixed(following[0], template)
-                template = template and template[1].get(label)
-            blocks(node, template, out, [], skip)
-        texts = (" ".join(html.unescape("".join(parts)).split()) for parts in out)
-        return "\n\n".join(text for text in texts if text)
+            return "\n\n".join(text for found in main for text in article_text(*found))
+        out: list[list[str]] = [[]]
+        node, template, skip = root, self.template, False
+        for label in self.path or ():
+            following = [kid for kid in node.kids if isinstance(kid, Node) and kid.label == label and not kid.out]
+            if len(following) != 1:
+                break
+            node, skip = following[0], template is not None and is_fixed(following[0], template)
+            template = template and template[1].get(label)
+        blocks(node, template, out, [], skip)
+        return "\n\n".join(joined(out))
 
 
 def pages_of(batch: pa.RecordBatch) -> Iterator[tuple[str, str]]:

@@ -336,6 +336,25 @@ def test_pages_that_agree_in_everything_are_read_whole():
     assert read(*["<div class=a>same</div><p>text"] * 6) == "same\n\ntext"
 
 
+def test_articles_are_read_with_the_wrapper(spark, prose):
+    def story(i, host):
+        share = "Share this story with your friends" if host == "a" else f"Share {i} {prose(3)}"
+        return (f"<body><article><h1>Story {i}</h1><p>{prose(20 + i)}</p><div class=x>Written by <i>{i}</i></div><p>{prose(9)} <b>Note</b> {i}</p>"
+                f"<table><tr><th>Year<td>{i}</table><div class=ad>Buy {prose(3)}</div><p>{share}</p></article></body>")
+
+    pages = {(host, i): story(i, host) for host, n in (("a", 12), ("b", 12), ("few", 3)) for i in range(n)}
+    copy = story(0, "a")
+    pages |= {("copies", i): copy for i in range(12)} | {("copies", 12): story(12, "a")}
+    df = spark.createDataFrame([(f"http://{host}/{i}", html) for (host, i), html in pages.items()], "url string, html string")
+    got = {r.url: r.text for r in wrappers.extract_text(df.select(F.lit(1).alias("page_id"), "url", "html").repartition(5)).collect()}
+    for (host, i), html in pages.items():
+        text = got[f"http://{host}/{i}"]
+        host = "a" if html == pages["copies", 12] else host
+        assert f"Story {0 if host == 'copies' else i}\n\n" in text and " Note " in text and "Year\n\n" in text, host
+        assert ("Share" in text) == (host != "a") and ("Written by" in text) == (host in ("few", "copies")), host
+        assert ("Buy" in text) == (host == "few"), host
+
+
 # Queries and pipeline
 
 
