@@ -120,22 +120,32 @@ def to_cells(batches: Iterator[pa.RecordBatch], how: Plan) -> Iterator[pa.Record
                     ["t", "cell", "vec_id", "mark", "weight", "vector"])
 
 
+def window_pairs(line: np.ndarray, window: float) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair of vectors once, smaller position first, that lie in each other's window on a line."""
+    order = np.argsort(line).astype(np.int32)
+    at = line[order]
+    first = np.arange(len(at), dtype=np.int32)
+    sizes = np.searchsorted(at, at + window, "right").astype(np.int32) - first - 1
+    a = np.repeat(first, sizes)
+    b = np.arange(1, len(a) + 1, dtype=np.int32) - np.repeat((np.cumsum(sizes) - sizes - first).astype(np.int32), sizes)
+    a, b = order[a], order[b]
+    return np.minimum(a, b), np.maximum(a, b)
+
+
 def compare(rows: pa.Table, how: Plan) -> pa.RecordBatch:
     """Links of one block: (vec_id, mark, links, root), the root a vector of the block it is joined with."""
     ids, mark, weight, place = (rows.column(c).to_numpy() for c in ("vec_id", "mark", "weight", "place"))
     t, i, j = (rows.column(c)[0].as_py() for c in ("t", "i", "j"))
     unit = unit_rows(rows.column("vector").to_pylist())
     at = unit @ how.lines(unit.shape[1])[0]
-    count = np.zeros((len(ids), len(ids)), np.int8)
+    count = np.zeros(len(ids) ** 2, np.int8)
     for line in at.T:
-        order = np.argsort(line)
-        near = np.abs(line[order][:, None] - line[order]) <= how.window  # windows centred at each query
-        count[np.ix_(order, order)] += near
-    candidate = count >= how.needed
-    np.fill_diagonal(candidate, False)
+        a, b = window_pairs(line, how.window)
+        count[a.astype(np.int64) * len(ids) + b] += 1
+    a, b = np.divmod(np.flatnonzero(count >= how.needed), len(ids))
     if i != j:
-        candidate &= place[:, None] != place
-    a, b = np.nonzero(np.triu(candidate))
+        apart = place[a] != place[b]
+        a, b = a[apart], b[apart]
     near = np.zeros(len(a), bool)
     for start in range(0, len(a), 200_000):
         part = slice(start, start + 200_000)

@@ -223,6 +223,17 @@ def test_plan_grows_slowly():
     assert projections.plan(0).k == 2
 
 
+def test_only_pairs_in_windows_are_counted():
+    rng = np.random.default_rng(5)
+    for n, window in ((0, 1.0), (1, 1.0), (2, 0.0), (200, 0.1), (200, 50.0)):
+        line = np.round(rng.normal(size=n), 3)
+        if n == 2:
+            line[1] = line[0]
+        a, b = projections.window_pairs(line, window)
+        want = [(i, j) for i in range(n) for j in range(i + 1, n) if max(line[i], line[j]) <= min(line[i], line[j]) + window]
+        assert sorted(zip(a.tolist(), b.tolist())) == want
+
+
 # Wrappers
 
 
