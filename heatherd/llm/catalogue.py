@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heatherd.llm import mixing, ngram_join, packing, projections, quality, revisits, suffix_dedup, token_counts, token_files, wrappers
+from heatherd.llm import (
+    mixing, ngram_join, packing, prefix_trie, projections, quality, revisits, spelling, suffix_dedup, token_counts, token_files, topk, wrappers,
+)
 from heatherd.session import ship_by_value
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,4 +169,108 @@ def op10_tiered_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_lcp_extents(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+# unsigned crc32 of a list of bytes: the table of the reflected polynomial, then one step a byte
+CRC_TABLE = """
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+"""
+CRC = "xor(list_reduce([4294967295::BIGINT] || {bytes}, lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295)"
+
+ORACLE["op11_lcp_extents"] = rf"""
+WITH RECURSIVE crc AS ({CRC_TABLE}), turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c.conv_id, c.conv_id - c.conv_id % 5 AS family,
+    {CRC.format(bytes="list_transform(string_split(CAST(c.conv_id AS VARCHAR), ''), lambda ch: CAST(ord(ch) AS BIGINT))")} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns) c, crc
+), seqs AS (
+  SELECT c.conv_id, k AS d, role, text FROM convs c JOIN turns t ON t.conv_id = c.family AND k <= h
+  UNION ALL
+  SELECT c.conv_id, k - h + least(h, coalesce((SELECT max(k) FROM turns b WHERE b.conv_id = c.family), 0)), role, text
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND k > h
+), paths AS (
+  SELECT conv_id, d, string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY d) AS path, strlen(text) AS bytes FROM seqs
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs
+), nodes AS (
+  SELECT path, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM paths GROUP BY path
+), linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND starts_with(c.path, n.path)) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND starts_with(n.path, p.path)
+), ends AS (
+  SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, arg_max(path, d) AS path FROM paths GROUP BY conv_id) GROUP BY path
+)
+SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, x.parent_conv_id, x.n_convs, x.n_children,
+  CAST(count(*) FILTER (y.n_children = 0) AS BIGINT) AS n_leaves, CAST(sum((y.n_convs - 1) * y.bytes) AS BIGINT) AS saved_tokens,
+  sha256(coalesce(any_value(e.ids), '')) AS ends_sha256
+FROM linked x JOIN linked y ON starts_with(y.path, x.path) LEFT JOIN ends e ON e.path = x.path
+GROUP BY x.path, x.conv_id, x.depth, x.parent_conv_id, x.n_convs, x.n_children
+"""
+
+
+@query
+def op12_histogram_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op12_histogram_topk"] = r"""
+WITH usable AS (
+  SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.row <> c.row AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op13_trie_frontier(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_trie_frontier"] = rf"""
+WITH RECURSIVE crc AS ({CRC_TABLE}), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL
+), marked AS (
+  SELECT run, n, {CRC.format(bytes="flatten(list_transform(string_split(concat(doc_id, ':', run), ''), lambda ch: CASE WHEN ord(ch) < 128 "
+                             "THEN [CAST(ord(ch) AS BIGINT)] ELSE [195::BIGINT, CAST(ord(ch) - 64 AS BIGINT)] END))")} AS h FROM counted, crc
+), words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM marked
+), vocabulary AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), holes AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS hole FROM (SELECT *, unnest(range(length(word))) AS i FROM vocabulary)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM holes a JOIN holes b ON a.hole = b.hole AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM holes a JOIN vocabulary b ON a.hole = b.word
+  UNION SELECT b.word, a.word, a.n FROM holes a JOIN vocabulary b ON a.hole = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word
+), judged AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * v.n THEN other END AS form,
+    CASE WHEN other_n >= 10 * v.n THEN other_n END AS form_n
+  FROM vocabulary v LEFT JOIN best b ON b.word = v.word
+), follow AS (
+  SELECT word, coalesce(form, word) AS root FROM judged
+  UNION SELECT f.word, j.form FROM follow f JOIN judged j ON j.word = f.root WHERE j.form IS NOT NULL
+)
+SELECT j.word, j.form, f.root, j.n, j.n_near, j.form_n FROM judged j JOIN follow f ON f.word = j.word
+JOIN judged r ON r.word = f.root WHERE r.form IS NULL
+"""
+
+
 ship_by_value(__name__)
