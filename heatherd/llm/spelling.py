@@ -4,7 +4,8 @@ Words of the corpus are spelled into a trie that is a distributed table of edges
 position, node, edits) joins the edges below its node, level by level: without an edit it follows
 the edge that spells the word, and every edge that spells it with one character inserted, deleted or
 replaced makes a state with one edit; with one edit only the spelling edge goes on. States with one
-edit that end with the word at a node where a word ends are neighbours; the pair is verified.
+edit that end with the word at a node where a word ends are neighbours; the pair is verified. A
+state is kept only where the next letter of its word follows at the node.
 
 Two things keep the frontier small, and lose no pair. One edit lies in the first or in the second
 half of a word, so each word starts halfway down a trie of the words and halfway down a trie of the
@@ -27,10 +28,11 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from heatherd.llm.common import Scratch, mix, settings, slices, texts_of
 from heatherd.session import ship_by_value
@@ -43,6 +45,8 @@ LONG = 1 << 20  # characters; the runs of a longer text are not listed at once
 HELD = 200_000  # words a task counts before it passes them on
 WORDS = 5_000  # words spelled out at a time
 SEEDS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179)
+LETTERS = {"plain": (0x61, 0x7A), "accented": (0xC0, 0xFF)}  # code points of words, at most 64 each
+JOINS = {"spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold": "32MB"}  # hash partitions that are measured to be small
 
 
 def damaged(run: str, mark: int) -> str:
@@ -87,16 +91,19 @@ def start_of(length, backward: bool):
     return length - length // 2 if backward else length // 2
 
 
+SPELLED = "k1 long, k2 long, backward boolean, depth int, next int, rest int, enters boolean, id long"
+
+
 def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The nodes of each word in both tries, from where a word one shorter would enter.
+    """The nodes of each word (id, word) in both tries, from where a word one shorter would enter.
 
-    `next` is the code point that follows, -1 where the word ends. Hashes of prefixes are running
-    exclusive ors over a random value for each code point and place.
+    `next` is the code point that follows, -1 where the word ends, `rest` what is left of the word. Hashes of
+    prefixes are running exclusive ors over a random value for each code point and place.
     """
     for whole in batches:
         for begin in range(0, whole.num_rows, WORDS):
             batch = whole.slice(begin, WORDS)
-            words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy()
+            words, ids = batch.column("word").to_pylist(), batch.column("id").to_numpy()
             for backward in (False, True):
                 spelled = [word[::-1] for word in words] if backward else words
                 sizes = np.array([len(word) for word in words], np.int64)
@@ -116,79 +123,94 @@ def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 node = [(key[at] ^ key[starts[word]]).view(np.int64) for key in keys]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(node[0]), pa.array(node[1]), pa.array(np.full(len(word), backward)), pa.array(depth, pa.int32()),
-                     pa.array(follow, pa.int32()), pa.array(depth == start_of(sizes, backward)[word]),
-                     pa.array(words, pa.string()).take(pa.array(word)), pa.array(n[word], pa.int64())],
-                    ["k1", "k2", "backward", "depth", "next", "enters", "word", "n"])
+                     pa.array(follow, pa.int32()), pa.array(sizes[word] - depth, pa.int32()), pa.array(depth == start_of(sizes, backward)[word]),
+                     pa.array(ids[word])],
+                    ["k1", "k2", "backward", "depth", "next", "rest", "enters", "id"])
+
 
+def directed(word: Column, backward: Column) -> Column:
+    return F.when(backward, F.reverse(word)).otherwise(word)
 
-SPELLED = "k1 long, k2 long, backward boolean, depth int, next int, enters boolean, word string, n long"
 
+def trie_nodes(spelled: DataFrame) -> DataFrame:
+    """Nodes of both tries: where a prefix branches, a word ends or a word enters.
 
-def directed(word, backward):
-    return F.when(backward, F.reverse(word)).otherwise(word)
+    With each goes what its words can be followed by: their next letters, as bits, and the least and
+    most that is left of them; `ended` is the word that ends there.
+    """
+    return spelled.groupBy("k1", "k2").agg(
+        (F.min("next") < F.max("next")).alias("branches"), F.max("enters").alias("enters"), F.max(F.when(F.col("next") < 0, F.col("id"))).alias("ended"),
+        *[F.bit_or(F.expr(f"CASE WHEN next BETWEEN {a} AND {b} THEN shiftleft(1L, next - {a}) ELSE 0L END")).alias(name) for name, (a, b) in LETTERS.items()],
+        F.min("rest").alias("least"), F.max("rest").alias("most"),
+    ).where("branches OR enters OR ended IS NOT NULL").drop("branches", "enters")
 
 
-def edge_table(spelled: DataFrame) -> DataFrame:
-    """Edges (k1, k2, label, c1, c2, ended) of both tries; `ended` is the word that ends at the child and its count.
+def edge_table(spelled: DataFrame, words: DataFrame) -> DataFrame:
+    """Edges (k1, k2, label, c1, c2) of both tries with what is known of the child: see `trie_nodes`.
 
-    A prefix is a node when it branches, when a word ends there or when a word enters there.
+    All words through a child that hold its parent agree on it, so one of them spells the label.
     """
-    nodes = spelled.groupBy("k1", "k2").agg(
-        (F.min("next") < F.max("next")).alias("branches"), F.max("enters").alias("enters"),
-        F.max(F.when(F.col("next") < 0, F.struct("word", "n"))).alias("ended"))
-    nodes = nodes.where("branches OR enters OR ended IS NOT NULL").select("k1", "k2", "ended")
-    chain = F.array_sort(F.collect_list(F.struct("depth", "k1", "k2", "ended")))
-    chains = spelled.select("k1", "k2", "word", "backward", "depth").join(nodes, ["k1", "k2"]).groupBy("word", "backward").agg(chain.alias("chain"))
-    below = chains.select(directed(F.col("word"), F.col("backward")).alias("spelling"), "chain",
-                          F.explode(F.sequence(F.lit(2), F.size("chain"))).alias("i")).where("i <= size(chain)")
-    edges = below.select("spelling", F.col("chain")[F.col("i") - 2].alias("up"), F.col("chain")[F.col("i") - 1].alias("down"))
-    return edges.groupBy(F.col("down.k1").alias("c1"), F.col("down.k2").alias("c2")).agg(
-        F.first(F.struct(F.col("up.k1").alias("k1"), F.col("up.k2").alias("k2"), F.col("down.ended").alias("ended"),
-                         F.substr("spelling", F.col("up.depth") + 1, F.col("down.depth") - F.col("up.depth")).alias("label"))).alias("edge"),
-    ).select("edge.k1", "edge.k2", "edge.label", "c1", "c2", "edge.ended")
+    known = ["ended", *LETTERS, "least", "most"]
+    rows = spelled.select("k1", "k2", "id", "backward", "depth").join(trie_nodes(spelled), ["k1", "k2"])
+    rows = rows.withColumnsRenamed({"k1": "c1", "k2": "c2", "depth": "low"})
+    path = Window.partitionBy("id", "backward").orderBy("low")  # the nodes of one word
+    pairs = rows.select("*", *[F.lag(of).over(path).alias(name) for name, of in (("k1", "c1"), ("k2", "c2"), ("high", "low"))]).where("high IS NOT NULL")
+    same = [F.min(c).alias(c) for c in ("id", "k1", "k2", "high", "low", *known)]
+    edges = pairs.groupBy("c1", "c2", "backward").agg(*same).join(words.select("id", "word"), "id")
+    label = F.substr(directed(F.col("word"), F.col("backward")), F.col("high") + 1, F.col("low") - F.col("high"))
+    return edges.select("k1", "k2", label.alias("label"), "c1", "c2", *known)
+
+
+def entering(spelled: DataFrame, words: DataFrame) -> DataFrame:
+    """The first states of all words in both tries."""
+    return spelled.where("enters").join(words.select("id", "word"), "id").select(
+        "id", directed(F.col("word"), F.col("backward")).alias("spelling"), "k1", "k2", F.col("depth").alias("position"), F.lit(0).alias("edits"))
 
 
 def step(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """The states one level down; with an edit only along the edge that spells the word."""
+    """The states one level down; with an edit only along the edge that spells the word.
+
+    States that cannot go on are left out: the next letter of the word must follow at the child, and
+    as much must be left of the word as of one below it.
+    """
     size, rest = F.length("label"), lambda extra: F.substr("spelling", F.col("position") + 1, F.length("label") + extra)
-    met = states.join(edges, ["k1", "k2"])
+    spells = rest(F.lit(0)) == F.col("label")
+    met = states.select("id", "spelling", F.col("k1").alias("s1"), F.col("k2").alias("s2"), "position", "edits").join(
+        edges, (F.col("s1") == F.col("k1")) & (F.col("s2") == F.col("k2")) & ((F.col("edits") == 0) | spells))
     # of two texts whose lengths differ by at most one, a distance of one is one edit
     one_edit = lambda extra: (F.length(rest(extra)) == size + extra) & (F.levenshtein(rest(extra), "label", 1) == 1)
-    after = lambda extra, edits: F.struct((F.col("position") + size + extra).alias("position"), F.lit(edits).alias("edits"))
+    after = lambda extra, edits: F.struct((F.col("position") + size + extra).alias("position"), edits.cast("int").alias("edits"))
     fresh = F.col("edits") == 0
     ways = F.array(
-        F.when(rest(F.lit(0)) == F.col("label"), F.struct((F.col("position") + size).alias("position"), F.col("edits").alias("edits"))),
-        *(F.when(fresh & one_edit(F.lit(extra)), after(F.lit(extra), 1)) for extra in (-1, 0, 1)))
-    return (
-        met.select("word", "spelling", "c1", "c2", "ended", F.explode(F.array_compact(ways)).alias("way"))
-        .select("word", "spelling", F.col("c1").alias("k1"), F.col("c2").alias("k2"), "ended", "way.position", "way.edits")
-    )
+        F.when(spells, after(F.lit(0), F.col("edits"))), *(F.when(fresh & one_edit(F.lit(extra)), after(F.lit(extra), F.lit(1))) for extra in (-1, 0, 1)))
+    moved = met.select("id", "spelling", "c1", "c2", "ended", *LETTERS, "least", "most", F.explode(ways).alias("way")).where("way IS NOT NULL").select(
+        "*", "way.position", "way.edits", (F.length("spelling") - F.col("way.position")).alias("left"))
+    follows = [F.expr(
+        f"ascii(substr(spelling, position + 1, 1)) BETWEEN {a} AND {b} AND shiftright({name}, ascii(substr(spelling, position + 1, 1)) - {a}) & 1 = 1")
+        for name, (a, b) in LETTERS.items()]
+    touched = F.col("left").between(F.col("least"), F.col("most")) & F.when(F.col("left") == 0, F.col("ended").isNotNull()).otherwise(follows[0] | follows[1])
+    untouched = F.col("left").between(F.col("least") - 1, F.col("most") + 1) & (F.col("most") > 0)
+    return moved.where(F.when(F.col("edits") == 0, untouched).otherwise(touched)).select(
+        "id", "spelling", F.col("c1").alias("k1"), F.col("c2").alias("k2"), "ended", "position", "edits", "left")
 
 
 def neighbours(words: DataFrame, scratch: Scratch) -> DataFrame:
-    """(word, near, near_n): every ordered pair of words that are one edit apart."""
-    spelled = scratch.write(words.mapInArrow(spell, SPELLED), "spelled")
-    edges = scratch.write(edge_table(spelled), "edges")
-    states = spelled.where("enters").select(
-        "word", directed(F.col("word"), F.col("backward")).alias("spelling"), "k1", "k2",
-        F.lit(None).cast("struct<word:string,n:bigint>").alias("ended"), F.col("depth").alias("position"), F.lit(0).alias("edits"))
+    """(word, near, near_n): every ordered pair of `words` (id, word, n) that are one edit apart."""
+    spelled = scratch.write(words.select("id", "word").mapInArrow(spell, SPELLED), "spelled")
+    edges = scratch.write(edge_table(spelled, words), "edges")
+    states = scratch.write(entering(spelled, words), "states")
+    scratch.drop("spelled")
     level, found = 0, []
-    while True:
-        reached = scratch.write(step(states.drop("ended"), edges), f"states-{level}")
-        if level == 0:
-            scratch.drop("spelled")
-        ended = reached.where("edits = 1 AND ended IS NOT NULL AND position = length(spelling)")
-        found.append(scratch.write(ended.select("word", F.col("ended.word").alias("near"), F.col("ended.n").alias("near_n")), f"found-{level}"))
-        if level:
-            scratch.drop(f"states-{level - 1}")
-        states, level = reached.where("edits = 0 OR position < length(spelling)"), level + 1
-        if states.isEmpty():
-            break
-    scratch.drop(f"states-{level - 1}", "edges")
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
-    return pairs.where(F.levenshtein("word", "near", 1) == 1).distinct()
+    while not states.isEmpty():
+        reached = scratch.write(step(states, edges), f"states-{level}")
+        scratch.drop("states" if level == 0 else f"states-{level - 1}")
+        ended = (F.col("edits") == 1) & (F.col("left") == 0)
+        found.append(scratch.write(reached.where(ended).select("id", F.col("ended").alias("near")), f"found-{level}"))
+        states, level = reached.where(~ended).select("id", "spelling", "k1", "k2", "position", "edits"), level + 1
+    scratch.drop("states" if level == 0 else f"states-{level - 1}", "edges")
+    pairs = reduce(DataFrame.union, found, words.select("id", F.col("id").alias("near")).limit(0)).distinct()
+    named = words.select("id", "word").join(pairs, "id").join(words.select(F.col("id").alias("near"), F.col("word").alias("other"), F.col("n").alias("near_n")), "near")
+    return named.where(F.levenshtein("word", "other", 1) == 1).select("word", F.col("other").alias("near"), "near_n")
 
 
 def roots(forms: DataFrame, scratch: Scratch) -> DataFrame:
@@ -207,8 +229,8 @@ def roots(forms: DataFrame, scratch: Scratch) -> DataFrame:
 def variants(docs: DataFrame, length: int = LENGTH, count: int = COUNT, ratio: int = RATIO) -> DataFrame:
     """(word, n, n_near, form, form_n, root) of every word of `docs` (doc_id, text)."""
     scratch = Scratch(docs.sparkSession, "spelling")
-    with settings(docs.sparkSession):
-        words = scratch.write(corpus_words(docs, length, count), "words")
+    with settings(docs.sparkSession, **JOINS):
+        words = scratch.write(corpus_words(docs, length, count).withColumn("id", F.monotonically_increasing_id()), "words")
         pairs = neighbours(words, scratch)
         best = F.min(F.struct((-F.col("near_n")).alias("minus"), F.col("near").alias("form")))
         near = pairs.groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
