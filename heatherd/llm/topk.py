@@ -174,18 +174,19 @@ class Best:
 
 
 def streamed(batches: Iterator[pa.RecordBatch], kind: type, keep: int, shift: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (dim, g, h, block); block -1 is the query block that the following ones meet."""
-    state = None
+    """Rows come sorted by (dim, g, h, block); block -1 is the query block that those of its group meet."""
+    state = group = None
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
             if row["block"] < 0:
+                group = (row["dim"], row["g"], row["h"])
                 if state is not None:
                     yield state.rows()
                 queries = Block(row)
                 queries.low = np.array(row["low"], np.int64)
                 state = kind(queries, (row["dim"], row["g"]), keep, shift)
-            elif state is not None:
+            elif group == (row["dim"], row["g"], row["h"]):  # else no query has vectors of this length
                 state.add(Block(row))
     if state is not None:
         yield state.rows()
