@@ -1,14 +1,17 @@
-"""Token ids of whole texts with a public tokenizer, one encoding per distinct word and task.
+"""Token ids of whole texts with a public tokenizer, one encoding per distinct piece and worker process.
 
 A text is cut only where the tokenizer's own pre-tokenizer always cuts, so the ids of the pieces in
-a row are the ids of the text. Pieces repeat a lot; their ids are kept as little-endian bytes and
-joined. The strings of special tokens are ordinary text.
+a row are the ids of the text. Pieces repeat a lot; their ids are kept as little-endian bytes, for
+all tasks of a Python worker, and joined. A text with the string of a special token is encoded in
+one piece, as the library does it.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +25,9 @@ UNSURE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u2
 # a word with the space before it, the white space before that, a last white space of another kind.
 LETTERS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?![^ \t-\r.,;:!?*#$%&])"
 SPACED = re.compile(rf" ?{LETTERS}| ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]")
-WORD = re.compile(rf"{LETTERS}|[^ \t-\r]+")
+# Between these a text that keeps its white space is cut by hand: before each space, around each line
+# break. Where white space follows white space, or is of another kind, the pattern above decides.
+UNEVEN = re.compile(r"[\t\r\x0b\x0c\x00]|[ \n]{2}")
 LONG = 200  # characters; longer pieces are not remembered
 LIMIT = 400_000  # remembered pieces
 JOINT = 1_000  # pieces encoded side by side
@@ -40,6 +45,15 @@ def parted(text: str) -> Iterator[str]:
     yield text[begin:]
 
 
+def shared_memo(path: str, spaces: bool) -> dict[str, bytes]:
+    """Ids of pieces met by any task of this worker process.
+
+    The module itself travels with each task, so the memo hangs on one that does not.
+    """
+    holder = sys.modules.setdefault("_heatherd_token_memos", types.ModuleType("_heatherd_token_memos"))
+    return holder.__dict__.setdefault(f"{path}|{spaces}", {})
+
+
 class Encoder:
     """`encode(texts)` gives the ids of each as little-endian unsigned 32-bit bytes.
 
@@ -52,12 +66,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.spaces = spaces
-        self.memo: dict[str, bytes] = {}
-        self.pieces = (SPACED if spaces else WORD).findall
+        self.memo = shared_memo(path, spaces)
+        added = [re.escape(one.content) for one in self.tokenizer.get_added_tokens_decoder().values()]
+        self.unsure = re.compile("|".join([UNSURE.pattern, *added]), re.IGNORECASE)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids of each text by the tokenizer itself."""
@@ -94,19 +108,35 @@ class Encoder:
             return [b"".join(self.parts([part])[0] for part in parted(text)) for text in texts]
         return self.parts(texts)
 
+    def pieces(self, text: str) -> list[str]:
+        if not self.spaces:
+            return text.split()
+        if UNEVEN.search(text):
+            return SPACED.findall(text)
+        return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
+
     def parts(self, texts: list[str]) -> list[bytes]:
-        memo, out = self.memo, []
-        split = [None if UNSURE.search(text) else self.pieces(text) for text in texts]
-        needed = set().union(*filter(None, split))
+        memo, out, open_ = self.memo, [b""] * len(texts), []
         if len(memo) > LIMIT:
             memo.clear()
-        new = list(needed - memo.keys())
-        memo.update(zip(new, self.many(new)))
-        for text, pieces in zip(texts, split):
-            out.append(self.whole([text])[0] if pieces is None else b"".join(map(memo.__getitem__, pieces)))
-        for piece in new:
-            if len(piece) > LONG:
-                del memo[piece]
+        memo[""] = b""
+        for i, text in enumerate(texts):
+            if self.unsure.search(text):
+                out[i] = self.whole([text])[0]
+                continue
+            pieces = self.pieces(text)
+            try:
+                out[i] = b"".join(map(memo.__getitem__, pieces))
+            except KeyError:
+                open_.append((i, pieces))
+        if open_:
+            new = list(set().union(*(pieces for _, pieces in open_)) - memo.keys())
+            memo.update(zip(new, self.many(new)))
+            for i, pieces in open_:
+                out[i] = b"".join(map(memo.__getitem__, pieces))
+            for piece in new:
+                if len(piece) > LONG:
+                    del memo[piece]
         return out
 
 

@@ -19,8 +19,7 @@ from heatherd.llm.tokens import Encoder, parted
 def plain_ids(path, texts, end):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer = Tokenizer.from_file(path)  # as it is
     return [np.array(one.ids + [end], "<u4") for one in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -29,6 +28,7 @@ def test_encoder_equals_the_tokenizer(path, spaces, prose, monkeypatch):
     rng = random.Random(1)
     texts = ["", " ", "  ", "\n", " \n a", "a  b", "a\n\n b\n", "don't I'll 'tis  's\t\tx", "é éx", "\xa0x y", "a　b",
              "<|endoftext|> a <|endoftext|>", "a\x1cb c", "\r\n x \r\n", "1234 5 67", "日本語 テスト", "aͅ ́b", "x" * 900 + " y", prose(2_000)]
+    texts += ["<|startoftext|>", "x<|endoftext|>y <|STARTOFTEXT|>", "a <|endoftext|>\n[SEP] [UNK]", "one\ntwo three.\nfour, five ", " lead", "\nlead\n", "a \nb", "nul\x00in text"]
     texts += ["".join(rng.choice(" \n\t'sabé1.́\xa0,<|>") for _ in range(rng.randint(1, 40))) for _ in range(2_000)]
     want = [ids[:-1].tobytes() for ids in plain_ids(path, texts, 0)]
     assert Encoder(path, spaces).encode(texts) == want
