@@ -13,7 +13,7 @@ from heatherd.operators import (
 )
 from heatherd.plans import imputation, work
 from heatherd.session import scratch_path, ship_by_value, tune
-from heatherd.sources import derived, files, tables
+from heatherd.sources import colocated, derived, files, tables
 from heatherd.sources.derived import table
 
 ship_by_value(__name__)
@@ -136,6 +136,11 @@ def _daily(spark, sf_dir, method="scaling"):
     return impute.impute_daily(_frame(spark, sf_dir), method, MIN_SAMPLES, _bound(spark, sf_dir))
 
 
+def _observed_daily(spark, sf_dir):
+    """Days of the stations that observed anything."""
+    return impute.impute_daily(_frame(spark, sf_dir), "scaling", MIN_SAMPLES, _bound(spark, sf_dir), only_observed_stations=True)
+
+
 @query
 def hourly_dedupe(spark, sf_dir):
     return frame.hourly_observations(derived.history(spark, sf_dir))
@@ -151,6 +156,16 @@ def obs_left_grid(spark, sf_dir):
     return frame.observations_with_grid(_observations(spark, sf_dir), derived.grid(spark, sf_dir))
 
 
+@query
+def frame_bucketed(spark, sf_dir):
+    """The frame from stored tables that lie where they are joined, added up by day without an exchange."""
+    folder = scratch_path(spark, "placed")
+    colocated.store_frame_inputs(derived.grid(spark, sf_dir), derived.history(spark, sf_dir, late_start=True), folder, buckets=8)
+    return colocated.stored_frame(spark, folder).groupBy("cd_estacao", "data").agg(
+        F.count(F.lit(1)).alias("horas"), F.count("temp").alias("temp_obs"), F.avg("temp").alias("temp"), F.avg("rh").alias("rh"),
+        F.avg("t2m").alias("t2m"), F.max("mes").alias("mes"))
+
+
 # Fit and imputation
 
 
@@ -223,6 +238,35 @@ def impute_network_resumed(spark, sf_dir):
     return imputation.impute_all(whole, readings, registry, **options)
 
 
+def _network_options(spark, sf_dir):
+    return {"staging": scratch_path(spark, "staging"), "batch_size": 3, "min_samples": MIN_SAMPLES, "station_bound": _bound(spark, sf_dir)}
+
+
+def _revised(spark, sf_dir):
+    """Grid and readings with other values at the same hours: a station's grid, another one's readings of a year."""
+    other = derived.grid(spark, sf_dir).withColumn("t2m", F.when(F.col("cd_estacao") == "A003", F.col("t2m") + 1).otherwise(F.col("t2m")))
+    changed = (F.col("cd_estacao") == "A001") & (F.substring("data", 1, 4) == "1997")
+    raw = derived.history(spark, sf_dir, late_start=True)
+    return other, raw.withColumn(frame.HUMIDITY_COLUMN, F.when(changed, F.lit("50,5")).otherwise(F.col(frame.HUMIDITY_COLUMN)))
+
+
+@query
+def impute_changed_values(spark, sf_dir):
+    """A run on other values at the same hours, then one on the right ones: the same as one full run."""
+    registry, options = _coordinates_table(spark, sf_dir), _network_options(spark, sf_dir)
+    imputation.impute_all(*_revised(spark, sf_dir), registry, **options)
+    return imputation.impute_all(derived.grid(spark, sf_dir), derived.history(spark, sf_dir, late_start=True), registry, **options)
+
+
+@query
+def changed_periods(spark, sf_dir):
+    """Station years whose grid or readings differ between two deliveries; one station is new, one gone."""
+    whole, readings, every = derived.grid(spark, sf_dir), derived.history(spark, sf_dir, late_start=True), derived.grid_stations(spark, sf_dir)
+    grid, raw = _revised(spark, sf_dir)
+    before = imputation.input_sums(grid.filter("cd_estacao <> 'A000'"), raw, every)
+    return imputation.changed_periods(before, imputation.input_sums(whole.filter("cd_estacao <> 'A002'"), readings, every))
+
+
 @query
 def impute_codes(spark, sf_dir):
     """Chosen stations, one of which never observed anything."""
@@ -300,6 +344,16 @@ def validate_sample(spark, sf_dir):
     return holdout.station_errors(scored)
 
 
+@query
+def report_sample(spark, sf_dir):
+    """The hold-out of a report: stations sampled from the imputed ones, within some years."""
+    imputed = imputation.imputed_stations(_observed_daily(spark, sf_dir))
+    scored = imputation.validate_sample(
+        derived.grid(spark, sf_dir), derived.history(spark, sf_dir, late_start=True), imputed, TEST_YEARS, n=3,
+        years=(1995, 2001), min_samples=MIN_SAMPLES)
+    return holdout.station_errors(scored)
+
+
 # Coverage
 
 
@@ -320,16 +374,12 @@ def coverage_top(spark, sf_dir):
 
 @query
 def completeness(spark, sf_dir):
-    return coverage.completeness(
-        stations.observed_only(_daily(spark, sf_dir), _bound(spark, sf_dir)), derived.station_registry(spark, sf_dir)
-    )
+    return coverage.completeness(_observed_daily(spark, sf_dir), derived.station_registry(spark, sf_dir))
 
 
 @query
 def excluded_stations(spark, sf_dir):
-    return coverage.excluded_stations(
-        stations.observed_only(_daily(spark, sf_dir), _bound(spark, sf_dir)), derived.station_registry(spark, sf_dir)
-    )
+    return coverage.excluded_stations(_observed_daily(spark, sf_dir), derived.station_registry(spark, sf_dir))
 
 
 @query
@@ -388,7 +438,7 @@ def known_stations(spark, sf_dir):
 
 @query
 def observed_stations(spark, sf_dir):
-    observed = stations.observed_only(_daily(spark, sf_dir), _bound(spark, sf_dir))
+    observed = _observed_daily(spark, sf_dir)
     return observed.groupBy("cd_estacao").agg(F.count(F.lit(1)).alias("dias"))
 
 
@@ -427,6 +477,20 @@ def missing_plan(spark, sf_dir):
     return work.missing_blocks(work.year_blocks(wanted, 1990, 2005, 1), landed)
 
 
+@query
+def missing_periods(spark, sf_dir):
+    """Five-year blocks minus the days that orders of a nation cover, each for a few days from its date."""
+    nation = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("N"), F.col("c_nationkey")).alias("cd_estacao"))
+    begin = F.to_date("o_orderdate")
+    landed = (
+        table(spark, sf_dir, "orders")
+        .join(nation, F.col("o_custkey") == F.col("c_custkey"))
+        .select("cd_estacao", begin.cast("string").alias("inicio"), F.date_add(begin, (F.col("o_orderkey") % 6 - 1).cast("int")).cast("string").alias("fim"))
+    )
+    wanted = nation.select("cd_estacao").distinct()
+    return work.missing_periods(work.year_blocks(wanted, 1990, 1999, 5), landed)
+
+
 # Localities, boundaries, production
 
 
@@ -533,6 +597,17 @@ def milk_series(spark, sf_dir):
 # Grid payloads
 
 
+@query
+def strayed_documents(spark, sf_dir):
+    """Point documents of all suppliers against the points of two thirds of them."""
+    lat, lon = F.concat((F.col("s_suppkey") % 90).cast("string"), F.lit(".25")), F.concat(F.lit("-"), (F.col("s_suppkey") % 179).cast("string"), F.lit(".5"))
+    placed = derived.station_registry(spark, sf_dir).withColumns({"lat": lat, "lon": lon})
+    documents = placed.select(F.concat_ws("_", "lat", "lon", F.lit("2001-01-01"), F.lit("2010-12-31.json")).alias("file_name"), F.lit("{}").alias("payload"))
+    known = placed.filter(F.col("s_suppkey") % 3 != 0).select(
+        "cd_estacao", F.col("lat").cast("double").alias("vl_latitude"), F.col("lon").cast("double").alias("vl_longitude"))
+    return grid.strayed_documents(documents, known)
+
+
 def _grid_payloads(spark, sf_dir, key):
     """The grid packed as the point documents of a station's months, with missing values."""
     names = {"T2M": "t2m", "RH2M": "rh2m", "PRECTOTCORR": "t2m"}
@@ -545,7 +620,7 @@ def _grid_payloads(spark, sf_dir, key):
 
     parameter = F.struct(*[F.col(n) for n in names])
     point = F.struct(
-        F.struct(F.array(F.lit(-43.4), F.lit(-21.7), F.lit(600.0)).alias("coordinates")).alias("geometry"),
+        F.struct(F.array(F.lit(-37.9), F.lit(-8.6), F.lit(415.0)).alias("coordinates")).alias("geometry"),
         F.struct(parameter.alias("parameter")).alias("properties"),
     )
     # one document holds one station's month, at most 31 days
@@ -582,7 +657,39 @@ def grid_daily(spark, sf_dir):
 
 @query
 def json_property(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
+    """The first filled of three names, of which an event has one, an empty one, or several."""
+    k = F.get_json_object("props", "$.k")
+    case = F.col("event_id") % 5
+    properties = F.map_filter(F.create_map(
+        F.lit("codarea"), F.when(case == 0, k).when(case == 1, ""), F.lit("CODAREA"), F.when(case.isin(0, 1, 2), F.concat(F.lit("9"), k)),
+        F.lit("code"), F.when(case != 4, F.concat(F.lit("7"), k))), lambda name, value: value.isNotNull())
+    return table(spark, sf_dir, "events").select(
+        "event_id", payload.first_filled(properties, "codarea", "CODAREA", "code").alias("code"), k.try_cast("bigint").alias("k"))
+
+
+@query
+def ill_formed(spark, sf_dir):
+    """Payloads that are empty, no JSON or of another shape: each reader has its columns and types, and no rows."""
+    broken = F.element_at(F.array(*map(F.lit, ["", "[]", "{", "null", '{"a": 1}', "[1, 2]", "text"])), (F.col("event_id") % 7 + 1).cast("int"))
+    texts = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 8 != 7, broken).alias("payload"), F.lit("A001").alias("cd_estacao"), F.lit("A001").alias("station_code"))
+    read = {
+        "boundaries": places.boundaries(texts, "estados"), "grid_daily": grid.grid_daily(texts), "grid_hourly": grid.grid_hourly(texts, ["T2M", "RH2M"]),
+        "live_daily": daily.live_daily(texts), "localities": places.localities(texts, "UF.id"), "milk": milk.milk_production(texts, "N3"),
+        "stations": stations.stations(texts, []),
+    }
+    return frame.union_frames([
+        df.agg(F.lit(name).alias("leitor"), F.count(F.lit(1)).alias("linhas"),
+               F.lit(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)).alias("colunas"))
+        for name, df in read.items()])
+
+
+@query
+def required_columns(spark, sf_dir):
+    """What the guard says of histories that lack a measure, and how many rows it keeps from being read."""
+    history = derived.history(spark, sf_dir)
+    tables_ = {"whole": history, "no_temperature": history.drop(frame.TEMPERATURE_COLUMN), "bare": history.select("cd_estacao", "data")}
+    return daily.guard_report(tables_, frame.TEMPERATURE_COLUMN, frame.HUMIDITY_COLUMN)
 
 
 @query
@@ -613,7 +720,7 @@ def _station_files(spark, sf_dir):
     line = F.when(new, F.concat_ws(";", "data", "hora_utc", t, h, F.lit("second"), F.lit(""), F.lit(""))).otherwise(
         F.concat_ws(";", "data", quoted, h, t, F.lit("x"), F.lit(""), F.lit("surplus"))
     )
-    preamble = ["REGIAO:;SE", "ESTACAO:;SÃO JOÃO", "ALTITUDE:;850,00"]
+    preamble = ["REGIAO:;NO", "ESTACAO:;IGARAPÉ FUNDO", "ALTITUDE:;27,40"]
     content = F.concat_ws(
         "\r\n", *[F.lit(x) for x in preamble], F.col("header"), F.array_join("lines", "\r\n"), F.lit("")
     )
@@ -702,6 +809,32 @@ def sorted_sink(spark, sf_dir):
     return spark.read.parquet(_written_daily(spark, sf_dir, ["cd_estacao", "data"]))
 
 
+@query
+def replace_kept(spark, sf_dir):
+    """A second write that fails leaves the first table as it was."""
+    path = _written_daily(spark, sf_dir, ["cd_estacao", "data"])
+    days = daily.daily_climate(derived.history(spark, sf_dir))
+    broken = days.withColumn("temp_med", F.when(F.dayofyear("data") == 200, F.raise_error(F.lit("broken reading"))).otherwise(F.col("temp_med")))
+    try:
+        tables.write_table(broken, path, sort=["cd_estacao", "data"])
+    except Exception as error:  # the failure is the point; only its own message may pass
+        if "broken reading" not in str(error):
+            raise
+        return spark.read.parquet(path)
+    raise AssertionError("the second write was meant to fail")
+
+
+@query
+def stored_range(spark, sf_dir):
+    """Two years of one station from a stored table of many row groups, found by their minimum and maximum."""
+    path = scratch_path(spark, "long")
+    values = F.inline(F.array(*[F.struct(F.lit(n).alias("parametro"), F.col(n).alias("valor")) for n in ("t2m", "rh2m")]))
+    long = derived.grid(spark, sf_dir).select(*frame.HOUR_KEY, values)
+    tables.write_table(long, path, sort=["cd_estacao", "data", "hora", "parametro"])
+    stored = spark.read.parquet(path)
+    return stored.filter((F.col("cd_estacao") == "A002") & F.col("data").between("1995-01-01", "1996-12-31"))
+
+
 @query
 def sorted_check(spark, sf_dir):
     """Files of a table written in key order, checked in their stored order."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import unicodedata
@@ -20,6 +21,7 @@ _FOLDED = {
 }
 _ONE_TO_ONE = {c: f for c, f in _FOLDED.items() if len(f) == 1}
 _ONE_TO_MANY = {c: f for c, f in _FOLDED.items() if len(f) > 1}
+_ANY_OF_MANY = f"[{''.join(_ONE_TO_MANY)}]"
 
 
 def number(text: Column) -> Column:
@@ -65,18 +67,16 @@ def snake_case(text: Column) -> Column:
     """ASCII snake case of text in any script; characters without an ASCII part are dropped."""
     plain = F.translate(text, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
     # few texts have a character that becomes several, such as a ligature
-    several = F.aggregate(
-        F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(_several(), c), c)),
-        F.lit(""), lambda joined, c: F.concat(joined, c))
-    plain = F.when(plain.rlike(r"[^\x00-\x7F]"), several).otherwise(plain)
+    several = F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(_several(), c), c)), "")
+    plain = F.when(plain.rlike(_ANY_OF_MANY), several).otherwise(plain)
     plain = F.regexp_replace(plain, r"[^\x00-\x7F]", "")
     plain = F.regexp_replace(F.lower(plain), "[^a-z0-9]+", "_")
     return F.btrim(plain, F.lit("_"))
 
 
 def _several() -> Column:
-    pairs = [F.struct(F.lit(c), F.lit(f)) for c, f in _ONE_TO_MANY.items()]
-    return F.map_from_entries(F.array(*pairs))
+    """One literal, which Spark parses once when it optimizes the plan."""
+    return F.from_json(F.lit(json.dumps(_ONE_TO_MANY)), "map<string,string>")
 
 
 def snake_case_name(name: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -138,3 +139,17 @@ def check_contract(spark: SparkSession, path: str, name: str) -> DataFrame:
         problems = problems.union(unsorted.select(F.lit("order"), "file_path", F.concat("violations", F.lit(" rows"))))
         problems = problems.union(order.filter("overlaps").select(F.lit("order"), "file_path", F.lit("overlaps other files")))
     return problems
+
+
+def check_tables(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Problems of several tables, given as name -> path, with the name of the table in front."""
+    found = [check_contract(spark, path, name).select(F.lit(name).alias("tabela"), "check", "subject", "detail") for name, path in paths.items()]
+    return reduce(DataFrame.union, found, spark.createDataFrame([], f"tabela string, {PROBLEMS}"))
+
+
+def table_names(spark: SparkSession, folder: str, suffix: str = ".parquet") -> dict[str, str]:
+    """name -> path of the tables in a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    names = sorted(one.getPath().getName() for one in listed)
+    return {name.removesuffix(suffix): f"{folder.rstrip('/')}/{name}" for name in names if name.endswith(suffix) and not name.startswith((".", "_"))}

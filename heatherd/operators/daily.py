@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from heatherd.functions.climate import heat_index, qc_humidity, qc_temperature
@@ -9,8 +11,22 @@ from heatherd.functions.text import decimal_comma, iso_date, number
 from heatherd.operators.frame import HUMIDITY_COLUMN, TEMPERATURE_COLUMN
 
 
+def missing_columns(df: DataFrame, *names: str) -> list[str]:
+    return [n for n in names if n not in df.columns]
+
+
+def guard_report(tables: dict[str, DataFrame], *names: str) -> DataFrame:
+    """(tabela, faltando, linhas): what `require_columns` would say of each table, and its rows."""
+    rows = [
+        df.agg(F.lit(name).alias("tabela"), F.lit(", ".join(missing_columns(df, *names)) or None).cast("string").alias("faltando"),
+               F.count(F.lit(1)).alias("linhas"))
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.union, rows)
+
+
 def require_columns(df: DataFrame, *names: str) -> None:
-    missing = [n for n in names if n not in df.columns]
+    missing = missing_columns(df, *names)
     if missing:
         raise RuntimeError(f"expected columns missing: {missing}; available={df.columns[:8]}")
 

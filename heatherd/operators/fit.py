@@ -34,12 +34,12 @@ def _pair_sums(variable: str, use: Column) -> list[Column]:
     dx, dy = F.when(both, x - CENTRES[variable]), F.when(both, y - CENTRES[variable])
     sums = {"n": F.count(dx), "x": F.sum(dx), "y": F.sum(dy), "xx": F.sum(dx * dx), "yy": F.sum(dy * dy), "xy": F.sum(dx * dy)}
     ends = {"x0": F.min(dx), "x1": F.max(dx), "y0": F.min(dy), "y1": F.max(dy)}
-    first = {"first": F.min(F.when(y.isNotNull(), F.col("day")))}
+    first = {"first": F.min(F.when(y.isNotNull(), F.col("day"))), "seen": F.count(y)}
     return [c.alias(f"{variable}_{k}") for k, c in (sums | ends | first).items()]
 
 
 def cell_sums(frame: DataFrame, use: Column | None = None, scope: str | None = None) -> DataFrame:
-    """Counts and sums per (scope, station, month), and the first day each variable was observed.
+    """Counts and sums per (scope, station, month), the first day each variable was observed and its observed hours.
 
     `use` picks the rows to fit on. Cells without such rows stay in, so the result covers
     every station and month of the frame.
@@ -52,7 +52,7 @@ def cell_sums(frame: DataFrame, use: Column | None = None, scope: str | None = N
 
 def _merged(variable: str) -> list[Column]:
     how = {"x0": F.min, "x1": F.max, "y0": F.min, "y1": F.max, "first": F.min}
-    names = ("n", "x", "y", "xx", "yy", "xy", *how)
+    names = ("n", "x", "y", "xx", "yy", "xy", "seen", *how)
     return [how.get(k, F.sum)(f"{variable}_{k}").alias(f"{variable}_{k}") for k in names]
 
 
@@ -68,7 +68,7 @@ def _statistics(variable: str) -> Column:
     sx, sy = deviation(xx, x, x0, x1), deviation(yy, y, y0, y1)
     mx, my = (CENTRES[variable] + F.try_divide(total, n) for total in (x, y))
     r = F.try_divide(xy - F.try_divide(x * y, n), (n - 1) * sx * sy)
-    values = {"n": n, "mx": mx, "my": my, "sx": sx, "sy": sy, "r": r, "first": F.col(f"{variable}_first")}
+    values = {"n": n, "mx": mx, "my": my, "sx": sx, "sy": sy, "r": r, "first": F.col(f"{variable}_first"), "seen": F.col(f"{variable}_seen")}
     return F.struct(*[c.alias(k) for k, c in values.items()]).alias(variable)
 
 
@@ -76,7 +76,7 @@ def fit_levels(cells: DataFrame) -> DataFrame:
     """Paired statistics of every cell, station and scope, told apart by `level`.
 
     One struct per variable holds n, the means mx and my, the deviations sx and sy, the
-    correlation r of predictor and observation, and the first observed day.
+    correlation r of predictor and observation, the first observed day and the observed hours.
     """
     keys = [F.col("scope"), F.col("cd_estacao"), F.col("mes")]
     merged = cells.groupingSets([keys, keys[:2], keys[:1]], *keys).agg(
@@ -114,6 +114,7 @@ def fit_parameters(levels: DataFrame, min_samples: int = MIN_SAMPLES, scope_boun
 
     return cells.select(
         "cd_estacao", "mes", F.col("station.temp.first").alias("first_observed"),
+        (F.col("station.temp.seen") + F.col("station.rh.seen")).alias("observed_hours"),
         *[c for v in VARIABLES for c in pick(v)],
     )
 

@@ -65,16 +65,26 @@ def hourly_observations(
     )
 
 
-def hourly_frame(grid: DataFrame, observations: DataFrame) -> DataFrame:
+def observed_hours(
+    history: DataFrame, codes: Sequence[str] | DataFrame | None = None, max_codes: int | None = None
+) -> DataFrame:
+    """Hourly observations from the raw history; a table that holds them merged already is taken as it is."""
+    if {"hora", "temp", "rh"} <= set(history.columns):
+        return keep_stations(history.select(*HOUR_KEY, "temp", "rh"), codes, max_codes)
+    return hourly_observations(history, codes, max_codes=max_codes)
+
+
+def hourly_frame(grid: DataFrame, observations: DataFrame, placed: bool = False) -> DataFrame:
     """Every grid hour with the observation of that hour, if any, and its month and year.
 
     Both sides are placed by station and day where the session allows a join on such
     a placement. A day has 24 hours, so no partition gets heavy however long the series
     of one station is, and the daily aggregation that follows needs no second shuffle.
+    Tables that are stored this way (`placed`) are joined where they lie.
     """
     columns = HOUR_KEY + [c for c in ("t2m", "rh2m", "batch") if c in grid.columns]
     grid = grid.select(columns)
-    if colocates_by_day(grid.sparkSession):
+    if not placed and colocates_by_day(grid.sparkSession):
         grid = grid.repartition("cd_estacao", "data")  # as the observations are
     return grid.join(observations, HOUR_KEY, "left").withColumns(
         {"mes": month_of(F.col("data")), "ano": year_of(F.col("data"))}

@@ -1,12 +1,14 @@
 """Gridded series of one point, daily or hourly, from landed JSON.
 
 A payload maps parameter -> key -> value. Its parameters are aligned by key inside the row
-that holds them, so unpacking needs no shuffle and payloads never mix.
+that holds them, so unpacking needs no shuffle and payloads never mix. Parameters with the
+same keys in the same order, as they usually come, are zipped by position.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,24 +24,29 @@ _POINT = (
 DAILY_PARAMETERS = ("T2M", "RH2M", "PRECTOTCORR")
 
 
-def aligned(parameter: Column, names: Sequence[str]) -> Column:
-    """key -> values of all names in order; a name without the key has null there."""
-    none = F.lit(None).cast("string")
+def parameter_series(payload: Column, names: Sequence[str]) -> dict[str, Column]:
+    """One column per parameter of a parsed payload, a map from key to value; empty for one it lacks."""
     empty = F.create_map().cast("map<string,string>")
+    return {f"s{i}": F.coalesce(F.try_element_at(payload, F.lit(name)), empty) for i, name in enumerate(names)}
 
-    def series(name: str) -> Column:
-        return F.coalesce(F.try_element_at(parameter, F.lit(name)), empty)
 
-    def add(merged: Column, name: str, width: int) -> Column:
-        absent = F.array(*[none] * width)
-        return F.map_zip_with(
-            merged, series(name), lambda key, left, right: F.concat(F.coalesce(left, absent), F.array(right))
-        )
+def aligned(df: DataFrame, series: Sequence[str]) -> DataFrame:
+    """Adds `rows`, an array of (key, v0, v1, ...) over the keys of all series; a series without the key has null there.
 
-    merged = F.transform_values(series(names[0]), lambda key, value: F.array(value))
-    for width, name in enumerate(names[1:], start=1):
-        merged = add(merged, name, width)
-    return merged
+    Series that differ in their keys are each filled up with the keys of all and sorted by key,
+    so that every one is walked once or sorted once, however many there are.
+    """
+    same = reduce(lambda a, b: a & b, [F.map_keys(s) == F.map_keys(series[0]) for s in series[1:]], F.lit(True))
+    every = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.map_keys(s) for s in series]))))
+    df = df.withColumn("same", same).withColumn("keys", F.when(F.col("same"), F.map_keys(series[0])).otherwise(every))
+    df = df.withColumn("blank", F.map_from_arrays("keys", F.transform("keys", lambda key: F.lit(None).cast("string"))))
+
+    def filled(s: str) -> Column:
+        whole = F.map_zip_with(s, "blank", lambda key, value, none: value)
+        return F.transform(F.array_sort(F.map_entries(whole)), lambda entry: entry["value"])
+
+    values = [F.when(F.col("same"), F.map_values(s)).otherwise(filled(s)).alias(f"v{i}") for i, s in enumerate(series)]
+    return df.withColumn("rows", F.arrays_zip(F.col("keys").alias("key"), *values))
 
 
 def station_payloads(documents: DataFrame, coordinates: DataFrame) -> DataFrame:
@@ -71,14 +78,15 @@ def _unpacked(payloads: DataFrame, names: Sequence[str], *keep: str) -> DataFram
     """
     point = payloads.select(*keep, F.from_json("payload", _POINT).alias("p"))
     at = F.col("p.geometry.coordinates")
-    return point.select(
-        *keep, coordinate(at, 2).alias("lat"), coordinate(at, 1).alias("lon"),
-        F.explode_outer(aligned(F.col("p.properties.parameter"), names)).alias("key", "values"),
-    )
+    series = parameter_series(F.col("p.properties.parameter"), names)
+    located = point.select(
+        *keep, coordinate(at, 2).alias("lat"), coordinate(at, 1).alias("lon"), *[s.alias(n) for n, s in series.items()])
+    zipped = aligned(located, list(series)).select(*keep, "lat", "lon", F.explode_outer("rows").alias("row"))
+    return zipped.select(*keep, "lat", "lon", "row.*").toDF(*keep, "lat", "lon", "key", *[f"v{i}" for i in range(len(names))])
 
 
 def _measures(names: Sequence[str]) -> list[Column]:
-    return [grid_value(F.get("values", F.lit(i))).alias(n.lower()) for i, n in enumerate(names)]
+    return [grid_value(F.col(f"v{i}")).alias(n.lower()) for i, n in enumerate(names)]
 
 
 def parameter_names(payloads: DataFrame) -> list[str]:

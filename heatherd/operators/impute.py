@@ -43,7 +43,7 @@ def correct(frame: DataFrame, parameters: DataFrame, method: str = "scaling", st
     the limit, Spark joins by shuffle and splits skewed months itself.
     """
     max_rows = None if station_bound is None else station_bound * MONTHS_PER_STATION
-    names = [c for c in parameters.columns if c not in ("cd_estacao", "mes", "first_observed")]
+    names = [c for c in parameters.columns if c not in ("cd_estacao", "mes", "first_observed", "observed_hours")]
     return (
         frame.join(broadcast_if(parameters, max_rows), ["cd_estacao", "mes"], "left")
         .withColumns({f"{v}_corr": corrected(v, method) for v in VARIABLES})
@@ -58,9 +58,14 @@ def impute_hourly(
     min_samples: int = MIN_SAMPLES,
     station_bound: int | None = None,
     scope: str | None = None,
+    parameters: DataFrame | None = None,
 ) -> DataFrame:
-    """Observed hours stay; missing hours take the corrected grid value, tagged by source."""
-    parameters = fit(frame, min_samples=min_samples, scope=scope, station_bound=station_bound)
+    """Observed hours stay; missing hours take the corrected grid value, tagged by source.
+
+    Without `parameters` they are fitted on the frame itself.
+    """
+    if parameters is None:
+        parameters = fit(frame, min_samples=min_samples, scope=scope, station_bound=station_bound)
     added = {}
     for v in VARIABLES:
         added[f"{v}_imp"] = F.coalesce(F.col(v), F.col(f"{v}_corr"))
@@ -99,13 +104,17 @@ def impute_daily(
     min_samples: int = MIN_SAMPLES,
     station_bound: int | None = None,
     scope: str | None = None,
+    only_observed_stations: bool = False,
 ) -> DataFrame:
     """The imputed daily table with the type of every day.
 
-    The first observed day of a station comes with its fit parameters, so typing the days
-    needs neither a second pass nor a shuffle by station.
+    The first observed day of a station and its observed hours come with its fit parameters, so
+    typing the days, or leaving out stations that never observed anything, needs neither a
+    second pass nor a shuffle by station.
     """
     hourly = impute_hourly(frame, method, min_samples, station_bound, scope)
+    if only_observed_stations:
+        hourly = hourly.filter(F.col("observed_hours") > 0)
     daily = aggregate_daily(hourly, carry=("first_observed",))
     kind = day_type(F.col("temp_origem"), F.col("data"), F.col("first_observed"))
     return daily.withColumn("tipo", kind).drop("first_observed")

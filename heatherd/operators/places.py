@@ -22,7 +22,7 @@ _FEATURES = "features array<struct<properties:map<string,string>,geometry:string
 
 def localities(payloads: DataFrame, parent_path: str | None = None) -> DataFrame:
     """(id, nome, parent_id) of every object of the JSON lists; a broken parent path gives null."""
-    entry = payloads.select(F.explode_outer(F.from_json("payload", "array<string>")).alias("e")).filter(F.col("e").isNotNull())
+    entry = payloads.select(F.explode_outer(F.from_json("payload", "array<string>")).alias("e")).filter(F.startswith("e", F.lit("{")))
     parent = F.lit(None) if parent_path is None else F.get_json_object("e", f"$.{parent_path}")
     return entry.select(
         F.get_json_object("e", "$.id").try_cast("bigint").alias("id"),

@@ -1,4 +1,4 @@
-"""Imputation of the whole network: resumable by station batch, and its sampled validation."""
+"""Imputation of the whole network: resumable and incremental by station, and its sampled validation."""
 
 from __future__ import annotations
 
@@ -6,17 +6,19 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from heatherd.operators.fit import MIN_SAMPLES
-from heatherd.operators.frame import hourly_frame, hourly_observations, keep_stations
+from heatherd.operators.fit import MIN_SAMPLES, STATISTICS, VARIABLES, cell_sums, fit_levels, fit_parameters
+from heatherd.operators.frame import HOUR_KEY, HUMIDITY_COLUMN, TEMPERATURE_COLUMN, hourly_frame, keep_stations, observed_hours
 from heatherd.operators.holdout import score_frame
 from heatherd.operators.impute import add_day_type, aggregate_daily, impute_daily, impute_hourly
 from heatherd.operators.stations import sample_stations, station_batches, station_coordinates
-from heatherd.session import broadcast_if, written
-from heatherd.sources.tables import write_table
+from heatherd.session import broadcast_if, remove_table, written
+from heatherd.sources.tables import WRITER, recover_table, write_table
 
 BATCH_SIZE = 20
+READING_COLUMNS = ("cd_estacao", "data", "hora_utc", "hora", TEMPERATURE_COLUMN, HUMIDITY_COLUMN, "temp", "rh")
+PARAMETER_DIGITS = 10  # the last bits of a sum depend on the order in which Spark adds
 
 
 def run_folder(staging: str, method: str, years: tuple[int, int] | None, min_samples: int) -> str:
@@ -25,44 +27,146 @@ def run_folder(staging: str, method: str, years: tuple[int, int] | None, min_sam
     return f"{staging.rstrip('/')}/{method}-{min_samples}-{span}"
 
 
-def staged_days(spark, folder: str) -> DataFrame | None:
-    """Daily rows staged so far, or None before the first run."""
-    try:
-        return spark.read.parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def within_years(grid: DataFrame, years: tuple[int, int] | None) -> DataFrame:
+    """ISO text sorts like dates, so the bounds are pushed down to the scan."""
+    if years is None:
+        return grid
+    return grid.filter(F.col("data").between(f"{years[0]:04d}-01-01", f"{years[1]:04d}-12-31"))
+
 
+# Fingerprints
 
-def named_batches(stations: DataFrame, batch_size: int) -> DataFrame:
-    """(cd_estacao, batch); a batch is named by its exact members, not by its number.
 
-    A station more or less in the registry moves the members of all later batches, and those
-    get names under which nothing is staged yet.
+def content_sums(df: DataFrame, source: str) -> DataFrame:
+    """(cd_estacao, ano, fonte, linhas, alto, baixo): what a table holds of each station and year.
+
+    The sums of both halves of a row hash do not depend on the order of rows and count repeated
+    ones, so they are added up before the shuffle and a station with very many rows is no hot key.
     """
-    numbered = station_batches(stations, batch_size)
-    members = F.array_join(F.array_sort(F.collect_set("cd_estacao")), "\n")  # at most one batch of codes
-    names = numbered.groupBy("batch").agg(F.concat(F.lit("m"), F.substring(F.sha2(members, 256), 1, 24)).alias("name"))
-    return numbered.join(names, "batch").select("cd_estacao", F.col("name").alias("batch"))
+    values = [c for c in df.columns if c != "cd_estacao"]
+    # a null leaves a hash as it is; its place is told by the flag
+    mark = F.xxhash64(*[part for c in values for part in (F.col(c).isNull(), F.col(c))])
+    return df.groupBy("cd_estacao", F.substring("data", 1, 4).alias("ano")).agg(
+        F.lit(source).alias("fonte"), F.count(F.lit(1)).alias("linhas"),
+        F.sum(F.shiftrightunsigned(mark, 32)).alias("alto"), F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("baixo"))
 
 
-def pending_batches(batches: DataFrame, grid: DataFrame, staged: DataFrame | None) -> DataFrame:
-    """Stations of every batch that is not staged with all grid hours of all its members."""
-    if staged is None:
-        return batches
-    hours = grid.groupBy("cd_estacao").agg(F.count(F.lit(1)).alias("hours"), F.min("data").alias("low"), F.max("data").alias("high"))
-    day = F.col("data").cast("string")
-    done = staged.groupBy("batch", "cd_estacao").agg(F.sum("n_horas").alias("hours"), F.min(day).alias("low"), F.max(day).alias("high"))
-    absent = batches.join(hours, "cd_estacao").join(done, ["batch", "cd_estacao", "hours", "low", "high"], "left_anti")
-    return batches.join(absent.select("batch").distinct(), "batch", "left_semi")
+def input_sums(grid: DataFrame, history: DataFrame, stations: DataFrame, station_bound: int | None = None) -> DataFrame:
+    """Content of the grid and of the readings of the stations, by year."""
+    readings = history.select([c for c in READING_COLUMNS if c in history.columns])
+    sums = [
+        content_sums(keep_stations(df, stations, station_bound), source)
+        for source, df in (("grid", grid.select(*HOUR_KEY, "t2m", "rh2m")), ("history", readings))
+    ]
+    return sums[0].union(sums[1])
 
 
-def within_years(grid: DataFrame, years: tuple[int, int] | None) -> DataFrame:
-    """ISO text sorts like dates, so the bounds are pushed down to the scan."""
-    if years is None:
-        return grid
-    return grid.filter(F.col("data").between(f"{years[0]:04d}-01-01", f"{years[1]:04d}-12-31"))
+def changed_periods(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(cd_estacao, ano, fonte, mudanca): station years that are new, changed or gone between two tables of sums."""
+    key, values = ["cd_estacao", "ano", "fonte"], F.struct("linhas", "alto", "baixo")
+    old, new = before.select(*key, values.alias("old")), after.select(*key, values.alias("new"))
+    change = (
+        F.when(F.col("old").isNull(), "new").when(F.col("new").isNull(), "gone").when(F.col("old") != F.col("new"), "changed")
+    )
+    return old.join(new, key, "full").withColumn("mudanca", change).filter("mudanca IS NOT NULL").drop("old", "new")
+
+
+def _digest(rows: Column) -> Column:
+    """One hash of the few rows of a group, whatever their order."""
+    return F.md5(F.to_json(F.array_sort(F.collect_list(rows)), {"ignoreNullFields": "false"}))
+
+
+def station_inputs(sums: DataFrame) -> DataFrame:
+    """(cd_estacao, input) of the stations with grid hours; a station has few years."""
+    content = _digest(F.struct("fonte", "ano", "linhas", "alto", "baixo"))
+    return sums.groupBy("cd_estacao").agg(content.alias("input"), F.count_if(F.col("fonte") == "grid").alias("n")).filter("n > 0").drop("n")
+
+
+def settled(parameters: DataFrame) -> DataFrame:
+    """Parameters to so many digits that every run on the same content has the same ones."""
+    def short(v: str) -> Column:
+        kept = [F.round(F.col(f"{v}_fit")[s], PARAMETER_DIGITS).alias(s) for s in STATISTICS if s != "n"]
+        return F.when(F.col(f"{v}_fit").isNotNull(), F.struct(*kept))
+
+    return parameters.withColumns({f"{v}_fit": short(v) for v in VARIABLES})
+
+
+def parameter_marks(parameters: DataFrame) -> DataFrame:
+    """(cd_estacao, parameters): a hash of what the days of a station are corrected with."""
+    used = [f"{v}_fit" for v in VARIABLES]
+    return parameters.groupBy("cd_estacao").agg(_digest(F.struct("mes", *used)).alias("parameters"))
+
+
+# Staging
+
+
+STATE = "cd_estacao string, input string, cells_run string, parameters string, days_run string"
+
+
+class Staging:
+    """What has been computed so far, by run.
+
+    `cells` holds the sums of the fit by station and month, `days` the imputed days, each in one
+    folder per run. `state` says which run's rows count for each station and what they were
+    computed from; it is replaced as the last step of a run, so a run that fails changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder, self.run = spark, folder, f"r{uuid.uuid4().hex}"
+
+    def state(self) -> DataFrame:
+        recover_table(self.spark, f"{self.folder}/state")
+        try:
+            return self.spark.read.schema(STATE).parquet(f"{self.folder}/state")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], STATE)
+
+    def write(self, df: DataFrame, table: str) -> None:
+        df.write.options(**WRITER).parquet(f"{self.folder}/{table}/run={self.run}")
+
+    def rows(self, table: str, state: DataFrame, station_bound: int | None = None) -> DataFrame:
+        """The rows that count for the stations of `state`."""
+        stored = self.spark.read.parquet(f"{self.folder}/{table}")
+        runs = state.select("cd_estacao", F.col(f"{table}_run").alias("run"))
+        return stored.join(broadcast_if(runs, station_bound), ["cd_estacao", "run"], "left_semi").drop("run")
+
+    def publish(self, state: DataFrame) -> None:
+        """Makes `state` count and removes the runs that no station refers to any more."""
+        write_table(state, f"{self.folder}/state")
+        live = self.state()
+        for table in ("cells", "days"):
+            names = {r[0] for r in live.select(f"{table}_run").distinct().collect()}  # one per run that is still used
+            for name in run_names(self.spark, f"{self.folder}/{table}"):
+                if name not in names:
+                    remove_table(self.spark, f"{self.folder}/{table}/run={name}")
+
+
+def run_names(spark: SparkSession, folder: str) -> list[str]:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    return [one.getPath().getName().removeprefix("run=") for one in system.listStatus(path)]
+
+
+def staged_days(spark: SparkSession, folder: str) -> DataFrame | None:
+    """Daily rows that count so far, or None before the first run."""
+    staging = Staging(spark, folder)
+    if not run_names(spark, f"{folder}/days"):
+        return None
+    return staging.rows("days", staging.state())
+
+
+def pending_stations(stations: DataFrame, inputs: DataFrame, state: DataFrame) -> DataFrame:
+    """The stations with grid hours beside what is staged of them; `fresh` when their input is not what was staged."""
+    stale = ~F.col("input").eqNullSafe(F.col("staged_input"))
+    return (
+        stations.join(inputs, "cd_estacao")
+        .join(state.withColumnRenamed("input", "staged_input"), "cd_estacao", "left")
+        .withColumn("fresh", stale).drop("staged_input")
+    )
 
 
 def impute_all(
@@ -76,33 +180,63 @@ def impute_all(
     codes: Sequence[str] | None = None,
     min_samples: int = MIN_SAMPLES,
     station_bound: int | None = None,
+    placed: bool = False,
 ) -> DataFrame:
     """Imputed daily table of all stations that observed something.
 
-    Work is staged by batch below `staging`, in a folder for each method, span of years and
-    `min_samples`. A batch whose members are all staged with all their grid hours is not
-    computed again; the others run as one job and replace only their own partitions. The last
-    fallback of the fit is the batch, so the result does not depend on how often the run was
-    resumed. A changed history needs a new staging folder.
+    Work is staged below `staging`, in a folder for each method, span of years and `min_samples`,
+    by station. The sums of the fit are computed again where grid or readings of a station have
+    changed in content, its days where these or its fitted parameters have. Batches, whose last
+    fallback of the fit is their own, stay slices of the registry in code order: a station more or less moves
+    them, but days are computed again only for stations that fall back to a batch whose figures
+    changed. The result is that of one fresh run. `history` is the raw history or the merged
+    observations; `placed` tells that it and the grid are stored where they are joined. A result
+    is read before the next run on the same folder.
     """
     spark = grid.sparkSession
-    folder = run_folder(staging, method, years, min_samples)
-    batches = named_batches(station_coordinates(stations, codes), batch_size)
+    store = Staging(spark, run_folder(staging, method, years, min_samples))
     grid = within_years(grid, years)
-    # written first: the run replaces parts of the staging table that these lists are read from
-    members = f"{staging.rstrip("/")}-members/{uuid.uuid4().hex}"  # the result is read with it, so it stays
-    batches.write.parquet(members)
-    batches = spark.read.parquet(members)
-    with written(pending_batches(batches, grid, staged_days(spark, folder)), "pending") as pending:
-        wanted = grid.join(broadcast_if(pending, station_bound), "cd_estacao")
-        observed = hourly_observations(history, pending.select("cd_estacao"), max_codes=station_bound)
-        hourly = impute_hourly(hourly_frame(wanted, observed), method, min_samples, station_bound, scope="batch")
-        # a task holds one batch and year, so a batch gets one file per year
-        daily = aggregate_daily(hourly, carry=("batch",)).repartition("batch", F.year("data"))
-        write_table(daily, folder, partition_by=["batch"])
-    days = spark.read.schema(daily.schema).parquet(folder)
-    full = days.join(broadcast_if(batches, station_bound), ["batch", "cd_estacao"], "left_semi").drop("batch")
-    return add_day_type(full, only_observed_stations=True, station_bound=station_bound)
+    batches = station_batches(station_coordinates(stations, codes), batch_size)
+    before = store.state()
+
+    def frame_of(chosen: DataFrame) -> DataFrame:
+        chosen = chosen.select("cd_estacao")
+        observed = observed_hours(history, chosen, max_codes=station_bound)
+        return hourly_frame(keep_stations(grid, chosen, station_bound), observed, placed)
+
+    sums = input_sums(grid, history, batches, station_bound)
+    with written(sums, "sums") as sums, written(pending_stations(batches, station_inputs(sums), before), "pending") as pending:
+        fresh = pending.filter("fresh")
+        if not fresh.isEmpty():
+            store.write(cell_sums(frame_of(fresh)).drop("scope"), "cells")
+        run = F.lit(store.run)
+        judged = pending.withColumn("cells_run", F.when(F.col("fresh"), run).otherwise(F.col("cells_run")))
+        if judged.isEmpty():
+            parameters = None
+        else:
+            scope = judged.select("cd_estacao", F.col("batch").alias("scope"))
+            cells = store.rows("cells", judged, station_bound).join(broadcast_if(scope, station_bound), "cd_estacao")
+            parameters = settled(fit_parameters(fit_levels(cells), min_samples, scope_bound=station_bound))
+        if parameters is not None:
+            with written(parameters, "parameters") as parameters:
+                marks = parameter_marks(parameters).withColumnRenamed("parameters", "mark")
+                stale = F.col("fresh") | ~F.col("parameters").eqNullSafe(F.col("mark"))
+                with written(judged.join(marks, "cd_estacao", "left").withColumn("stale", stale), "judged") as judged:
+                    again = judged.filter("stale")
+                    if not again.isEmpty():
+                        hourly = impute_hourly(frame_of(again), method, station_bound=station_bound, parameters=parameters)
+                        store.write(aggregate_daily(hourly), "days")
+                    after = judged.select(
+                        "cd_estacao", "input", "cells_run", F.col("mark").alias("parameters"),
+                        F.when(F.col("stale"), run).otherwise(F.col("days_run")).alias("days_run"))
+                    if codes is not None:  # the others stay staged
+                        after = after.union(before.join(batches, "cd_estacao", "left_anti").select(after.columns))
+                    store.publish(after)
+        write_table(sums, f"{store.folder}/inputs")
+    if parameters is None:
+        return add_day_type(aggregate_daily(impute_hourly(frame_of(batches).limit(0), method)), True)
+    counted = keep_stations(store.state(), batches, station_bound)
+    return add_day_type(store.rows("days", counted, station_bound), only_observed_stations=True, station_bound=station_bound)
 
 
 def impute_codes(
@@ -119,7 +253,11 @@ def impute_codes(
     """
     codes = list(dict.fromkeys(codes))
     chosen = keep_stations(within_years(grid, years), codes)
-    return impute_daily(hourly_frame(chosen, hourly_observations(history, codes)), method, min_samples, len(codes))
+    return impute_daily(hourly_frame(chosen, observed_hours(history, codes)), method, min_samples, len(codes))
+
+
+def imputed_stations(daily: DataFrame) -> DataFrame:
+    return daily.select("cd_estacao").distinct()
 
 
 def validate_sample(
@@ -135,5 +273,5 @@ def validate_sample(
     """Scored hold-out hours of n stations spread evenly over the code order."""
     sample = F.broadcast(sample_stations(stations, n))  # n rows at most
     chosen = keep_stations(within_years(grid, years), sample, n)
-    frame = hourly_frame(chosen, hourly_observations(history, sample))
+    frame = hourly_frame(chosen, observed_hours(history, sample, max_codes=n))
     return score_frame(frame, test_years, method, min_samples, station_bound=n)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heatherd.functions.text import missing_to_null, snake_case
 from heatherd.operators.frame import keep_stations
-from heatherd.session import ship_by_value
+from heatherd.session import scratch_path, ship_by_value
 
 ship_by_value(__name__)
 
@@ -46,6 +46,10 @@ def station_files(spark: SparkSession, path: str | Sequence[str], suffix: str =
     )
 
 
+def station_code(file_name: Column) -> Column:
+    return F.regexp_substr(file_name, F.lit(STATION_CODE))
+
+
 def _packed_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """CSV members as they are stored in their archives, cut out by the central directory."""
     for batch in batches:
@@ -103,15 +107,19 @@ def _column_name(raw: Column) -> Column:
     return name
 
 
+def _header_names(header: Column) -> Column:
+    return F.transform(F.split(header, SEPARATOR), _column_name)
+
+
 def _parsed_files(
     files: DataFrame, stations: Sequence[str] | DataFrame | None, station_bound: int | None, header_within: int = HEADER_WITHIN
 ) -> DataFrame:
-    """Per file of a station: normalized header names and the lines below the header, null without one.
+    """Per file of a station: the header line and the lines below it, null without one.
 
     Files without a header are not filtered here: Spark would move the filter below the
     projections and cut every file into lines once more to evaluate it.
     """
-    coded = files.withColumn("cd_estacao", F.regexp_substr("file_name", F.lit(STATION_CODE))).filter(
+    coded = files.withColumn("cd_estacao", station_code(F.col("file_name"))).filter(
         F.col("cd_estacao").isNotNull()
     )
     head = F.transform(F.slice("lines", 1, header_within), lambda line: line.rlike(HEADER_LINE))
@@ -121,8 +129,7 @@ def _parsed_files(
         .select("cd_estacao", "file_name", _lines(F.col("text")).alias("lines"))
         .withColumn("at", F.array_position(head, True).cast("int"))
         .select(
-            "cd_estacao", "file_name",
-            F.transform(F.split(F.get("lines", F.col("at") - 1), SEPARATOR), _column_name).alias("names"),
+            "cd_estacao", "file_name", F.get("lines", F.col("at") - 1).alias("header"),
             F.when(F.col("at") > 0, F.slice("lines", F.col("at") + 1, F.size("lines"))).alias("body"),
         )
     )
@@ -132,21 +139,20 @@ def header_columns(
     files: DataFrame, stations: Sequence[str] | DataFrame | None = None, station_bound: int | None = None, header_within: int = HEADER_WITHIN
 ) -> list[str]:
     """Names of all columns found in any file with rows. Only the distinct names reach the driver."""
-    names = (
-        _parsed_files(files, stations, station_bound, header_within)
-        .filter(F.exists("body", lambda line: F.length(line) > 0))
-        .select(F.explode("names").alias("name"))
-        .filter(~F.col("name").rlike(PHANTOM_COLUMN))
-        .distinct()
-        .collect()
-    )
-    return sorted(r["name"] for r in names)
+    parsed = _parsed_files(files, stations, station_bound, header_within).filter(F.exists("body", lambda line: F.length(line) > 0))
+    return _column_names(parsed.select("header"))
+
+
+def _column_names(headers: DataFrame) -> list[str]:
+    """Normalized names of the columns of all header lines; files of one generation share theirs."""
+    names = headers.distinct().select(F.explode(_header_names(F.col("header"))).alias("name"))
+    return sorted(r["name"] for r in names.filter(~F.col("name").rlike(PHANTOM_COLUMN)).distinct().collect())
 
 
 def skipped_files(files: DataFrame, header_within: int = HEADER_WITHIN) -> DataFrame:
     """Names of the files without a station code or a header in their first lines, which `station_history` leaves out."""
     lines = F.slice(_lines(F.decode("content", "ISO-8859-1")), 1, header_within)
-    coded = F.regexp_substr("file_name", F.lit(STATION_CODE)).isNotNull()
+    coded = station_code(F.col("file_name")).isNotNull()
     return files.filter(~coded | ~F.exists(lines, lambda line: line.rlike(HEADER_LINE))).select("file_name")
 
 
@@ -160,13 +166,19 @@ def station_history(
     """The all-text hourly history of the files, with columns matched by name.
 
     Files without a station code or a header line are skipped; a column that a file lacks is
-    null; of repeated columns the first counts. Naming the `columns` saves the extra pass over
-    the files that looks for all header names.
+    null; of repeated columns the first counts. Without `columns` the files are cut into lines once,
+    into a table of the scratch folder, and its few header lines tell all columns.
     """
-    columns = header_columns(files, stations, station_bound, header_within) if columns is None else list(columns)
+    if columns is None:
+        lines = station_lines(files, stations, station_bound, header_within)
+        path = scratch_path(files.sparkSession, "lines")
+        lines.write.parquet(path)
+        return history_of(files.sparkSession.read.schema(lines.schema).parquet(path))
+    columns = list(columns)
     position = {c: f"_at_{i}" for i, c in enumerate(columns)}
     # Positions are found once per file, so a line carries small integers instead of the header.
-    located = _parsed_files(files, stations, station_bound, header_within).select(
+    names = _header_names(F.col("header"))
+    located = _parsed_files(files, stations, station_bound, header_within).withColumn("names", names).select(
         "cd_estacao", "body", *[F.array_position("names", c).cast("int").alias(p) for c, p in position.items()]
     )
     lines = located.select("cd_estacao", *position.values(), F.explode_outer("body").alias("line")).filter(
@@ -177,3 +189,27 @@ def station_history(
         "cd_estacao",
         *[missing_to_null(F.get("fields", F.col(p) - 1)).alias(c) for c, p in position.items()],
     )
+
+
+def station_lines(
+    files: DataFrame, stations: Sequence[str] | DataFrame | None = None, station_bound: int | None = None, header_within: int = HEADER_WITHIN
+) -> DataFrame:
+    """(cd_estacao, header, fields) of every line with text below a header, whatever its columns.
+
+    The header line itself goes along: a stored table keeps each distinct one once per file.
+    """
+    parsed = _parsed_files(files, stations, station_bound, header_within)
+    lines = parsed.select("cd_estacao", "header", F.explode_outer("body").alias("line")).filter(F.length("line") > 0)
+    return lines.select("cd_estacao", "header", _fields(F.col("line")).alias("fields"))
+
+
+def history_of(lines: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The all-text history of stored `station_lines`, with all columns that any header names."""
+    columns = _column_names(lines.select("header")) if columns is None else list(columns)
+    position = {c: f"_at_{i}" for i, c in enumerate(columns)}
+    headers = lines.select("header").distinct().withColumn("names", _header_names(F.col("header"))).select(
+        "header", *[F.array_position("names", c).cast("int").alias(p) for c, p in position.items()])
+    return lines.join(headers, "header").select(
+        "cd_estacao",
+        *[missing_to_null(F.get("fields", F.col(p) - 1)).alias(c) for c, p in position.items()],
+    )

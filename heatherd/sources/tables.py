@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -12,7 +13,7 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from heatherd.session import ship_by_value
+from heatherd.session import remove_table, ship_by_value
 
 ship_by_value(__name__)
 
@@ -29,7 +30,7 @@ LAYOUT = "file_path string, row_group int, column string, codec string, rows big
 
 
 def write_table(df: DataFrame, path: str, sort: Sequence[str] = (), partition_by: Sequence[str] = (), spread: Sequence[str] = ()) -> None:
-    """Replaces the table at `path`.
+    """Replaces the table at `path`; until the new one is complete the old one stays readable.
 
     With `sort` the files are sorted and do not overlap, so a reader skips row groups by their
     minimum and maximum. `spread` names further columns that split a run of equal sort keys
@@ -37,10 +38,67 @@ def write_table(df: DataFrame, path: str, sort: Sequence[str] = (), partition_by
     """
     if sort:
         df = df.repartitionByRange(*sort, *spread).sortWithinPartitions(*sort)
-    writer = df.write.mode("overwrite").options(**WRITER)
+    writer = df.write.options(**WRITER)
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+        writer.mode("overwrite").partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
+        return
+    recover_table(df.sparkSession, path)
+    beside = f"{hidden_path(path, 'new')}-{uuid.uuid4().hex}"
+    try:
+        writer.parquet(beside)
+        publish(df.sparkSession, beside, path)
+    finally:
+        remove_table(df.sparkSession, beside)
+
+
+def hidden_path(path: str, what: str) -> str:
+    """A name beside the table that readers of the folder around it do not see."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/.{name}-{what}" if folder or path.startswith("/") else f".{name}-{what}"
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's path and the file system it lies in."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def publish(spark: SparkSession, complete: str, path: str) -> None:
+    """Puts the complete table in the place of the one at `path`, by renaming.
+
+    The old table is renamed first and comes back if the new one cannot take its place. A
+    process that ends between the two leaves the old table beside; `recover_table` finds it.
+    """
+    (source, system), (target, _), (aside, _) = (_files(spark, p) for p in (complete, path, hidden_path(path, "old")))
+    if not system.exists(source):
+        raise OSError(f"nothing to publish at {complete}")
+    replaced = system.exists(target)
+    if replaced:
+        system.delete(aside, True)
+        if not system.rename(target, aside):
+            raise OSError(f"cannot set {path} aside")
+    elif target.getParent() is not None:
+        system.mkdirs(target.getParent())
+    published = False
+    try:
+        published = system.rename(source, target)
+    finally:
+        if not published and replaced:
+            system.rename(aside, target)
+    if not published:
+        raise OSError(f"cannot publish {path}")
+    if replaced:
+        system.delete(aside, True)
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Brings back a table that was set aside by a publication which never ended."""
+    (target, system), (aside, _) = (_files(spark, p) for p in (path, hidden_path(path, "old")))
+    if system.exists(aside):
+        if system.exists(target):
+            system.delete(aside, True)
+        else:
+            system.rename(aside, target)
 
 
 def file_counts(spark: SparkSession, path: str) -> DataFrame:

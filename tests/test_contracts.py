@@ -22,8 +22,8 @@ from conftest import SF_SMALL
         ("inmet_historico_diario_imputado", "inmet_historico_diario_imputado"),
         ("ibge_localidades_estados", "ibge_localidades_*"),
         ("nasa_power_hourly", "nasa_power_hourly*"),
-        ("nasa_power_hourly_-21.7_-43.4", "nasa_power_hourly*"),
-        ("nasa_power_-21.7_-43.4", "nasa_power_*"),
+        ("nasa_power_hourly_-8.6_-37.9", "nasa_power_hourly*"),
+        ("nasa_power_-8.6_-37.9", "nasa_power_*"),
         ("other", None),
     ],
 )

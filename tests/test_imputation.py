@@ -296,20 +296,26 @@ def test_resumable_network_run(spark, tables, tmp_path):
         expected |= plain_daily(part, plain_correction(part, part, "scaling")[1])
     expected = {k: v for k, v in expected.items() if k[0] != "A004"}  # never observed
 
-    def files():
-        folder = imputation.run_folder(staging, "scaling", None, MIN_SAMPLES)
-        first = spark.read.parquet(folder).filter("cd_estacao = 'A001'")
-        return {r[0] for r in first.select("_metadata.file_path").distinct().collect()}
+    folder = imputation.run_folder(staging, "scaling", None, MIN_SAMPLES)
+
+    def runs(*codes):
+        state = imputation.Staging(spark, folder).state().filter(F.col("cd_estacao").isin(*codes)).collect()
+        return {(r["cd_estacao"], r["cells_run"], r["days_run"]) for r in state}
 
     first = network_run(grid.filter("cd_estacao <> 'A005'"), history, registry, staging).collect()
     assert {r["cd_estacao"] for r in first} == {"A001", "A002", "A003", "A006"}
-    before = files()
-    staged = imputation.staged_days(spark, imputation.run_folder(staging, "scaling", None, MIN_SAMPLES))
-    pending = imputation.pending_batches(imputation.named_batches(registry, 3), grid, staged)
-    assert {r["cd_estacao"] for r in pending.collect()} == {"A004", "A005", "A006"}
+    before = runs("A001", "A002", "A003")
+    inputs = imputation.station_inputs(imputation.input_sums(grid, history, registry))
+    pending = imputation.pending_stations(registry, inputs, imputation.Staging(spark, folder).state())
+    assert {r["cd_estacao"] for r in pending.filter("fresh").collect()} == {"A005"}
     check_daily(network_run(grid, history, registry, staging).collect(), expected)
-    assert before == files()  # a finished batch is not written again
+    assert before == runs("A001", "A002", "A003")  # finished stations of another batch are not computed again
+    everything = runs(*(f"A00{s}" for s in range(1, 8)))
     check_daily(network_run(grid, history, registry, staging).collect(), expected)
+    assert everything == runs(*(f"A00{s}" for s in range(1, 8)))
+    live = {r for _, *both in everything for r in both}
+    for table in ("cells", "days"):  # what no station refers to is gone
+        assert set(imputation.run_names(spark, f"{folder}/{table}")) <= live
 
 
 def test_resumed_run_of_a_grown_registry(spark, tables, tmp_path):
@@ -333,6 +339,78 @@ def test_resumed_run_with_more_days_other_years_and_method(spark, tables, tmp_pa
         assert bag(network_run(grid, history, registry, staging, **options)) == bag(fresh)
 
 
+def test_changed_values_at_the_same_hours(spark, tables, tmp_path):
+    """Content decides, not hours: only what a change reaches is computed again."""
+    grid, history = tables
+    staging, registry = str(tmp_path / "staging"), network_stations(spark)
+    folder = imputation.run_folder(staging, "scaling", None, MIN_SAMPLES)
+
+    def state():
+        return {r["cd_estacao"]: r.asDict() for r in imputation.Staging(spark, folder).state().collect()}
+
+    network_run(grid, history, registry, staging)
+    first = state()
+    one = (F.col("cd_estacao") == "A006") & (F.col("data") == "2002-01-05") & (F.col("hora") == 2)
+    warmer = grid.withColumn("t2m", F.when(one, F.col("t2m") + 3).otherwise(F.col("t2m")))
+    fresh = bag(network_run(warmer, history, registry, str(tmp_path / "fresh")))
+    assert bag(network_run(warmer, history, registry, staging)) == fresh != bag(network_run(grid, history, registry, str(tmp_path / "old")))
+    second = state()
+    assert second["A006"]["cells_run"] != first["A006"]["cells_run"] and second["A006"]["days_run"] != first["A006"]["days_run"]
+    assert {c: s for c, s in second.items() if c < "A004"} == {c: s for c, s in first.items() if c < "A004"}  # another batch
+    assert second["A005"]["cells_run"] == first["A005"]["cells_run"]
+
+    # the same number of readings, one swapped for another; and a reading delivered twice
+    swapped = history.withColumn(frame.TEMPERATURE_COLUMN, F.when((F.col("cd_estacao") == "A001") & (F.col("data") == "2001-02-03"), "21,5").otherwise(F.col(frame.TEMPERATURE_COLUMN)))
+    twice = swapped.union(swapped.filter("cd_estacao = 'A002' AND data = '2001-01-07'").limit(1))
+    for readings in (swapped, twice):
+        assert bag(network_run(warmer, readings, registry, staging)) == bag(network_run(warmer, readings, registry, str(tmp_path / f"f{readings is twice}")))
+
+    # chosen stations leave the others staged
+    before = state()
+    network_run(warmer, twice, registry, staging, codes=["A001"])
+    assert {c: s for c, s in state().items() if c != "A001"} == {c: s for c, s in before.items() if c != "A001"}
+
+
+def test_failed_run_leaves_what_was_staged(spark, tables, tmp_path, monkeypatch):
+    grid, history = tables
+    staging, registry = str(tmp_path / "staging"), network_stations(spark)
+    expected = bag(network_run(grid, history, registry, staging))
+
+    def fail(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(imputation.Staging, "publish", fail)
+        with pytest.raises(RuntimeError, match="stopped"):
+            network_run(grid.withColumn("t2m", F.col("t2m") + 1), history, registry, staging)
+    folder = imputation.run_folder(staging, "scaling", None, MIN_SAMPLES)
+    assert len(imputation.run_names(spark, f"{folder}/days")) == 2
+    assert imputation.staged_days(spark, folder).count() == 600
+    assert bag(network_run(grid, history, registry, staging)) == expected
+    assert len(imputation.run_names(spark, f"{folder}/days")) == 1  # the rows of the failed run are gone
+
+
+def test_changed_periods_are_told_by_content(spark, tables):
+    grid, history = tables
+    every = network_stations(spark)
+    sums = imputation.input_sums(grid, history, every)
+    shuffled = imputation.input_sums(grid.orderBy(F.rand(3)), history.repartition(7), every)
+    assert imputation.changed_periods(sums, shuffled).count() == 0
+    flipped = grid.withColumns({"t2m": F.when(F.col("t2m").isNull(), F.col("rh2m")).otherwise(F.col("t2m")),
+                                "rh2m": F.when(F.col("t2m").isNull(), None).otherwise(F.col("rh2m"))})
+    found = imputation.changed_periods(sums, imputation.input_sums(flipped, history.filter("cd_estacao <> 'A002' OR data > '2002'"), every)).collect()
+    assert ("A002", "2001", "history", "gone") in {tuple(r) for r in found}
+    assert {r["mudanca"] for r in found if r["fonte"] == "grid"} == {"changed"}  # a null that moves to another column counts
+
+
+def test_observed_stations_come_from_the_fit(spark, hourly_frame):
+    one_pass = impute.impute_daily(hourly_frame, min_samples=MIN_SAMPLES, only_observed_stations=True)
+    both = stations.observed_only(impute.impute_daily(hourly_frame, min_samples=MIN_SAMPLES))
+    short = [F.round(c, 9).alias(c) if kind == "double" else c for c, kind in both.dtypes]
+    assert bag(one_pass.select(short)) == bag(both.select(short))
+    assert "A004" not in {r["cd_estacao"] for r in one_pass.collect()}
+
+
 def test_years_limit_the_run(spark, tables, tmp_path):
     grid, history = tables
     daily = imputation.impute_all(grid, history, network_stations(spark), str(tmp_path / "s"), years=(2002, 2002), codes=["A001"], min_samples=MIN_SAMPLES)
@@ -403,6 +481,45 @@ def test_year_blocks(spark):
         work.year_blocks(one, 2002, 2001, 1)
 
 
+PERIODS = "cd_estacao string, inicio string, fim string"
+
+
+def plain_gaps(plan, landed):
+    one, gaps = dt.timedelta(days=1), []
+    for code, first, last in plan:
+        day, run = dt.date.fromisoformat(first), None
+        while day <= dt.date.fromisoformat(last):
+            inside = any(c == code and a <= day.isoformat() <= b for c, a, b in landed)
+            if not inside and run is None:
+                run = day
+            if inside and run is not None:
+                gaps.append((code, run.isoformat(), (day - one).isoformat()))
+                run = None
+            day += one
+        if run is not None:
+            gaps.append((code, run.isoformat(), last))
+    return sorted(gaps)
+
+
+def test_periods_of_any_bounds_are_subtracted(spark):
+    plan = [(c, f"{y}-01-01", f"{y + 1}-12-31") for c in "abcde" for y in (2001, 2003)]
+    landed = [("a", "2001-01-01", "2010-12-31"), ("b", "2001-03-05", "2001-03-05"), ("b", "2001-03-06", "2002-01-01"), ("b", "2003-12-31", "2004-01-01"),
+              ("c", "1990-01-01", "2001-06-30"), ("c", "2001-02-01", "2001-02-03"), ("c", "2001-07-02", "2005-01-01"), ("d", "2002-05-05", "2002-05-04"),
+              ("d", "no date", "2002-05-04"), ("z", "2001-01-01", "2001-01-02"), ("a", "2001-01-01", "2010-12-31")]
+    found = work.missing_periods(spark.createDataFrame(plan, PERIODS), spark.createDataFrame(landed, PERIODS))
+    assert sorted(map(tuple, found.collect())) == plain_gaps(plan, [p for p in landed if p[1] != "no date"])
+    nothing = work.missing_periods(spark.createDataFrame(plan, PERIODS), spark.createDataFrame([], PERIODS))
+    assert sorted(map(tuple, nothing.collect())) == sorted(plan)
+    rng = random.Random(4)
+    days = [(dt.date(2001, 1, 1) + dt.timedelta(days=i)).isoformat() for i in range(1_400)]
+    landed = [(rng.choice("abc"), days[i], days[i + rng.randint(0, 40)]) for i in (rng.randrange(1_300) for _ in range(60))]
+    found = work.missing_periods(spark.createDataFrame(plan, PERIODS), spark.createDataFrame(landed, PERIODS))
+    assert sorted(map(tuple, found.collect())) == plain_gaps(plan, landed)
+    # ten landed years satisfy a plan of five-year blocks
+    ten = spark.createDataFrame([("a", "2001-01-01", "2010-12-31")], PERIODS)
+    assert work.missing_periods(work.year_blocks(ten.select("cd_estacao"), 2001, 2010, 5), ten).count() == 0
+
+
 def test_unknown_method_is_refused(hourly_frame):
     with pytest.raises(ValueError):
         impute.impute_hourly(hourly_frame, "cubic")

@@ -108,7 +108,7 @@ def test_milk(landed):
         {"localidade": {"id": "76"}, "serie": None},
     ]
     other = [{"localidade": {"id": "99"}, "serie": {"2020": "1"}}]
-    payload = [{"id": "106", "resultados": [{"classificacoes": [], "series": series}, {"series": other}]}, {"resultados": [{"series": other}]}]
+    payload = [{"id": "4417", "resultados": [{"classificacoes": [], "series": series}, {"series": other}]}, {"resultados": [{"series": other}]}]
     rows = {(r["code"], r["year"]): r["milk_production_liters"] for r in milk_production(landed(payload), "N3").collect()}
     assert rows == {(71, 1998): 812e3, (71, 1999): 907e3, (71, 2000): 0.0, (75, 1998): 33e3, (75, 1999): 41.5e3}
     assert milk_production(landed(payload[0]), "N3").count() == 0

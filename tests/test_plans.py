@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry
 from catalogue.oracle import ORACLE
 from catalogue.queries import QUERIES
 from heatherd.operators import daily, frame, impute
-from heatherd.sources import derived
+from heatherd.functions import text
+from heatherd.operators import grid as grids
+from heatherd.sources import colocated, derived
 from heatherd.sources.tables import write_table
 
 from conftest import SF_SMALL
@@ -55,6 +59,99 @@ def test_range_lookup_is_pushed_down(spark, landed, tmp_path):
     assert {r["cd_estacao"] for r in found.collect()} == {"A001"}
 
 
+def scanned_rows(df):
+    """Rows that the scans of an executed plan gave out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    leaves, total = plan.collectLeaves(), 0
+    for i in range(leaves.size()):
+        total += leaves.apply(i).metrics().apply("numOutputRows").value()
+    return total
+
+
+def test_row_groups_are_skipped(spark, tmp_path):
+    """Groups of 100,000 rows in one file; a range on the sort keys reads those that can hold it."""
+    path = str(tmp_path / "long")
+    rows = spark.range(0, 450_000, numPartitions=1).selectExpr("format_string('A%03d', id div 50000) AS cd_estacao", "date_add(DATE '1990-01-01', int(id % 50000 div 10)) AS data", "id AS valor")
+    write_table(rows, path, sort=["cd_estacao", "data"])
+    stored = spark.read.parquet(path)
+    assert max(r["n"] for r in stored.groupBy("_metadata.file_path").agg(F.count("*").alias("n")).collect()) > 100_000
+    found = daily.between_days(stored, "A003", "1995-01-01", "1996-12-31")
+    assert 0 < scanned_rows(found) <= 100_000 < stored.count()
+    assert found.count() == 731 * 10
+
+
+def test_stored_range_query_skips(spark):
+    plan = final_plan(QUERIES["stored_range"](spark, SF_SMALL))
+    assert "EqualTo(cd_estacao,A002)" in plan
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Tables as large as those that need their placement."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_stored_frame_and_daily_have_no_exchange(spark, landed, tmp_path, no_broadcast):
+    folder = str(tmp_path / "placed")
+    colocated.store_frame_inputs(*landed, folder, buckets=4)
+    stored = colocated.stored_frame(spark, folder)
+    days = impute.aggregate_daily(stored.selectExpr("*", "temp AS temp_imp", "rh AS rh_imp", "'inmet' AS temp_src", "'inmet' AS rh_src"))
+    for df in (stored, days):
+        plan = final_plan(df)
+        assert "Exchange" not in plan and "Bucketed: true" in plan, plan
+    fresh = frame.hourly_frame(landed[0], frame.hourly_observations(landed[1]))
+    assert sorted(map(str, stored.collect())) == sorted(map(str, fresh.select(stored.columns).collect()))
+
+    # a table that is written again, with other buckets, and read by a session that did not write it
+    colocated.store_frame_inputs(landed[0].filter("cd_estacao = 'A001'"), landed[1], folder, buckets=3)
+    other = spark.newSession()
+    assert {r[0] for r in colocated.stored_frame(other, folder).select("cd_estacao").distinct().collect()} == {"A001"}
+
+
+def test_imputation_of_stored_tables_shuffles_no_hours(spark, landed, tmp_path, no_broadcast):
+    folder = str(tmp_path / "placed")
+    colocated.store_frame_inputs(*landed, folder, buckets=4)
+    plan = final_plan(impute.impute_daily(colocated.stored_frame(spark, folder), min_samples=10, station_bound=6))
+    by_hour = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "data#" in line]
+    assert not by_hour
+
+
+def test_observed_days_fit_once(spark, landed):
+    hourly = frame.hourly_frame(landed[0], frame.hourly_observations(landed[1]))
+    def fits(**options):  # each brings the levels of its cascade
+        days = impute.impute_daily(hourly, min_samples=10, station_bound=6, **options)
+        return days._jdf.queryExecution().optimizedPlan().toString().count("Expand")
+
+    assert fits(only_observed_stations=True) == fits()
+
+
+def test_alignment_grows_with_the_parameters_only(spark):
+    def size(n):
+        df = spark.createDataFrame([("A", "{}")], "cd_estacao string, payload string")
+        return len(grids.grid_hourly(df, [f"P{i}" for i in range(n)])._jdf.queryExecution().optimizedPlan().toString())
+
+    assert size(20) < 2.5 * size(10)
+
+
+def test_names_are_built_fast(spark):
+    column = F.col("x")
+    text.snake_case(column)
+    start = time.perf_counter()
+    text.snake_case(column)
+    assert time.perf_counter() - start < 0.05
+
+
+def test_drifting_files_are_parsed_once(spark):
+    plan = QUERIES["schema_drift"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "decode" not in plan and plan.count("Relation") <= 2  # the stored lines, once for rows and once for header lines
+
+
 def test_every_query_has_sql_and_builds(spark):
     assert set(QUERIES) == set(ORACLE)
     assert entry(spark).columns[:2] == ["cd_estacao", "data"]
@@ -62,7 +159,7 @@ def test_every_query_has_sql_and_builds(spark):
 
 def test_no_query_plans_a_cross_join(spark):
     for name, build in QUERIES.items():
-        if name in ("impute_network", "impute_network_resumed"):  # runs jobs while it is built
+        if name in ("impute_network", "impute_network_resumed", "impute_changed_values"):  # runs jobs while it is built
             continue
         plan = build(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name

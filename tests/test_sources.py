@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from heatherd.operators.daily import daily_climate
 from heatherd.operators.contracts import check_contract
 from heatherd.operators.frame import HUMIDITY_COLUMN, TEMPERATURE_COLUMN
-from heatherd.sources.files import archive_members, header_columns, skipped_files, station_files, station_history
+from heatherd.sources.files import archive_members, header_columns, history_of, skipped_files, station_files, station_history, station_lines
 from heatherd.sources.payloads import documents
-from heatherd.sources.tables import file_counts, order_violations, parquet_layout, write_table
+from heatherd.sources.tables import file_counts, order_violations, parquet_layout, publish, recover_table, write_table
 
-PREAMBLE = "REGIAO:;SE\nUF:;MG\nESTAÇÃO:;SÃO JOÃO\nALTITUDE:;850,00\n"
+PREAMBLE = "REGIAO:;NO\nUF:;TO\nESTAÇÃO:;IGARAPÉ FUNDO\nALTITUDE:;27,40\n"
 NEW_HEADER = "Data;Hora UTC;PRECIPITAÇÃO TOTAL, HORÁRIO (mm);TEMPERATURA DO AR - BULBO SECO, HORARIA (°C);UMIDADE RELATIVA DO AR, HORARIA (%);\n"
 NEW_ROWS = [
     "2017-06-10;0300 UTC;0,4;9,5;91;",
@@ -34,8 +34,8 @@ def folder(tmp_path):
     new = (PREAMBLE + NEW_HEADER + "\n".join(NEW_ROWS) + "\n").encode("latin-1")
     old = (PREAMBLE + OLD_HEADER + "\r\n".join(OLD_ROWS)).encode("latin-1")
     (tmp_path / "2024").mkdir()
-    (tmp_path / "2024" / "INMET_SE_MG_A001_TEST.CSV").write_bytes(new)
-    (tmp_path / "INMET_SE_MG_B002_TEST.csv").write_bytes(old)
+    (tmp_path / "2024" / "leituras_NO_A001_junho.CSV").write_bytes(new)
+    (tmp_path / "leituras_NO_B002_maio.csv").write_bytes(old)
     (tmp_path / "no_code.csv").write_bytes(new)
     (tmp_path / "C003_no_header.csv").write_bytes(b"a;b\n1;2\n")
     (tmp_path / "D004_late_header.csv").write_bytes(b"x\n" * 15 + NEW_HEADER.encode("latin-1") + b"2024-01-01;0000 UTC;1;2;3;\n")
@@ -84,12 +84,12 @@ def test_files_to_daily_climate(spark, folder):
 def test_archives(spark, folder, tmp_path_factory):
     root = tmp_path_factory.mktemp("zips")
     with zipfile.ZipFile(root / "2024.zip", "w") as z:
-        z.write(folder / "2024" / "INMET_SE_MG_A001_TEST.CSV", "2024/deep/INMET_SE_MG_A001_TEST.CSV")
+        z.write(folder / "2024" / "leituras_NO_A001_junho.CSV", "2024/deep/leituras_NO_A001_junho.CSV")
         z.writestr("2024/readme.txt", "Data;x")
     with zipfile.ZipFile(root / "2001.ZIP", "w") as z:
-        z.write(folder / "INMET_SE_MG_B002_TEST.csv", "INMET_SE_MG_B002_TEST.csv")
+        z.write(folder / "leituras_NO_B002_maio.csv", "leituras_NO_B002_maio.csv")
     members = archive_members(station_files(spark, str(root), "zip"))
-    assert {r["file_name"] for r in members.collect()} == {"INMET_SE_MG_A001_TEST.CSV", "INMET_SE_MG_B002_TEST.csv"}
+    assert {r["file_name"] for r in members.collect()} == {"leituras_NO_A001_junho.CSV", "leituras_NO_B002_maio.csv"}
     assert station_history(members).count() == 10
     plan = members._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("_inflated") < plan.index("RepartitionByExpression") < plan.index("_packed_members")
@@ -158,3 +158,61 @@ def test_partitioned_write_replaces_only_its_partitions(spark, tmp_path):
     write_table(spark.createDataFrame([(1, "a"), (2, "b")], "p int, v string"), path, partition_by=["p"])
     write_table(spark.createDataFrame([(2, "c")], "p int, v string"), path, partition_by=["p"])
     assert {(r["p"], r["v"]) for r in spark.read.parquet(path).collect()} == {(1, "a"), (2, "c")}
+
+
+# Replacing a table
+
+
+def hidden(folder):
+    return sorted(p.name for p in folder.iterdir() if p.name.startswith("."))
+
+
+def test_failed_write_leaves_the_table(spark, tmp_path):
+    path, rows = str(tmp_path / "t"), spark.range(100)
+    write_table(rows, path, sort=["id"])
+    broken = rows.withColumn("id", F.when(F.col("id") == 57, F.raise_error(F.lit("broken row"))).otherwise(F.col("id")))
+    for sort in ([], ["id"]):
+        with pytest.raises(Exception, match="broken row"):
+            write_table(broken, path, sort=sort)
+        assert spark.read.parquet(path).count() == 100 and not hidden(tmp_path)
+
+
+def test_table_can_be_replaced_from_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(10), path)
+    write_table(spark.read.parquet(path).withColumn("id", F.col("id") + 1), path, sort=["id"])
+    assert sorted(r[0] for r in spark.read.parquet(path).collect()) == list(range(1, 11)) and not hidden(tmp_path)
+
+
+def test_table_set_aside_comes_back(spark, tmp_path):
+    """A process that ended between setting the old table aside and publishing the new one."""
+    path = tmp_path / "t"
+    write_table(spark.range(10), str(path))
+    path.rename(tmp_path / ".t-old")
+    recover_table(spark, str(path))
+    assert spark.read.parquet(str(path)).count() == 10 and not hidden(tmp_path)
+    write_table(spark.range(3), str(tmp_path / ".t-old"))  # left over beside a complete table
+    recover_table(spark, str(path))
+    assert spark.read.parquet(str(path)).count() == 10 and not hidden(tmp_path)
+
+
+def test_refused_publication_brings_the_old_table_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(10), path)
+    with pytest.raises(Exception):
+        publish(spark, str(tmp_path / "nothing"), path)
+    assert spark.read.parquet(path).count() == 10 and not hidden(tmp_path)
+    write_table(spark.range(4), str(tmp_path / "new" / "folder" / "t"))
+    assert spark.read.parquet(str(tmp_path / "new" / "folder" / "t")).count() == 4
+
+
+def test_stored_lines_give_the_same_history(spark, folder):
+    files = station_files(spark, str(folder))
+    named = station_history(files, columns=header_columns(files))
+    lines = station_lines(files)
+    assert lines.select("header").distinct().count() == 2  # files without rows have no lines
+    for history in (station_history(files), history_of(lines)):
+        assert history.columns == named.columns
+        assert sorted(map(str, history.collect())) == sorted(map(str, named.collect()))
+    assert history_of(lines, ["data"]).columns == ["cd_estacao", "data"]
+    assert station_history(files.limit(0)).collect() == []
