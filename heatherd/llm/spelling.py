@@ -145,13 +145,13 @@ def trie_nodes(spelled: DataFrame) -> DataFrame:
     ).where("branches OR enters OR ended IS NOT NULL").drop("branches", "enters")
 
 
-def edge_table(spelled: DataFrame, words: DataFrame) -> DataFrame:
+def edge_table(spelled: DataFrame, nodes: DataFrame, words: DataFrame) -> DataFrame:
     """Edges (k1, k2, label, c1, c2) of both tries with what is known of the child: see `trie_nodes`.
 
     All words through a child that hold its parent agree on it, so one of them spells the label.
     """
     known = ["ended", *LETTERS, "least", "most"]
-    rows = spelled.select("k1", "k2", "id", "backward", "depth").join(trie_nodes(spelled), ["k1", "k2"])
+    rows = spelled.select("k1", "k2", "id", "backward", "depth").join(nodes, ["k1", "k2"])
     rows = rows.withColumnsRenamed({"k1": "c1", "k2": "c2", "depth": "low"})
     path = Window.partitionBy("id", "backward").orderBy("low")  # the nodes of one word
     pairs = rows.select("*", *[F.lag(of).over(path).alias(name) for name, of in (("k1", "c1"), ("k2", "c2"), ("high", "low"))]).where("high IS NOT NULL")
@@ -197,9 +197,10 @@ def step(states: DataFrame, edges: DataFrame) -> DataFrame:
 def neighbours(words: DataFrame, scratch: Scratch) -> DataFrame:
     """(word, near, near_n): every ordered pair of `words` (id, word, n) that are one edit apart."""
     spelled = scratch.write(words.select("id", "word").mapInArrow(spell, SPELLED), "spelled")
-    edges = scratch.write(edge_table(spelled, words), "edges")
     states = scratch.write(entering(spelled, words), "states")
-    scratch.drop("spelled")
+    nodes = scratch.write(trie_nodes(spelled), "nodes")  # a job of its own leaves no shuffle files to the next one
+    edges = scratch.write(edge_table(spelled, nodes, words), "edges")
+    scratch.drop("spelled", "nodes")
     level, found = 0, []
     while not states.isEmpty():
         reached = scratch.write(step(states, edges), f"states-{level}")

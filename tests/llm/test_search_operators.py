@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+
 from heatherd.llm import prefix_trie, spelling, topk
 from heatherd.llm.common import Scratch
 
@@ -257,6 +258,6 @@ def test_neighbours_of_dense_words(spark):
 def test_frontier_plan_has_no_cross_join(spark):
     words = spark.createDataFrame([(1, "spelling", 3), (2, "speling", 2)], "id long, word string, n long")
     spelled = words.mapInArrow(spelling.spell, spelling.SPELLED)
-    reached = spelling.step(spelling.entering(spelled, words), spelling.edge_table(spelled, words))
+    reached = spelling.step(spelling.entering(spelled, words), spelling.edge_table(spelled, spelling.trie_nodes(spelled), words))
     plan = reached._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
