@@ -24,10 +24,8 @@ UNSURE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u2
 # Letters up to a plain mark or white space, which every pre-tokenizer here takes as one piece; else
 # a word with the space before it, the white space before that, a last white space of another kind.
 LETTERS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?![^ \t-\r.,;:!?*#$%&])"
+WORD = re.compile(rf"{LETTERS}|[^ \t-\r]+")
 SPACED = re.compile(rf" ?{LETTERS}| ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]")
-# Between these a text that keeps its white space is cut by hand: before each space, around each line
-# break. Where white space follows white space, or is of another kind, the pattern above decides.
-UNEVEN = re.compile(r"[\t\r\x0b\x0c\x00]|[ \n]{2}")
 LONG = 200  # characters; longer pieces are not remembered
 LIMIT = 400_000  # remembered pieces
 JOINT = 1_000  # pieces encoded side by side
@@ -109,11 +107,9 @@ class Encoder:
         return self.parts(texts)
 
     def pieces(self, text: str) -> list[str]:
-        if not self.spaces:
-            return text.split()
-        if UNEVEN.search(text):
+        if self.spaces:
             return SPACED.findall(text)
-        return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
+        return WORD.findall(text.encode().lower().decode())  # of bytes: A-Z only, which this vocabulary does not tell from a-z
 
     def parts(self, texts: list[str]) -> list[bytes]:
         memo, out, open_ = self.memo, [b""] * len(texts), []
