@@ -52,6 +52,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
         docs = scratch.write(stage(spark, docs, sf_dir), name)
+        if before is not None:  # nothing reads it any more
+            scratch.drop(before)
+        before = name
     return docs

@@ -74,6 +74,13 @@ class Scratch:
             path = hadoop(self.path(table))
             path.getFileSystem(conf).delete(path, True)
 
+    def clear(self, *keep: str) -> None:
+        """Removes all tables but some."""
+        root = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        system = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [one.getPath().getName() for one in system.listStatus(root)] if system.exists(root) else []
+        self.drop(*(name for name in names if name not in keep))
+
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of `batches` in order, in parts of at most `limit` bytes of `text` (one row at least)."""

@@ -1,10 +1,14 @@
 """N-gram Jaccard join over count vectors (operator 2).
 
-A document is its set of distinct word shingles. The shingles are hashed into `GROUPS` groups;
-the numbers per group are a point, and the summed coordinate minima of two points bound the
-overlap of the sets from above. Points of one bucket are packed into an R-tree (`CountTree`):
+A document is its set of distinct word shingles. The shingles are hashed into groups; the
+numbers per group are a point, and the summed coordinate minima of two points bound the
+overlap of the sets from above. Unrelated sets of n shingles agree by chance in nearly all of
+a few coordinates once n is large, so their number grows with the set: a power of two, one for
+eight shingles and `GROUPS` at least. The group is the low bits of a hash, so halves of a larger point
+add up to the smaller one, and two points are compared in the coordinates of the smaller one.
+Points of one bucket are packed into an R-tree (`CountTree`) in `GROUPS` coordinates:
 a node keeps the largest coordinates below it, so the same sum bounds the overlap with
-everything in the node. Pairs that the bound leaves are verified on the sets themselves.
+everything in the node. Pairs that the bounds leave are verified on the sets themselves.
 
 Buckets come from prefixes: with all shingles in one fixed order, two sets that are similar
 enough share one of the first `n - ceil(t n) + 1`. Rare shingles come first. How common a shingle
@@ -38,7 +42,8 @@ from heatherd.session import ship_by_value
 
 WIDTH = 5
 PERCENT = 80
-GROUPS = 64  # coordinates of a point
+GROUPS = 64  # least coordinates of a point, and those of the tree
+PER_GROUP = 8  # shingles for which a point has one coordinate
 SLOT_BITS, CHUNKS = 22, 64  # counters for the order of shingles (a power of two), and the parts they travel in
 SLOTS = 1 << SLOT_BITS
 BLOCK = 2_000  # rows of one side of a bucket that one step compares
@@ -70,8 +75,19 @@ class Shingler:
         return shingle_set(np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words)), self.width)
 
 
+def groups_of(size: int) -> int:
+    """Coordinates of the point of a set."""
+    return max(GROUPS, 1 << (-(-size // PER_GROUP) - 1).bit_length()) if size else GROUPS
+
+
 def point(found: np.ndarray) -> bytes:
-    return packed(np.bincount((found & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS))
+    groups = groups_of(len(found))
+    return packed(np.bincount((found & np.uint64(groups - 1)).astype(np.int64), minlength=groups))
+
+
+def folded(data: bytes, size: int, groups: int) -> np.ndarray:
+    """The point of a set of `size` shingles in fewer coordinates."""
+    return unpacked(data, groups_of(size)).reshape(-1, groups).sum(axis=0)
 
 
 def packed(counts: np.ndarray) -> bytes:
@@ -84,12 +100,25 @@ def unpacked(data: bytes, size: int) -> np.ndarray:
     return np.frombuffer(data, f"<u{len(data) // size}").astype(np.int64)
 
 
-def points(column: pa.Array) -> np.ndarray:
-    rows, widths = column.to_pylist(), pa.compute.binary_length(column).to_numpy(zero_copy_only=False) // GROUPS
+def points(rows: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Points in `GROUPS` coordinates."""
     out = np.empty((len(rows), GROUPS), np.int64)
-    for width in np.unique(widths):
-        some = np.flatnonzero(widths == width)
-        out[some] = np.frombuffer(b"".join([rows[i] for i in some]), f"<u{width}").reshape(-1, GROUPS)
+    shapes = np.array([(len(row), groups_of(size)) for row, size in zip(rows, sizes.tolist())], np.int64).reshape(-1, 2)
+    for length, groups in np.unique(shapes, axis=0).tolist():
+        some = np.flatnonzero((shapes[:, 0] == length) & (shapes[:, 1] == groups))
+        for part in np.array_split(some, -(-len(some) * groups // (1 << 22))):  # so many numbers at a time
+            counts = np.frombuffer(b"".join([rows[i] for i in part]), f"<u{length // groups}")
+            out[part] = counts.reshape(len(part), -1, GROUPS).sum(axis=1)
+    return out
+
+
+def sharpened(a: list[bytes], sizes_a: np.ndarray, b: list[bytes], sizes_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether each pair still reaches the similarity in as many coordinates as both points have."""
+    out = np.ones(len(a), bool)
+    for i in np.flatnonzero(np.minimum(sizes_a, sizes_b) > GROUPS * PER_GROUP):
+        m, n = int(sizes_a[i]), int(sizes_b[i])
+        groups = min(groups_of(m), groups_of(n))
+        out[i] = possible(np.minimum(folded(a[i], m, groups), folded(b[i], n, groups)).sum(), m + n, percent)
     return out
 
 
@@ -216,7 +245,8 @@ def compare_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
         keys = [rows.column(c).to_numpy() for c in ("token", "i", "j")]
         new = np.append(True, np.any([key[1:] != key[:-1] for key in keys], axis=0))
         block = np.cumsum(new)
-        at = points(rows.column("point").combine_chunks())
+        packed_points = rows.column("point").to_pylist()
+        at = points(packed_points, sizes)
         sides = [np.bincount(block[side == k], minlength=block[-1] + 1) for k in (0, 1)]
         large = sides[0] * sides[1] > SMALL
         small, found = np.flatnonzero(~large[block]), []
@@ -234,7 +264,11 @@ def compare_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
             found.append((query[left], index[right]))
         left, right = (np.concatenate([pair[k] for pair in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
         apart = label[left] != label[right]
-        a, b = doc[left[apart]], doc[right[apart]]
+        left, right = left[apart], right[apart]
+        _, once = np.unique(np.stack([np.minimum(doc[left], doc[right]), np.maximum(doc[left], doc[right])], axis=1), axis=0, return_index=True)
+        left, right = left[once], right[once]
+        near = sharpened([packed_points[i] for i in left], sizes[left], [packed_points[i] for i in right], sizes[right], percent)
+        a, b = doc[left[near]], doc[right[near]]
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
@@ -262,9 +296,10 @@ def verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 
 def bounded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        overlap = np.minimum(points(batch.column("point_a")), points(batch.column("point_b"))).sum(axis=1)
-        total = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
-        yield batch.select(["a", "b"]).filter(pa.array(possible(overlap, total, percent)))
+        (a, m), (b, n) = ((batch.column(f"point_{side}").to_pylist(), batch.column(f"size_{side}").to_numpy()) for side in "ab")
+        near = possible(np.minimum(points(a, m), points(b, n)).sum(axis=1), m + n, percent)
+        near[near] = sharpened([a[i] for i in np.flatnonzero(near)], m[near], [b[i] for i in np.flatnonzero(near)], n[near], percent)
+        yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
 
 def sets_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -382,7 +417,7 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
         result = rows.select("doc_id", "n_shingles").join(owned, "doc_id", "left").select(
             "doc_id", "n_shingles", F.coalesce("group", "doc_id").alias("component_id"))
         result = scratch.write(result, "result")
-        scratch.drop("described", "sets", "classes", "members", "pivots", "stars", "picked", "pairs")
+        scratch.clear("result")
         return result
 
 

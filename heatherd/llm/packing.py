@@ -156,7 +156,9 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, end: int = END) -> DataFra
         made = scratch.write(docs.mapInArrow(lambda batches: make_pieces(batches, tokenizer, end, groups), MADE), "made")
         packed = made.where("group is not null").groupBy("group").applyInArrow(pack_group, PIECE)
         names = [part.split()[0] for part in PIECE.split(", ")]
-        return scratch.write(made.where("group is null").select(names).union(packed), "pieces")
+        pieces = scratch.write(made.where("group is null").select(names).union(packed), "pieces")
+        scratch.drop("made")
+    return pieces
 
 
 ship_by_value(__name__)

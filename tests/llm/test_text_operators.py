@@ -123,6 +123,28 @@ def test_ngram_join_of_nothing(no_docs):
     assert ngram_join.jaccard_groups(no_docs.unionByName(no_docs)).columns == ["doc_id", "n_shingles", "component_id"]
 
 
+def test_points_of_large_sets_prune_unrelated_ones():
+    rng = np.random.default_rng(8)
+    for size in (300, 513, 2_000, 5_000):
+        base = np.unique(rng.integers(0, 1 << 63, 2 * size).astype(np.uint64))[: 2 * size]
+        rng.shuffle(base)
+        sets = [base[:size], base[size:], np.concatenate([base[: size - size // 12], base[-(size // 12):]])]
+        packed = [ngram_join.point(np.sort(one)) for one in sets]
+        sizes = np.array([len(one) for one in sets])
+        assert np.array_equal(ngram_join.points(packed, sizes), [np.bincount((one & np.uint64(63)).astype(int), minlength=64) for one in sets])
+        # with few coordinates two unrelated large sets seem to overlap
+        few = ngram_join.possible(np.minimum(*ngram_join.points(packed[:2], sizes[:2])).sum(), 2 * size, 80)
+        assert few == (size >= 2_000)
+        kept = ngram_join.sharpened([packed[0]] * 2, sizes[[0, 0]], packed[1:], sizes[1:], 80)
+        assert kept.tolist() == [size <= 512, True]  # below, the 64 coordinates decide alone
+    # sets of different widths meet in the coordinates of the smaller one
+    one = np.unique(rng.integers(0, 1 << 63, 1_100).astype(np.uint64))
+    two = one[: len(one) * 9 // 10]
+    assert ngram_join.groups_of(len(one)) == 256 and ngram_join.groups_of(len(two)) == 128
+    sizes = np.array([len(one)]), np.array([len(two)])
+    assert ngram_join.sharpened([ngram_join.point(one)], sizes[0], [ngram_join.point(two)], sizes[1], 80).all()
+
+
 def test_count_tree_finds_what_the_bound_allows():
     rng = np.random.default_rng(5)
     centres = rng.poisson(3, (12, ngram_join.GROUPS))
