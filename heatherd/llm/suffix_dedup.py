@@ -4,17 +4,20 @@ Every byte covered by a `LENGTH`-byte string that also starts in a document with
 removed. A string is found at an anchor: the smallest hash among its `GRAM`-byte pieces, so equal
 strings have equal anchors at equal places, and only anchors (about one in eighteen bytes) are
 shuffled. Anchors of a single document go. Occurrences of one anchor whose whole surroundings
-agree are settled by their smallest id. What is left are the edges of repeats, where surroundings
-differ: their strings are sorted as suffixes.
+agree are settled by their smallest id, and one of them stands for all. What is left are the edges
+of repeats, where surroundings differ: their strings are sorted as suffixes.
+
+Strings that meet in a sort agree in more than their anchor. A string has 17 bytes before its anchor
+or 18 after it; these bytes and the anchor are its key, so every surrounding gives two rows at most and
+equal strings have equal keys. A key with more than `BLOCK` rows is split: rows with the same bytes
+are settled by their smallest id, the others are halved by the distance of the anchor, which makes
+the keys longer, at last as long as the string.
 
 The sort (`sort_suffixes`) is a mergesort. Prefix polynomial hashes give the hash of any substring;
 a binary search over them finds the common extension of two suffixes, so a comparison takes a
 logarithmic number of steps. Neighbours that agree in `LENGTH` bytes are compared byte by byte
 before they count as equal; a collision sends the block to a sort on the bytes.
 
-An anchor with more than `BLOCK` different surroundings is not sorted in one task: its strings are
-grouped by their bytes, with a map-side combine and a join that Spark can split.
-
 Defined cases: a null text is an empty one; texts shorter than `LENGTH` lose nothing; a row with a
 null id neither removes nor is removed from; equal rows share their result; rows that share an id
 but not the text do not remove from each other (they are told apart by 15 bits of their checksum);
@@ -37,8 +40,10 @@ from heatherd.session import ship_by_value
 
 LENGTH = 50  # bytes of a string
 GRAM = 16  # bytes of an anchor
-PART = 1 << 20
-BLOCK = 2_048  # different surroundings of one anchor that are sorted together
+PART = 1 << 17  # bytes scanned at a time: the arrays of a part stay in a processor's cache
+HELD = 1 << 20  # bytes of edges that a task sorts at a time, unless one key has more
+BLOCK = 2_048  # rows of one key that are sorted together
+ROWS = 20_000  # edges cut at a time
 POSITION_BITS = 28
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -67,13 +72,16 @@ class Hashes:
         return (self.total[start + length] - self.total[start]) * Hashes.down[start]
 
 
-def anchors(data: np.ndarray, hashes: Hashes, starts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Anchors of all strings that begin at one of `starts` (ascending runs without a gap at a text's end).
+def anchors(data: np.ndarray, hashes: Hashes, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Anchors of all strings inside the texts data[begins:ends].
 
-    Returns token, place, strings before the anchor and number of strings of each run of strings
-    that share an anchor. The leftmost of equal hashes counts.
+    Returns token, place, strings before the anchor, number of strings and text of each run of
+    strings that share an anchor. The leftmost of equal hashes counts.
     """
-    grams = mix(hashes.of(np.arange(len(data) - GRAM + 1), GRAM))
+    grams = hashes.total[GRAM:] - hashes.total[:-GRAM]
+    grams *= Hashes.down[: len(grams)]
+    grams ^= grams >> np.uint64(32)
+    grams *= np.uint64(0x94D049BB133111EB)
     low = np.uint64((1 << POSITION_BITS) - 1)
     least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
     width, step = LENGTH - GRAM + 1, 1
@@ -82,19 +90,21 @@ def anchors(data: np.ndarray, hashes: Hashes, starts: np.ndarray) -> tuple[np.nd
         step *= 2
     if step < width:
         least = np.minimum(least[: len(least) - (width - step)], least[width - step :])
-    place = (least[starts] & low).astype(np.int64)
-    new = np.ones(len(starts), bool)
-    new[1:] = (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)
-    first = np.flatnonzero(new)
-    count = np.diff(np.append(first, len(starts)))
-    place, begin = place[first], starts[first]
-    return grams[place].view(np.int64), place, place - begin, count
-
-
-def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    stops = ends - LENGTH + 1  # strings that begin from here on leave the text
+    begin = np.unique(np.concatenate([np.flatnonzero(least[1:] != least[:-1]) + 1, begins, stops]))
+    count = np.diff(np.append(begin, len(least)))
+    text = np.searchsorted(begins, begin, side="right") - 1
+    inside = (begin < len(least)) & (text >= 0)
+    inside &= begin < stops[text]
+    begin, count, text = begin[inside], count[inside], text[inside]
+    place = (least[begin] & low).astype(np.int64)
+    return grams[place].view(np.int64), place, place - begin, count, text
+
+
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
     """Buffers of whole texts or overlapping parts of a long one.
 
-    Yields the bytes, the string starts in them, and for each start the row's id, tag and the
+    Yields the bytes, the bounds of the texts in them, and for each text the row's id, tag and the
     offset that turns a place of the buffer into a place of the text.
     """
     for batch in slices(batches, "text", PART):
@@ -102,33 +112,24 @@ def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.nd
                 if doc is not None and len(text) >= LENGTH]
         if not rows:
             continue
-        tags = [zlib.crc32(text) & TAG for _, text in rows]
+        docs, tags = np.array([doc for doc, _ in rows]), np.array([zlib.crc32(text) & TAG for _, text in rows])
         if len(rows) == 1:
-            (doc, text), tag = rows[0], tags[0]
+            text = rows[0][1]
             for begin in range(0, len(text) - LENGTH + 1, PART):
                 data = np.frombuffer(text[begin : begin + PART + LENGTH - 1], np.uint8)
-                starts = np.arange(len(data) - LENGTH + 1)
-                same = np.ones(len(starts), np.int64)
-                yield data, starts, same * doc, same * tag, same * begin
+                yield data, np.array([0]), np.array([len(data)]), docs, tags, np.array([begin])
             continue
         sizes = np.array([len(text) for _, text in rows])
         ends = np.cumsum(sizes)
-        data = np.frombuffer(b"".join(text for _, text in rows), np.uint8)
-        usable = np.ones(len(data), bool)
-        for end in ends:
-            usable[end - LENGTH + 1 : end] = False
-        starts = np.flatnonzero(usable)
-        row = np.searchsorted(ends, starts, side="right")
-        yield data, starts, np.array([doc for doc, _ in rows])[row], np.array(tags)[row], -(ends - sizes)[row]
+        yield np.frombuffer(b"".join(text for _, text in rows), np.uint8), ends - sizes, ends, docs, tags, sizes - ends
 
 
 def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, around, doc_id, place): `around` hashes all strings of the anchor, `place` packs
     the tag, the place of the anchor, the strings before it and their number."""
-    for data, starts, docs, tags, shift in parts(batches):
+    for data, begins, ends, docs, tags, shift in parts(batches):
         hashes = Hashes(data)
-        token, place, before, count = anchors(data, hashes, starts)
-        row = np.searchsorted(starts, place - before)
+        token, place, before, count, row = anchors(data, hashes, begins, ends)
         around = mix(hashes.of(place - before, count + LENGTH - 1) + before.astype(np.uint64) * np.uint64(64) + count.astype(np.uint64))
         packed = (tags[row] << 48) | ((place + shift[row]) << 12) | (before << 6) | count
         yield pa.RecordBatch.from_arrays(
@@ -220,62 +221,167 @@ def repeated_among(data: np.ndarray, hashes: Hashes, at: np.ndarray, group: np.n
     return out
 
 
+def distances(level: int) -> list[tuple[int, int]]:
+    """Ranges of the number of bytes before the anchor: two at first, then halves down to single ones."""
+    out = [(0, LENGTH - GRAM)]
+    for _ in range(level + 1):
+        halves = [((lo, (lo + hi) // 2), ((lo + hi) // 2 + 1, hi)) if lo < hi else ((lo, hi),) for lo, hi in out]
+        out = [one for pair in halves for one in pair]
+    return out
+
+
+EDGE = "key long, doc_id long, place long, skip long, bytes binary"
+EDGE_NAMES = ["key", "doc_id", "place", "skip", "bytes"]
+
+
+def split_edges(doc: np.ndarray, place: np.ndarray, skip: np.ndarray, texts: list[bytes], ranges: list[tuple[int, int]]) -> pa.RecordBatch:
+    """One row for each edge and each range of distances that its strings have.
+
+    An edge is the bytes of an anchor's strings without the first `skip`. The key hashes what all
+    strings of a range share: the anchor, and as many bytes around it as the range allows.
+    """
+    sizes = np.array([len(text) for text in texts])
+    offset = np.cumsum(sizes) - sizes
+    hashes = Hashes(np.frombuffer(b"".join(texts), np.uint8))
+    before = ((place >> 6) & 63) - skip
+    lowest = before - (sizes - LENGTH)
+    rows, keys, skips, cuts = [], [], [], []
+    for lo, hi in ranges:
+        top, bottom = np.minimum(before, hi), np.maximum(lowest, lo)
+        row = np.flatnonzero(top >= bottom)
+        start = before[row] - top[row]
+        keys.append(mix(hashes.of((offset + before)[row] - lo, LENGTH - (hi - lo)) + np.uint64(lo)).view(np.int64))
+        rows.append(row)
+        skips.append(skip[row] + start)
+        stop = start + top[row] - bottom[row] + LENGTH
+        cuts += [texts[i][x:y] for i, x, y in zip(row.tolist(), start.tolist(), stop.tolist())]
+    row = np.concatenate(rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate(keys)), pa.array(doc[row]), pa.array(place[row]), pa.array(np.concatenate(skips)), pa.array(cuts, pa.binary())],
+        EDGE_NAMES)
+
+
+def cut_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each edge of a document."""
+    ranges = distances(0)
+    for batch in slices(batches, "text", HELD):
+        held: list[tuple] = []
+        for doc, text, places in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text"), batch.column("places")):
+            for start in range(0, len(places), ROWS):
+                place = places.values.slice(start, ROWS).to_numpy()
+                begin = ((place >> 12) & ((1 << 36) - 1)) - ((place >> 6) & 63)
+                stop = begin + (place & 63) + LENGTH - 1
+                held.append((np.full(len(place), doc), place, [text[x:y] for x, y in zip(begin.tolist(), stop.tolist())]))
+                if sum(len(one[1]) for one in held) >= ROWS:
+                    yield from split_held(held, ranges)
+                    held = []
+        yield from split_held(held, ranges)
+
+
+def split_held(held: list[tuple], ranges: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    if held:
+        place = np.concatenate([one[1] for one in held])
+        yield split_edges(np.concatenate([one[0] for one in held]), place, np.zeros_like(place), [text for one in held for text in one[2]], ranges)
+
+
+def halve_edges(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            doc, place, skip = (batch.column(name).to_numpy() for name in ("doc_id", "place", "skip"))
+            yield split_edges(doc, place, skip, batch.column("bytes").to_pylist(), distances(level))
+
+
+FLAG = "doc_id long, place long, a long, b long"
+
+
 def sort_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Removed ranges (doc_id, tag, begin, end) from edges that arrive sorted by token."""
+    """Removed strings `a` to `b` of each edge, from rows that arrive sorted by key."""
     def settle(rows: pa.Table) -> pa.RecordBatch:
-        token, doc, tag, begin, before = (rows.column(c).to_numpy() for c in ("token", "doc_id", "tag", "begin", "before"))
-        texts = rows.column("bytes").to_pylist()
-        sizes = np.array([len(text) for text in texts])
-        count = sizes - LENGTH + 1
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        row = np.repeat(np.arange(len(texts)), count)
+        key, doc, place, skip = (rows.column(c).to_numpy() for c in ("key", "doc_id", "place", "skip"))
+        packed = rows.column("bytes").combine_chunks()
+        if isinstance(packed, pa.ChunkedArray):
+            packed = packed.chunk(0)
+        bounds = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1].astype(np.int64)
+        data = np.frombuffer(packed.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+        offset, count = bounds[:-1] - bounds[0], np.diff(bounds) - LENGTH + 1
+        row = np.repeat(np.arange(len(key)), count)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-        at = (np.cumsum(sizes) - sizes)[row] + nth
         # equal strings have their anchor at the same distance
-        code = np.unique(token, return_inverse=True)[1]
-        group = np.unique(code[row] * 64 + (before[row] - nth), return_inverse=True)[1]
-        flag = repeated(data, at, group, doc[row])
+        code = np.cumsum(np.append(0, key[1:] != key[:-1]))
+        group = code[row] * 64 + (((place >> 6) & 63) - skip)[row] - nth
+        flag = repeated(data, offset[row] + nth, np.unique(group, return_inverse=True)[1], doc[row])
         opens = flag & np.append(True, (row[1:] != row[:-1]) | ~flag[:-1])
         closes = flag & np.append((row[1:] != row[:-1]) | ~flag[1:], True)
         a, b = np.flatnonzero(opens), np.flatnonzero(closes)
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc[row[a]]), pa.array(tag[row[a]]), pa.array(begin[row[a]] + nth[a]), pa.array(begin[row[b]] + nth[b] + LENGTH)],
-            ["doc_id", "tag", "begin", "end"])
+            [pa.array(doc[row[a]]), pa.array(place[row[a]]), pa.array(skip[row[a]] + nth[a]), pa.array(skip[row[b]] + nth[b])],
+            ["doc_id", "place", "a", "b"])
+
+    def several(rows: pa.Table) -> pa.Table:
+        """Rows whose key others have, too: the only ones that can hold equal strings."""
+        key = rows.column("key").to_numpy()
+        alike = key[1:] == key[:-1]
+        return rows.filter(pa.array(np.append(False, alike) | np.append(alike, False)))
+
+    def settled(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = several(rows)
+        if rows.num_rows:
+            yield settle(rows.combine_chunks())
 
     held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
         held.append(batch)
-        rows = pa.Table.from_batches(held)
-        if rows.nbytes < PART:
+        size += batch.nbytes
+        if size < HELD or not batch.num_rows:
             continue
-        token = rows.column("token").to_numpy()
-        cut = int(np.flatnonzero(np.append(True, token[1:] != token[:-1]))[-1])  # the last token may go on
+        rows = pa.Table.from_batches(held)
+        key = rows.column("key").to_numpy()
+        cut = int(np.flatnonzero(np.append(True, key[1:] != key[:-1]))[-1])  # the last key may go on
         if cut:
-            yield settle(rows.slice(0, cut).combine_chunks())
+            yield from settled(rows.slice(0, cut))
             held = rows.slice(cut).combine_chunks().to_batches()
+            size = sum(one.nbytes for one in held)
     if held:
-        yield settle(pa.Table.from_batches(held).combine_chunks())
-
-
-def cut_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around each edge of a document; its strings are those of the anchor."""
-    schema = pa.schema([("token", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("begin", pa.int64()),
-                        ("before", pa.int64()), ("hot", pa.bool_()), ("bytes", pa.binary())])
-    for batch in slices(batches, "text", PART):
-        columns = [[] for _ in schema]
-        for doc, text, edges in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text"), batch.column("edges").to_pylist()):
-            for edge in edges:
-                place = edge["place"]
-                before, count, at = (place >> 6) & 63, place & 63, (place >> 12) & ((1 << 36) - 1)
-                begin = at - before
-                row = (edge["token"], doc, place >> 48, begin, before, edge["hot"], text[begin : begin + count + LENGTH - 1])
-                for column, value in zip(columns, row):
-                    column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        yield from settled(pa.Table.from_batches(held))
+
+
+def sort_keys(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(sort_edges, FLAG)
+
+
+def settle_edges(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """Removed strings of all edges (`EDGE`): keys of up to `BLOCK` rows are sorted, others are split first."""
+    out, level, name = None, 0, "cut"
+    while True:
+        crowded = scratch.write(rows.groupBy("key").count().where(F.col("count") > BLOCK).select("key"), f"crowded-{level}")
+        few = crowded.isEmpty()
+        some = scratch.write(sort_keys(rows if few else rows.join(crowded, "key", "left_anti")), f"sorted-{level}")
+        out = some if out is None else out.union(some)
+        if few:
+            scratch.drop(name, f"crowded-{level}")
+            return out
+        full = rows.join(crowded, "key", "left_semi").withColumn(
+            "distance", F.shiftright("place", 6).bitwiseAND(F.lit(63)) - F.col("skip"))
+        full = scratch.write(full, f"full-{level}")
+        scratch.drop(name, f"crowded-{level}")
+        owners = scratch.write(full.groupBy("bytes", "distance").agg(F.min("doc_id").alias("owner")), f"owners-{level}")
+        full = full.join(owners, ["bytes", "distance"])
+        alike = full.where("doc_id > owner").select(
+            "doc_id", "place", F.col("skip").alias("a"), (F.col("skip") + F.length("bytes") - LENGTH).alias("b"))
+        out = out.union(scratch.write(alike, f"alike-{level}"))
+        if all(lo == hi for lo, hi in distances(level)):  # a key is a whole string now
+            scratch.drop(f"full-{level}", f"owners-{level}")
+            return out
+        level += 1
+        left, ranges = full.where("doc_id = owner").select(*EDGE_NAMES), level
+        rows = scratch.write(left.mapInArrow(lambda batches, at=ranges: halve_edges(batches, at), EDGE), f"halves-{level}")
+        scratch.drop(f"full-{level - 1}", f"owners-{level - 1}")
+        name = f"halves-{level}"
 
 
 def cut_out(batches: Iterator[pa.RecordBatch], text: str, names: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, text, PART):
+    for batch in slices(batches, text, HELD):
         kept, sizes, removed, spans = [], [], [], []
         for data, ranges in zip(texts_of(batch, text), batch.column("_ranges").to_pylist()):
             count = 0
@@ -311,42 +417,32 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             .where("low <> high").select("token"), "shared")
         hits = scratch.write(found.join(shared, "token"), "hits")
         around = scratch.write(hits.groupBy("token", "around").agg(F.min("doc_id").alias("owner")), "around")
-        kinds = scratch.write(around.groupBy("token").count().where("count > 1").select("token", (F.col("count") > BLOCK).alias("hot")), "kinds")
-        owned = scratch.write(hits.join(around, ["token", "around"]).select("token", "doc_id", "place", "owner"), "owned")
+        kinds = scratch.write(around.groupBy("token").count().where("count > 1").select("token"), "kinds")
+        owned = scratch.write(hits.join(around, ["token", "around"]), "owned")
         scratch.drop("shared", "hits", "around")
-        begin = F.shiftright("place", 12).bitwiseAND(F.lit((1 << 36) - 1)) - F.shiftright("place", 6).bitwiseAND(F.lit(63))
-        inside = owned.where("doc_id > owner").select(
-            "doc_id", F.shiftright("place", 48).alias("tag"), begin.alias("begin"),
-            (begin + F.col("place").bitwiseAND(F.lit(63)) + LENGTH - 1).alias("end"))
-        inside = scratch.write(inside, "inside")
-        edges = owned.where("doc_id = owner").join(kinds, "token").select("token", "doc_id", "place", "hot")
-        edges = scratch.write(edges, "edges")
+        count = F.col("place").bitwiseAND(F.lit(63))
+        everything = ["doc_id", "place", F.lit(0).cast("long").alias("a"), (count - 1).alias("b")]
+        inside = scratch.write(owned.where("doc_id > owner").select(*everything), "inside")
+        edges = scratch.write(owned.where("doc_id = owner").join(kinds, "token", "left_semi").select(
+            "token", "around", "doc_id", "place"), "edges")
         scratch.drop("owned", "kinds")
-        wanted = edges.groupBy("doc_id", F.shiftright("place", 48).alias("tag")).agg(
-            F.collect_list(F.struct("token", "place", "hot")).alias("edges"))
+        # one occurrence of a surrounding stands for the others of its document
+        firsts = scratch.write(edges.groupBy("token", "around").agg(
+            F.min("doc_id").alias("doc_id"), F.min("place").alias("first"), F.count("*").alias("n")), "firsts")
+        twins = edges.join(firsts.where("n > 1").select("token", "around", "first"), ["token", "around"]).where("place <> first")
+        twins = scratch.write(twins.select("doc_id", F.col("place").alias("twin"), F.col("first").alias("place")), "twins")
+        wanted = firsts.groupBy("doc_id", F.shiftright("first", 48).alias("tag")).agg(F.collect_list("first").alias("places"))
         tagged = plain.withColumn("tag", F.crc32(F.col("text").cast("binary")).bitwiseAND(F.lit(TAG).cast("long")))
-        cut = tagged.join(wanted, ["doc_id", "tag"]).select("doc_id", "text", "edges").mapInArrow(
-            cut_edges, "token long, doc_id long, tag long, begin long, before long, hot boolean, bytes binary")
-        cut = scratch.write(cut, "cut")
-        scratch.drop("edges")
-        ranges = "doc_id long, tag long, begin long, end long"
-        sorted_out = cut.where("not hot").repartition("token").sortWithinPartitions("token").mapInArrow(sort_edges, ranges)
-        sorted_out = scratch.write(sorted_out, "sorted")
-        strings = cut.where("hot").select(
-            "doc_id", "tag", "begin", "bytes", F.explode(F.sequence(F.lit(0), F.length("bytes") - LENGTH)).alias("nth"))
-        strings = scratch.write(strings.select(
-            "doc_id", "tag", (F.col("begin") + F.col("nth")).alias("begin"),
-            F.substring("bytes", F.col("nth") + 1, F.lit(LENGTH)).alias("string")), "strings")
-        scratch.drop("cut")
-        owners = scratch.write(strings.groupBy("string").agg(F.min("doc_id").alias("owner")), "owners")
-        hot = strings.join(owners, "string").where("doc_id > owner").select(
-            "doc_id", "tag", "begin", (F.col("begin") + LENGTH).alias("end"))
-        hot = scratch.write(hot, "hot")
-        scratch.drop("strings", "owners")
-        gone = inside.union(sorted_out).union(hot).groupBy("doc_id", "tag").agg(
-            F.collect_list(F.struct("begin", "end")).alias("_ranges"))
+        cut = scratch.write(tagged.join(wanted, ["doc_id", "tag"]).select("doc_id", "text", "places").mapInArrow(cut_edges, EDGE), "cut")
+        scratch.drop("edges", "firsts")
+        found_again = settle_edges(cut, scratch)
+        shared_flags = found_again.join(twins, ["doc_id", "place"]).select("doc_id", F.col("twin").alias("place"), "a", "b")
+        begin = F.shiftright("place", 12).bitwiseAND(F.lit((1 << 36) - 1)) - F.shiftright("place", 6).bitwiseAND(F.lit(63))
+        gone = inside.union(found_again).union(shared_flags).select(
+            "doc_id", F.shiftright("place", 48).alias("tag"), (begin + F.col("a")).alias("begin"), (begin + F.col("b") + LENGTH).alias("end"))
+        gone = gone.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("_ranges"))
         gone = scratch.write(gone, "gone")
-        scratch.drop("inside", "sorted", "hot")
+        scratch.clear("gone")
         names = docs.columns
         whole = docs.withColumn("_tag", F.crc32(F.col("text").cast("binary")).bitwiseAND(F.lit(TAG).cast("long")))
         joined = whole.join(gone.toDF("_id", "_tag2", "_ranges"),
