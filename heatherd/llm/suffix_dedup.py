@@ -380,27 +380,35 @@ def settle_edges(rows: DataFrame, scratch: Scratch) -> DataFrame:
         name = f"halves-{level}"
 
 
+def merged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The maximal runs that the ranges cover, in order; ranges that touch are one run."""
+    order = np.argsort(begin, kind="stable")
+    begin, reach = begin[order], np.maximum.accumulate(end[order])
+    first = np.append(True, begin[1:] > reach[:-1])
+    return begin[first], reach[np.append(np.flatnonzero(first)[1:] - 1, len(begin) - 1)]
+
+
 def cut_out(batches: Iterator[pa.RecordBatch], text: str, names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, text, HELD):
-        kept, sizes, removed, spans = [], [], [], []
-        for data, ranges in zip(texts_of(batch, text), batch.column("_ranges").to_pylist()):
-            count = 0
-            if ranges:
-                edges = np.zeros(len(data) + 1, np.int32)
-                np.add.at(edges, [r["begin"] for r in ranges], 1)
-                np.add.at(edges, [r["end"] for r in ranges], -1)
-                gone = np.cumsum(edges[:-1]) > 0
-                count = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                left = np.frombuffer(data, np.uint8)[~gone].tobytes()
-            else:
-                left = data
-            kept.append(left)
-            sizes.append(len(data))
-            removed.append(len(data) - len(left))
-            spans.append(count)
+        texts = texts_of(batch, text)
+        sizes = np.array([len(data) for data in texts])
+        offset = np.cumsum(sizes + 1) - sizes - 1  # one byte apart, so that runs end with their text
+        ranges = batch.column("_ranges")
+        row = pa.compute.list_parent_indices(ranges).to_numpy()
+        begin, end = (pa.compute.struct_field(ranges.flatten(), name).to_numpy() for name in ("begin", "end"))
+        kept, spans = list(texts), np.zeros(len(texts), np.int64)
+        if len(row):
+            begin, end = merged(begin + offset[row], end + offset[row])
+            row = np.searchsorted(offset, begin, side="right") - 1
+            spans = np.bincount(row, minlength=len(texts))
+            first = np.cumsum(spans) - spans
+            for i in np.flatnonzero(spans).tolist():
+                runs = slice(first[i], first[i] + spans[i])
+                opens, closes = (begin[runs] - offset[i]).tolist(), (end[runs] - offset[i]).tolist()
+                kept[i] = b"".join(texts[i][x:y] for x, y in zip([0, *closes], [*opens, len(texts[i])]))
+        left = np.array([len(data) for data in kept])
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(name) for name in names), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-             pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
+            [*(batch.column(name) for name in names), pa.array(sizes), pa.array(sizes - left), pa.array(spans), pa.array(kept, pa.binary())],
             [*names, "n_bytes", "n_removed", "n_spans", "kept"])
 
 
@@ -411,19 +419,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "suffix-dedup")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = plain.mapInArrow(find_anchors, "token long, around long, doc_id long, place long")
+    # Sides that are hashed hold each key once: a hot key is one row there, and rows of the other side need no sort.
     with settings(spark):
         shared = scratch.write(
             found.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
             .where("low <> high").select("token"), "shared")
-        hits = scratch.write(found.join(shared, "token"), "hits")
+        hits = scratch.write(found.join(shared.hint("shuffle_hash"), "token"), "hits")
         around = scratch.write(hits.groupBy("token", "around").agg(F.min("doc_id").alias("owner")), "around")
         kinds = scratch.write(around.groupBy("token").count().where("count > 1").select("token"), "kinds")
-        owned = scratch.write(hits.join(around, ["token", "around"]), "owned")
+        owned = scratch.write(hits.join(around.hint("shuffle_hash"), ["token", "around"]), "owned")
         scratch.drop("shared", "hits", "around")
         count = F.col("place").bitwiseAND(F.lit(63))
         everything = ["doc_id", "place", F.lit(0).cast("long").alias("a"), (count - 1).alias("b")]
         inside = scratch.write(owned.where("doc_id > owner").select(*everything), "inside")
-        edges = scratch.write(owned.where("doc_id = owner").join(kinds, "token", "left_semi").select(
+        edges = scratch.write(owned.where("doc_id = owner").join(kinds.hint("shuffle_hash"), "token", "left_semi").select(
             "token", "around", "doc_id", "place"), "edges")
         scratch.drop("owned", "kinds")
         # one occurrence of a surrounding stands for the others of its document

@@ -199,6 +199,21 @@ def test_suffix_dedup_matches_all_strings(docs, corpus, monkeypatch, block, part
     assert any(removed for _, _, removed, _, _ in want)
 
 
+@pytest.mark.parametrize("block", [2_048, 3])
+def test_suffix_dedup_of_hot_anchors(spark, monkeypatch, block):
+    """A line ten thousand times in one document, and one passage in ever different surroundings."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    rng = np.random.default_rng(7)
+    noise = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    line, passage, half = noise(70), noise(60), noise(33)
+    rows = [(1, noise(40) + line + noise(9)), (2, "\n".join([line[3:60]] * 10_000)), (3, line * 2), (3, passage + line[:52])]
+    rows += [(10 + i, noise(30) + passage[i % 12 :] + noise(30) + half + noise(20)) for i in range(200)]
+    rows += [(300 + i, noise(i % 7) + passage[:48] + "é" * (i % 3) + line[20:] + half) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
+    assert Counter((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got) == plain_removal(rows)
+
+
 def test_suffix_dedup_keeps_columns(docs, no_docs):
     got = suffix_dedup.without_repeats(docs.drop("n_removed", "kept"))
     assert got.columns == docs.drop("n_removed", "kept").columns and got.count() == docs.count()
