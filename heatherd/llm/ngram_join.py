@@ -4,7 +4,7 @@ A document is its set of distinct word shingles. The shingles are hashed into gr
 numbers per group are a point, and the summed coordinate minima of two points bound the
 overlap of the sets from above. Unrelated sets of n shingles agree by chance in nearly all of
 a few coordinates once n is large, so their number grows with the set: a power of two, one for
-eight shingles and `GROUPS` at least. The group is the low bits of a hash, so halves of a larger point
+two shingles and `GROUPS` at least. The group is the low bits of a hash, so halves of a larger point
 add up to the smaller one, and two points are compared in the coordinates of the smaller one.
 Points of one bucket are packed into an R-tree (`CountTree`) in `GROUPS` coordinates:
 a node keeps the largest coordinates below it, so the same sum bounds the overlap with
@@ -43,7 +43,7 @@ from heatherd.session import ship_by_value
 WIDTH = 5
 PERCENT = 80
 GROUPS = 64  # least coordinates of a point, and those of the tree
-PER_GROUP = 8  # shingles for which a point has one coordinate
+PER_GROUP = 2  # shingles for which a point has one coordinate: pairs below a similarity of about 0.75 do not pass then
 SLOT_BITS, CHUNKS = 22, 64  # counters for the order of shingles (a power of two), and the parts they travel in
 SLOTS = 1 << SLOT_BITS
 BLOCK = 2_000  # rows of one side of a bucket that one step compares
