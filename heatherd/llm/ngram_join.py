@@ -43,7 +43,7 @@ from heatherd.session import ship_by_value
 WIDTH = 5
 PERCENT = 80
 GROUPS = 64  # least coordinates of a point, and those of the tree
-PER_GROUP = 2  # shingles for which a point has one coordinate: pairs below a similarity of about 0.75 do not pass then
+PER_GROUP = 2  # shingles for which a point has one coordinate: with more, chance agreement lets near misses pass
 SLOT_BITS, CHUNKS = 22, 64  # counters for the order of shingles (a power of two), and the parts they travel in
 SLOTS = 1 << SLOT_BITS
 BLOCK = 2_000  # rows of one side of a bucket that one step compares
