@@ -92,5 +92,11 @@ def hourly_frame(grid: DataFrame, observations: DataFrame, placed: bool = False)
 
 
 def observations_with_grid(observations: DataFrame, grid: DataFrame) -> DataFrame:
-    """The opposite preserved side: every observation with the grid value of its hour."""
-    return observations.join(grid.select(*HOUR_KEY, "t2m", "rh2m"), HOUR_KEY, "left")
+    """The opposite preserved side: every observation with the grid value of its hour.
+
+    The grid is never broadcast: days and stations are exploded to hours, which Spark's size
+    estimate does not see, and all hours would pass through the driver. Both sides are sorted
+    and merged, placed by station and day as the observations are.
+    """
+    hours = grid.select(*HOUR_KEY, "t2m", "rh2m").hint("merge")
+    return observations.join(hours, HOUR_KEY, "left")

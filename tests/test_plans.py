@@ -139,6 +139,20 @@ def test_alignment_grows_with_the_parameters_only(spark):
     assert size(20) < 2.5 * size(10)
 
 
+def test_exploded_grid_is_not_broadcast(spark):
+    """Two days are exploded to 60,000 hours, which Spark takes for few bytes."""
+    days = spark.createDataFrame([("2001-01-01",), ("2001-01-02",)], "data string").distinct()
+    grid = days.select("data", F.explode(F.sequence(F.lit(0), F.lit(29_999))).alias("hora")).select(
+        F.lit("A001").alias("cd_estacao"), "data", F.col("hora").cast("bigint").alias("hora"), F.lit(1.0).alias("t2m"), F.lit(2.0).alias("rh2m"))
+    observed = spark.createDataFrame(
+        [("A001", "2001-01-02", 29_999, 20.0, 50.0), ("A001", "2001-01-03", 0, 21.0, None), ("A001", None, 1, 22.0, 1.0)],
+        "cd_estacao string, data string, hora bigint, temp double, rh double")
+    paired = frame.observations_with_grid(observed, grid)
+    assert "Broadcast" not in final_plan(paired)
+    assert sorted((r["temp"], r["t2m"]) for r in paired.collect() if r["t2m"] is not None) == [(20.0, 1.0)]
+    assert paired.count() == 3
+
+
 def test_names_are_built_fast(spark):
     column = F.col("x")
     text.snake_case(column)
