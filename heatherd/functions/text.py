@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import re
 import sys
 import unicodedata
@@ -21,7 +20,7 @@ _FOLDED = {
 }
 _ONE_TO_ONE = {c: f for c, f in _FOLDED.items() if len(f) == 1}
 _ONE_TO_MANY = {c: f for c, f in _FOLDED.items() if len(f) > 1}
-_ANY_OF_MANY = f"[{''.join(_ONE_TO_MANY)}]"
+_PIECES = r"[\x00-\x7F]+|[^\x00-\x7F]"
 
 
 def number(text: Column) -> Column:
@@ -65,18 +64,24 @@ def missing_to_null(text: Column) -> Column:
 
 def snake_case(text: Column) -> Column:
     """ASCII snake case of text in any script; characters without an ASCII part are dropped."""
-    plain = F.translate(text, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
-    # few texts have a character that becomes several, such as a ligature
-    several = F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(_several(), c), c)), "")
-    plain = F.when(plain.rlike(_ANY_OF_MANY), several).otherwise(plain)
-    plain = F.regexp_replace(plain, r"[^\x00-\x7F]", "")
-    plain = F.regexp_replace(F.lower(plain), "[^a-z0-9]+", "_")
-    return F.btrim(plain, F.lit("_"))
+    return F.btrim(F.regexp_replace(F.lower(_ascii(text)), "[^a-z0-9]+", "_"), F.lit("_"))
+
 
+def snake_case_fields(line: Column, separator: str) -> Column:
+    """The snake case of every field of a line without line feeds: the line is folded once, not field by field."""
+    plain = F.lower(_ascii(F.replace(line, F.lit(separator), F.lit("\n"))))
+    return F.split(F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9\n]+", "_"), "(?<![^\n])_|_(?![^\n])", ""), "\n")
 
-def _several() -> Column:
-    """One literal, which Spark parses once when it optimizes the plan."""
-    return F.from_json(F.lit(json.dumps(_ONE_TO_MANY)), "map<string,string>")
+
+def _ascii(text: Column) -> Column:
+    """The ASCII parts of the characters of a text."""
+    plain = F.translate(text, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
+    # of what is left, few characters become several, such as a ligature; only characters beyond ASCII are looked up
+    several = F.split(F.lit("\n".join(_ONE_TO_MANY.values())), "\n")
+    pieces = F.transform(
+        F.regexp_extract_all(plain, F.lit(_PIECES), F.lit(0)),
+        lambda c: F.when(F.ascii(c) < 128, c).otherwise(F.coalesce(F.get(several, F.instr(F.lit("".join(_ONE_TO_MANY)), c) - 1), F.lit(""))))
+    return F.when(plain.rlike(r"[^\x00-\x7F]"), F.array_join(pieces, "")).otherwise(plain)
 
 
 def snake_case_name(name: str) -> str:

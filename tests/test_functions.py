@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import struct
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -158,3 +159,23 @@ def test_bad_geometry_gives_none(bad):
 def test_big_endian_wkb_is_valid():
     assert wkb_is_valid(struct.pack(">BI2d", 0, 1, 1.0, 2.0))
     assert not wkb_is_valid(b"") and not wkb_is_valid(b"\x05abc") and not wkb_is_valid(None)
+
+
+def test_fields_of_a_line_fold_like_single_texts(column_of):
+    lines = ["Data;Hora UTC;(°C)_;;_x_;", "", ";", "ﬁ;½ a;東京;Ș;\uff1b;\u037e", None]
+    expected = [None if line is None else [text.snake_case_name(name) for name in line.split(";")] for line in lines]
+    assert column_of(lines, lambda c: text.snake_case_fields(c, ";")) == expected
+
+
+def test_few_characters_that_become_several_cost_little(spark):
+    """One ligature in a long text does not make every letter be looked up."""
+    def seconds(tail):
+        df = spark.range(4_000).select(F.concat(F.repeat(F.lit("Altura ç "), 60), F.col("id"), F.lit(tail)).alias("t"))
+        took = []
+        for _ in range(3):
+            start = time.perf_counter()
+            df.agg(F.max(F.length(text.snake_case(F.col("t"))))).collect()
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    assert seconds("ﬁ") < 4 * seconds("ç") + 0.5
