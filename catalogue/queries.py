@@ -15,6 +15,7 @@ from heatherd.plans import imputation, work
 from heatherd.session import scratch_path, ship_by_value, tune
 from heatherd.sources import colocated, derived, files, tables
 from heatherd.sources.derived import table
+from heatherd.sources.files import batched
 
 ship_by_value(__name__)
 
@@ -754,15 +755,15 @@ def _zipped(batches):
     import io
     import zipfile
 
-    import pandas as pd
+    def archive_of(name, content):
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr(f"2000/{name}", bytes(content))
+            archive.writestr("2000/readme.txt", b"not a station file")
+        return packed.getvalue()
 
-    for batch in batches:
-        for name, content in zip(batch["file_name"], batch["content"]):
-            packed = io.BytesIO()
-            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr(f"2000/{name}", bytes(content))
-                archive.writestr("2000/readme.txt", b"not a station file")
-            yield pd.DataFrame({"content": [packed.getvalue()]})
+    archives = ((archive_of(name, content),) for batch in batches for name, content in zip(batch["file_name"], batch["content"]))
+    yield from batched(archives, ["content"])
 
 
 @query

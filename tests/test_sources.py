@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from heatherd.operators.daily import daily_climate
 from heatherd.operators.contracts import check_contract
 from heatherd.operators.frame import HUMIDITY_COLUMN, TEMPERATURE_COLUMN
-from heatherd.sources.files import archive_members, header_columns, history_of, skipped_files, station_files, station_history, station_lines
+from heatherd.sources import files as station_sources
+from heatherd.sources.files import archive_members, batched, header_columns, history_of, skipped_files, station_files, station_history, station_lines
 from heatherd.sources.payloads import documents
 from heatherd.sources.tables import file_counts, order_violations, parquet_layout, publish, recover_table, write_table
 
@@ -216,3 +217,14 @@ def test_stored_lines_give_the_same_history(spark, folder):
         assert sorted(map(str, history.collect())) == sorted(map(str, named.collect()))
     assert history_of(lines, ["data"]).columns == ["cd_estacao", "data"]
     assert station_history(files.limit(0)).collect() == []
+
+
+def test_small_contents_share_a_frame(monkeypatch):
+    """Members of an archive go to Spark many at a time, within a limit of rows and one of bytes."""
+    monkeypatch.setattr(station_sources, "BATCH_ROWS", 4)
+    monkeypatch.setattr(station_sources, "BATCH_BYTES", 10)
+    rows = [(str(i), b"x" * n) for i, n in enumerate([1, 1, 1, 1, 9, 2, 50, 0, 3])]
+    frames = list(batched(iter(rows), ["file_name", "content"]))
+    assert [len(f) for f in frames] == [4, 2, 1, 2]
+    assert [tuple(r) for f in frames for r in f.itertuples(index=False)] == rows
+    assert list(batched(iter([]), ["content"])) == []
