@@ -22,6 +22,7 @@ from heatherd.sources.tables import WRITER, hidden_path, publish, recover_table
 
 BUCKET_KEY = ("cd_estacao", "data")
 BUCKETS = 200
+BUCKET_ROWS = 1_000_000  # a task sorts the rows of one bucket of each side
 GRID, OBSERVED = "grid", "observed"
 LAYOUT = "buckets int, key array<string>, schema string"
 
@@ -58,11 +59,19 @@ def read_colocated(spark: SparkSession, path: str) -> DataFrame:
     return spark.table(_name(path))
 
 
+def enough_buckets(least: int, *parts: DataFrame) -> int:
+    """`least` buckets, or so many that one holds about `BUCKET_ROWS` rows of the larger table."""
+    most = int(parts[0].sparkSession.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    rows = max(df.count() for df in parts)
+    return max(least, min(most, -(-rows // BUCKET_ROWS)))
+
+
 def store_frame_inputs(grid: DataFrame, history: DataFrame, folder: str, buckets: int = BUCKETS) -> None:
-    """The grid and the merged observations below `folder`, placed alike.
+    """The grid and the merged observations below `folder`, placed alike in `buckets` buckets, or more for large tables.
 
     Readings are parsed and merged here once, not by every run that follows.
     """
+    buckets = enough_buckets(buckets, grid, history)
     write_colocated(grid.select(*HOUR_KEY, "t2m", "rh2m"), f"{folder.rstrip('/')}/{GRID}", buckets)
     write_colocated(observed_hours(history), f"{folder.rstrip('/')}/{OBSERVED}", buckets)
 

@@ -114,6 +114,18 @@ def test_stored_frame_and_daily_have_no_exchange(spark, landed, tmp_path, no_bro
     assert {r[0] for r in colocated.stored_frame(other, folder).select("cd_estacao").distinct().collect()} == {"A001"}
 
 
+def test_buckets_grow_with_the_rows(spark, landed, tmp_path, monkeypatch):
+    grid, history = landed
+    rows = max(grid.count(), history.count())
+    assert colocated.enough_buckets(4, grid, history) == 4
+    monkeypatch.setattr(colocated, "BUCKET_ROWS", rows // 9)
+    folder = str(tmp_path / "placed")
+    colocated.store_frame_inputs(grid, history, folder, buckets=4)
+    layouts = [spark.read.json(f"{folder}/{name}/_layout").first()["buckets"] for name in (colocated.GRID, colocated.OBSERVED)]
+    assert layouts[0] == layouts[1] >= 9
+    assert colocated.stored_frame(spark, folder).count() == grid.count()
+
+
 def test_imputation_of_stored_tables_shuffles_no_hours(spark, landed, tmp_path, no_broadcast):
     folder = str(tmp_path / "placed")
     colocated.store_frame_inputs(*landed, folder, buckets=4)
