@@ -16,6 +16,7 @@ from heatherd.functions.payload import (
     coordinate, grid_day, grid_hour, grid_hour_day, grid_value, naive_timestamp,
 )
 from heatherd.functions.text import number
+from heatherd.session import scratch_path
 
 _POINT = (
     "geometry struct<coordinates:array<double>>,"
@@ -71,12 +72,15 @@ def strayed_documents(documents: DataFrame, coordinates: DataFrame) -> DataFrame
     return named.join(coordinates, ["vl_latitude", "vl_longitude"], "left_anti").select("file_name")
 
 
-def _unpacked(payloads: DataFrame, names: Sequence[str], *keep: str) -> DataFrame:
-    """One row per key of every payload; a payload without keys gives one with a null key.
+def _points(payloads: DataFrame, *keep: str) -> DataFrame:
+    return payloads.select(*keep, F.from_json("payload", _POINT).alias("p"))
+
+
+def _unpacked(point: DataFrame, names: Sequence[str], *keep: str) -> DataFrame:
+    """One row per key of every parsed payload; a payload without keys gives one with a null key.
 
     An inner explode would make Spark align every payload twice, once to drop empty ones.
     """
-    point = payloads.select(*keep, F.from_json("payload", _POINT).alias("p"))
     at = F.col("p.geometry.coordinates")
     series = parameter_series(F.col("p.properties.parameter"), names)
     located = point.select(
@@ -91,16 +95,17 @@ def _measures(names: Sequence[str]) -> list[Column]:
 
 def parameter_names(payloads: DataFrame) -> list[str]:
     """All parameters found in the payloads, in order of their column names."""
-    found = (
-        payloads.select(F.explode(F.map_keys(F.from_json("payload", _POINT)["properties"]["parameter"])).alias("name"))
-        .distinct().collect()
-    )
+    return _point_names(_points(payloads))
+
+
+def _point_names(point: DataFrame) -> list[str]:
+    found = point.select(F.explode(F.map_keys("p.properties.parameter")).alias("name")).distinct().collect()
     return sorted((r["name"] for r in found), key=str.lower)
 
 
 def grid_daily(payloads: DataFrame) -> DataFrame:
     """(date, lat, lon, t2m, rh2m, prectotcorr); keys that are no date are left out."""
-    days = _unpacked(payloads, DAILY_PARAMETERS)
+    days = _unpacked(_points(payloads), DAILY_PARAMETERS)
     return days.select(grid_day(F.col("key")).alias("date"), "lat", "lon", *_measures(DAILY_PARAMETERS)).filter(
         F.col("date").isNotNull()
     )
@@ -109,18 +114,24 @@ def grid_daily(payloads: DataFrame) -> DataFrame:
 def grid_hourly(payloads: DataFrame, parameters: Sequence[str] | None = None) -> DataFrame:
     """Hours of (cd_estacao, payload) rows with one column per parameter.
 
-    Without `parameters` all that the payloads hold are looked for first. Without a `cd_estacao`
-    column the station is null.
+    Without `parameters` the payloads are parsed once, into a table of the scratch folder, and all
+    that they hold are looked for there. Without a `cd_estacao` column the station is null.
     """
-    parameters = sorted(parameters, key=str.lower) if parameters is not None else parameter_names(payloads)
     if "cd_estacao" not in payloads.columns:
         payloads = payloads.withColumn("cd_estacao", F.lit(None).cast("string"))
+    point = _points(payloads, "cd_estacao")
+    if parameters is None:
+        path = scratch_path(payloads.sparkSession, "points")
+        point.write.parquet(path)
+        point = payloads.sparkSession.read.schema(point.schema).parquet(path)
+        parameters = _point_names(point)
+    parameters = sorted(parameters, key=str.lower)
     base = ["cd_estacao", "datetime", "data", "hora", "lat", "lon"]
     if not parameters:
         empty = "cd_estacao string, datetime timestamp_ntz, data string, hora bigint, lat double, lon double"
         return payloads.sparkSession.createDataFrame([], empty)
     hours = (
-        _unpacked(payloads, parameters, "cd_estacao")
+        _unpacked(point, parameters, "cd_estacao")
         .withColumns({"day": grid_hour_day(F.col("key")), "hora": grid_hour(F.col("key"))})
         .filter(F.col("day").isNotNull())
     )

@@ -165,6 +165,15 @@ def test_exploded_grid_is_not_broadcast(spark):
     assert paired.count() == 3
 
 
+def test_documents_are_parsed_once(spark):
+    """Names of the parameters come from the stored table of parsed documents, which the hours come from too."""
+    df = spark.createDataFrame([("A", '{"properties": {"parameter": {"T2M": {"2001010100": 1.5}, "RH2M": {}}}}'), ("B", "{")], "cd_estacao string, payload string")
+    hours = grids.grid_hourly(df)
+    plan = hours._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "jsontostructs" not in plan.lower() and "parquet" in plan
+    assert [(r["cd_estacao"], r["t2m"], r["rh2m"]) for r in hours.collect()] == [("A", 1.5, None)]
+
+
 def test_names_are_built_fast(spark):
     column = F.col("x")
     text.snake_case(column)
