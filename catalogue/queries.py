@@ -23,6 +23,7 @@ ship_by_value(__name__)
 MIN_SAMPLES = 620
 MIN_HOURS = 5
 TEST_YEARS = (2000, 2001)
+FILE_LINES = 10_000  # of one derived station file
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -725,13 +726,19 @@ def _station_files(spark, sf_dir):
     content = F.concat_ws(
         "\r\n", *[F.lit(x) for x in preamble], F.col("header"), F.array_join("lines", "\r\n"), F.lit("")
     )
+    # A file holds a range of order keys. Ranges widen with the table, as a fixed one leaves a line or two to a file there;
+    # a station with more lines in a range has several files, so the lines of one file are bounded.
+    width = max(100_000, derived.reading_count(spark, sf_dir) // 6)
+    place = Window.partitionBy("cd_estacao", "month", "part").orderBy("l_orderkey", "l_linenumber")
     return (
         derived.history(spark, sf_dir)
-        # a range of order keys bounds the lines of one file, whatever the station
-        .groupBy("cd_estacao", F.substring("data", 1, 7).alias("month"), F.floor(F.col("l_orderkey") / 100_000).alias("part"), header.alias("header"))
+        .withColumns({"month": F.substring("data", 1, 7), "part": F.floor(F.col("l_orderkey") / width)})
+        .withColumn("piece", F.floor((F.row_number().over(place) - 1) / FILE_LINES))
+        .groupBy("cd_estacao", "month", "part", "piece", header.alias("header"))
         .agg(F.collect_list(line).alias("lines"))
         .select(
-            F.concat(F.lit("inmet_"), F.col("cd_estacao"), F.lit("_"), F.col("month"), F.lit("_"), F.col("part"), F.lit(".CSV")).alias("file_name"),
+            F.concat(F.lit("inmet_"), F.col("cd_estacao"), F.lit("_"), F.col("month"), F.lit("_"), F.col("part"),
+                     F.when(F.col("piece") > 0, F.concat(F.lit("_"), F.col("piece"))).otherwise(""), F.lit(".CSV")).alias("file_name"),
             F.encode(content, "ISO-8859-1").alias("content"),
         )
     )

@@ -7,6 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue import queries
 from heatherd.operators.daily import daily_climate
 from heatherd.operators.contracts import check_contract
 from heatherd.operators.frame import HUMIDITY_COLUMN, TEMPERATURE_COLUMN
@@ -15,6 +16,8 @@ from heatherd.sources.files import archive_members, batched, header_columns, his
 from heatherd.sources.payloads import documents
 from heatherd.sources.tables import file_counts, order_violations, parquet_layout, publish, recover_table, write_table
 
+from conftest import SF_SMALL
+
 PREAMBLE = "REGIAO:;NO\nUF:;TO\nESTAÇÃO:;IGARAPÉ FUNDO\nALTITUDE:;27,40\n"
 NEW_HEADER = "Data;Hora UTC;PRECIPITAÇÃO TOTAL, HORÁRIO (mm);TEMPERATURA DO AR - BULBO SECO, HORARIA (°C);UMIDADE RELATIVA DO AR, HORARIA (%);\n"
 NEW_ROWS = [
@@ -237,3 +240,35 @@ def test_lines_are_not_placed_by_header(spark, folder, tmp_path):
     assert len(history.collect()) == 10
     plan = history._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(header" not in plan, plan
+
+
+def test_derived_files_do_not_shrink_as_the_table_grows(spark, tmp_path, monkeypatch):
+    """A file keeps its lines where order keys go on; a station with many lines has several files."""
+    i = F.col("id")
+    spark.range(1_200_000).select(
+        i.alias("l_orderkey"), (i % 7 + 1).cast("int").alias("l_linenumber"), (i % 1000).alias("l_suppkey"),
+        F.lit(10.0).alias("l_quantity"), F.lit(0.01).alias("l_discount"), F.lit(0.02).alias("l_tax"),
+        F.timestamp_add("DAY", (i % 60).cast("int"), F.lit("1997-01-01").cast("timestamp")).alias("l_shipdate"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    names = queries._station_files(spark, str(tmp_path)).select(F.regexp_extract("file_name", r"_(\d+)\.CSV$", 1).alias("part"))
+    assert names.distinct().count() == 6
+
+    columns = ["data", "hora_utc", TEMPERATURE_COLUMN]
+    whole = station_sources.station_history(queries._station_files(spark, SF_SMALL), columns=columns)
+    monkeypatch.setattr(queries, "FILE_LINES", 2)
+    short = queries._station_files(spark, SF_SMALL)
+    lines = F.size(F.split(F.decode("content", "ISO-8859-1"), "\r\n")) - 5  # preamble, header and the end
+    assert short.agg(F.max(lines)).first()[0] == 2
+    assert short.count() == short.select("file_name").distinct().count()
+    cut = station_sources.station_history(short, columns=columns)
+    assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
+
+
+def test_fields_quoted_as_a_whole_need_no_lookahead(spark):
+    lines = ['a;"b";c', '"";"x y"', '"a;b";c', '"a""b";"c"', 'a"b;c', '"a;b', ';"";', 'a;b', '"a"b";c', None]
+    wanted = [["a", "b", "c"], ["", "x y"], ["a;b", "c"], ['a"b', "c"], ['a"b', "c"], ['"a', "b"], ["", "", ""], ["a", "b"], ['"a"b"', "c"], None]
+    df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "i int, line string")
+    found = [r[0] for r in df.orderBy("i").select(station_sources._fields(F.col("line"))).collect()]
+    assert found[:-2] == wanted[:-2] and found[-1] is None
+    simple = df.filter(F.col("line").rlike(station_sources.WHOLLY_QUOTED)).select("i").collect()
+    assert sorted(r[0] for r in simple) == [0, 1, 6, 7]
