@@ -35,14 +35,19 @@ def corrected(variable: str, method: str) -> Column:
     return p["my"] + slope * (F.col(VARIABLES[variable][0]) - p["mx"])
 
 
-def correct(frame: DataFrame, parameters: DataFrame, method: str = "scaling", station_bound: int | None = None) -> DataFrame:
+def correct(
+    frame: DataFrame, parameters: DataFrame, method: str = "scaling", station_bound: int | None = None, parameter_rows: int | None = None
+) -> DataFrame:
     """Adds `temp_corr` and `rh_corr`, the range-checked corrected grid values.
 
     The parameter table has one row per station and month. `station_bound`, a known limit
     on the number of stations, proves it small enough to broadcast; without it, or beyond
-    the limit, Spark joins by shuffle and splits skewed months itself.
+    the limit, Spark joins by shuffle and splits skewed months itself. `parameter_rows`, the
+    counted rows of a stored table, is a closer bound.
     """
-    max_rows = None if station_bound is None else station_bound * MONTHS_PER_STATION
+    max_rows = parameter_rows
+    if max_rows is None and station_bound is not None:
+        max_rows = station_bound * MONTHS_PER_STATION
     names = [c for c in parameters.columns if c not in ("cd_estacao", "mes", "first_observed", "observed_hours")]
     return (
         frame.join(broadcast_if(parameters, max_rows), ["cd_estacao", "mes"], "left")
@@ -59,6 +64,7 @@ def impute_hourly(
     station_bound: int | None = None,
     scope: str | None = None,
     parameters: DataFrame | None = None,
+    parameter_rows: int | None = None,
 ) -> DataFrame:
     """Observed hours stay; missing hours take the corrected grid value, tagged by source.
 
@@ -70,7 +76,7 @@ def impute_hourly(
     for v in VARIABLES:
         added[f"{v}_imp"] = F.coalesce(F.col(v), F.col(f"{v}_corr"))
         added[f"{v}_src"] = hour_source(F.col(v), F.col(f"{v}_corr"))
-    return correct(frame, parameters, method, station_bound).withColumns(added)
+    return correct(frame, parameters, method, station_bound, parameter_rows).withColumns(added)
 
 
 def aggregate_daily(hourly: DataFrame, temp: str = "temp_imp", rh: str = "rh_imp", carry: tuple[str, ...] = ()) -> DataFrame:

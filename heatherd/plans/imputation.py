@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heatherd.operators.fit import MIN_SAMPLES, STATISTICS, VARIABLES, cell_sums, fit_levels, fit_parameters
-from heatherd.operators.frame import HOUR_KEY, HUMIDITY_COLUMN, TEMPERATURE_COLUMN, hourly_frame, keep_stations, observed_hours
+from heatherd.operators.frame import HOUR_KEY, HUMIDITY_COLUMN, TEMPERATURE_COLUMN, hourly_frame, keep_stations, observed_hours, union_frames
 from heatherd.operators.holdout import score_frame
 from heatherd.operators.impute import add_day_type, aggregate_daily, impute_daily, impute_hourly
 from heatherd.operators.stations import sample_stations, station_batches, station_coordinates
@@ -204,11 +205,19 @@ def impute_all(
         observed = observed_hours(history, chosen, max_codes=station_bound)
         return hourly_frame(keep_stations(grid, chosen, station_bound), observed, placed)
 
-    sums = input_sums(grid, history, batches, station_bound)
-    with written(sums, "sums") as sums, written(pending_stations(batches, station_inputs(sums), before), "pending") as pending:
+    def fresh_frame(pending: DataFrame):
+        """Hours of the fresh stations, joined once: the fit reads them, and the days after it."""
         fresh = pending.filter("fresh")
-        if not fresh.isEmpty():
-            store.write(cell_sums(frame_of(fresh)).drop("scope"), "cells")
+        return nullcontext() if fresh.isEmpty() else written(frame_of(fresh), "frame")
+
+    sums = input_sums(grid, history, batches, station_bound)
+    with (
+        written(sums, "sums") as sums,
+        written(pending_stations(batches, station_inputs(sums), before), "pending") as pending,
+        fresh_frame(pending) as fresh_hours,
+    ):
+        if fresh_hours is not None:
+            store.write(cell_sums(fresh_hours).drop("scope"), "cells")
         run = F.lit(store.run)
         judged = pending.withColumn("cells_run", F.when(F.col("fresh"), run).otherwise(F.col("cells_run")))
         if judged.isEmpty():
@@ -222,9 +231,11 @@ def impute_all(
                 marks = parameter_marks(parameters).withColumnRenamed("parameters", "mark")
                 stale = F.col("fresh") | ~F.col("parameters").eqNullSafe(F.col("mark"))
                 with written(judged.join(marks, "cd_estacao", "left").withColumn("stale", stale), "judged") as judged:
-                    again = judged.filter("stale")
+                    again, moved = judged.filter("stale"), judged.filter("stale AND NOT fresh")
                     if not again.isEmpty():
-                        hourly = impute_hourly(frame_of(again), method, station_bound=station_bound, parameters=parameters)
+                        # grid and readings are joined again only for stations whose hours are not stored
+                        hours = [df for df in (fresh_hours, None if moved.isEmpty() else frame_of(moved)) if df is not None]
+                        hourly = impute_hourly(union_frames(hours), method, parameters=parameters, parameter_rows=parameters.count())
                         store.write(aggregate_daily(hourly), "days")
                     after = judged.select(
                         "cd_estacao", "input", "cells_run", F.col("mark").alias("parameters"),

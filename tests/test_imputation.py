@@ -390,6 +390,32 @@ def test_failed_run_leaves_what_was_staged(spark, tables, tmp_path, monkeypatch)
     assert len(imputation.run_names(spark, f"{folder}/days")) == 1  # the rows of the failed run are gone
 
 
+def test_hours_of_a_run_are_joined_once(spark, tables, tmp_path, monkeypatch):
+    """The fit and the days read one stored frame; only stations that a batch moves are joined again."""
+    grid, history = tables
+    calls, join = [], imputation.hourly_frame
+    monkeypatch.setattr(imputation, "hourly_frame", lambda *a: calls.append(1) or join(*a))
+    staging, registry = str(tmp_path / "staging"), network_stations(spark)
+    network_run(grid, history, registry, staging)
+    assert len(calls) == 1
+    one = (F.col("cd_estacao") == "A001") & (F.col("data") == "2001-01-05")
+    warmer = grid.withColumn("t2m", F.when(one, F.col("t2m") + 3).otherwise(F.col("t2m")))
+    again = bag(network_run(warmer, history, registry, staging))
+    assert len(calls) == 3  # A001, and A003 that falls back to its batch
+    assert again == bag(network_run(warmer, history, registry, str(tmp_path / "fresh")))
+
+
+def test_counted_parameters_are_broadcast_whatever_the_bound(spark, hourly_frame, tmp_path):
+    fit.fit(hourly_frame, min_samples=MIN_SAMPLES).write.parquet(str(tmp_path / "p"))
+    parameters = spark.read.parquet(str(tmp_path / "p"))
+
+    def logical(**bounds):
+        return impute.correct(hourly_frame, parameters, **bounds)._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "strategy=broadcast" in logical(station_bound=18_001, parameter_rows=parameters.count())
+    assert "strategy=broadcast" not in logical(station_bound=18_001)
+
+
 def test_changed_periods_are_told_by_content(spark, tables):
     grid, history = tables
     every = network_stations(spark)
