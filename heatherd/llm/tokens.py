@@ -2,14 +2,16 @@
 
 A text is cut only where the tokenizer's own pre-tokenizer always cuts, so the ids of the pieces in
 a row are the ids of the text. Pieces repeat a lot; their ids are kept as little-endian bytes, for
-all tasks of a Python worker, and joined. A text with the string of a special token is encoded in
-one piece, as the library does it.
+all tasks of a Python worker, and joined. A new piece of Latin letters goes to the tokenizer's model, as
+the steps before it take letter by letter there; any other one goes through all of them. A text with the
+string of a special token is encoded in one piece, as the library does it.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import struct
 import sys
 import types
 from collections.abc import Iterator
@@ -21,15 +23,16 @@ from heatherd.session import ship_by_value
 # White space and format characters beyond ASCII, on which regular expression engines differ, and
 # control characters that some count as white space: a text with one is encoded in one piece.
 UNSURE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
+CONTROLS = "\x1c\x1d\x1e\x1f"  # those of ASCII
 # Letters up to a plain mark or white space, which every pre-tokenizer here takes as one piece; else
 # a word with the space before it, the white space before that, a last white space of another kind.
-LETTERS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?![^ \t-\r.,;:!?*#$%&])"
+ALPHABET = "".join(chr(c) for c in range(0x41, 0x100) if chr(c).isalpha() and (c < 0x7B or c >= 0xC0))
+LETTERS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]++(?![^ \t-\r.,;:!?*#$%&])"
+PLAIN = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 WORD = re.compile(rf"{LETTERS}|[^ \t-\r]+")
 SPACED = re.compile(rf" ?{LETTERS}| ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]")
 LONG = 200  # characters; longer pieces are not remembered
-LIMIT = 400_000  # remembered pieces
-JOINT = 1_000  # pieces encoded side by side
-SPACE = " \t\n\r\x0b\x0c"
+LIMIT = 300_000  # remembered pieces, and as many of those met before them
 # A long text is encoded in parts of about so many characters, cut where two plain words meet.
 PART = 500_000
 SEAM = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
@@ -43,97 +46,92 @@ def parted(text: str) -> Iterator[str]:
     yield text[begin:]
 
 
-def shared_memo(path: str, spaces: bool) -> dict[str, bytes]:
-    """Ids of pieces met by any task of this worker process.
+def shared(path: str, spaces: bool) -> Pieces:
+    """The pieces met by any task of this worker process.
 
-    The module itself travels with each task, so the memo hangs on one that does not.
+    The module itself travels with each task, so they hang on one that does not.
     """
-    holder = sys.modules.setdefault("_heatherd_token_memos", types.ModuleType("_heatherd_token_memos"))
-    return holder.__dict__.setdefault(f"{path}|{spaces}", {})
+    holder = sys.modules.setdefault("_heatherd_token_pieces", types.ModuleType("_heatherd_token_pieces"))
+    if (key := f"{path}|{spaces}") not in holder.__dict__:
+        holder.__dict__[key] = Pieces(path, spaces)
+    return holder.__dict__[key]
 
 
-class Encoder:
-    """`encode(texts)` gives the ids of each as little-endian unsigned 32-bit bytes.
+class Pieces(dict):
+    """Ids of pieces, as little-endian unsigned 32-bit bytes.
 
-    `spaces` tells a vocabulary whose pieces keep the space before a word from one that drops
-    white space.
+    When `LIMIT` are held they become the old ones, which come back when met; those before are forgotten.
     """
 
     def __init__(self, path: str, spaces: bool):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.spaces = spaces
-        self.memo = shared_memo(path, spaces)
-        added = [re.escape(one.content) for one in self.tokenizer.get_added_tokens_decoder().values()]
-        self.unsure = re.compile("|".join([UNSURE.pattern, *added]), re.IGNORECASE)
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text by the tokenizer itself."""
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
-
-    def many(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece, encoded side by side in longer texts and told apart by their offsets.
-
-        Pieces that start with white space other than one space, which a neighbour could change,
-        are encoded alone.
-        """
-        joint = [i for i, piece in enumerate(pieces) if not self.spaces or len(piece) > 1 and piece[0] == " " and piece[1] not in SPACE]
-        out: list[bytes] = [b""] * len(pieces)
-        alone = sorted(set(range(len(pieces))) - set(joint))
-        for i, ids in zip(alone, self.whole([pieces[i] for i in alone])):
-            out[i] = ids
-        gap = "" if self.spaces else " "
-        for start in range(0, len(joint), JOINT):
-            part = joint[start : start + JOINT]
-            found = self.tokenizer.encode(gap.join([pieces[i] for i in part]), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4").tobytes()
-            begins = np.array([offset[0] for offset in found.offsets], np.int64)
-            sizes = np.array([len(pieces[i]) + len(gap) for i in part])
-            cuts = np.searchsorted(begins, np.cumsum(sizes)) * 4
-            low = 0
-            for i, high in zip(part, cuts.tolist()):
-                out[i] = ids[low:high]
-                low = high
-        return out
+        self.model = self.tokenizer.model
+        self.old: dict[str, bytes] = {}
+
+        def before(seen: str) -> list[str]:
+            normal = self.tokenizer.normalizer.normalize_str(seen) if self.tokenizer.normalizer else seen
+            return [cut for cut, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+
+        # what the model gets of a piece of letters, if the steps before it take them one by one and cut none
+        self.letters = str.maketrans({one: "".join(before(one)) for one in ALPHABET + " " * spaces})
+        every = " " * spaces + ALPHABET
+        self.plain = before(every) == [every.translate(self.letters)]
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.by_model(piece) if self.plain and PLAIN.fullmatch(piece) else self.whole(piece)
+        if len(piece) <= LONG:
+            if len(self) >= LIMIT:
+                self.old = self.copy()
+                self.clear()
+            self[piece] = ids
+        return ids
+
+    def by_model(self, piece: str) -> bytes:
+        ids = [token.id for token in self.model.tokenize(piece.translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def whole(self, text: str) -> bytes:
+        """Ids of a text by all steps of the tokenizer."""
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+class Encoder:
+    """`encode(texts)` gives the ids of each as little-endian unsigned 32-bit bytes.
+
+    `spaces` tells a vocabulary whose pieces keep the space before a word from one that drops
+    white space.
+    """
+
+    def __init__(self, path: str, spaces: bool):
+        self.known, self.spaces = shared(path, spaces), spaces
+        self.added = [one.content.lower() for one in self.known.tokenizer.get_added_tokens_decoder().values()]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if any(len(text) > PART for text in texts):
-            return [b"".join(self.parts([part])[0] for part in parted(text)) for text in texts]
-        return self.parts(texts)
+        return [b"".join(map(self.ids, parted(text))) if len(text) > PART else self.ids(text) for text in texts]
+
+    def ids(self, text: str) -> bytes:
+        if self.unsure(text):
+            return self.known.whole(text)
+        return b"".join(map(self.known.__getitem__, self.pieces(text)))
+
+    def unsure(self, text: str) -> bool:
+        low = text.lower()
+        if any(one in low for one in self.added):
+            return True
+        return any(control in text for control in CONTROLS) if text.isascii() else UNSURE.search(text) is not None
 
     def pieces(self, text: str) -> list[str]:
         if self.spaces:
             return SPACED.findall(text)
         return WORD.findall(text.encode().lower().decode())  # of bytes: A-Z only, which this vocabulary does not tell from a-z
 
-    def parts(self, texts: list[str]) -> list[bytes]:
-        memo, out, open_ = self.memo, [b""] * len(texts), []
-        if len(memo) > LIMIT:
-            memo.clear()
-        memo[""] = b""
-        for i, text in enumerate(texts):
-            if self.unsure.search(text):
-                out[i] = self.whole([text])[0]
-                continue
-            pieces = self.pieces(text)
-            try:
-                out[i] = b"".join(map(memo.__getitem__, pieces))
-            except KeyError:
-                open_.append((i, pieces))
-        if open_:
-            new = list(set().union(*(pieces for _, pieces in open_)) - memo.keys())
-            memo.update(zip(new, self.many(new)))
-            for i, pieces in open_:
-                out[i] = b"".join(map(memo.__getitem__, pieces))
-            for piece in new:
-                if len(piece) > LONG:
-                    del memo[piece]
-        return out
-
 
 ship_by_value(__name__)

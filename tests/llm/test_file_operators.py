@@ -37,6 +37,20 @@ def test_encoder_equals_the_tokenizer(path, spaces, prose, monkeypatch):
     assert Encoder(path, spaces).encode(texts) == want
 
 
+@pytest.mark.parametrize("path, spaces", [(token_files.TOKENIZER, False), (packing.TOKENIZER, True)])
+def test_words_of_letters_need_the_model_only(path, spaces, monkeypatch):
+    words = ["plain", "Größe", "ÉÀÞ", "naïve", "x", "Über", "words"]
+    texts = [" ".join(words[i:] + words[:i]) for i in range(len(words))]
+    want = [ids[:-1].tobytes() for ids in plain_ids(path, texts, 0)]
+    encoder = Encoder(path, spaces)
+    encoder.known.clear()
+    encoder.known.old.clear()
+    monkeypatch.setattr("heatherd.llm.tokens.LIMIT", 3)  # pieces are forgotten and met again
+    monkeypatch.setattr(type(encoder.known), "whole", None)
+    assert encoder.encode(texts) == want and len(encoder.known) <= 3
+    assert Encoder(path, spaces).known is encoder.known  # read once per worker process
+
+
 # Token files
 
 
