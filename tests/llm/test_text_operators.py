@@ -6,7 +6,9 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from heatherd.llm import mixing, ngram_join, quality, suffix_dedup
@@ -123,6 +125,24 @@ def test_ngram_join_of_nothing(no_docs):
     assert ngram_join.jaccard_groups(no_docs.unionByName(no_docs)).columns == ["doc_id", "n_shingles", "component_id"]
 
 
+def test_counters_of_whole_runs(monkeypatch):
+    texts = ["a b c d e f g a b c d e", "", None, "a b c d e", "x", "A B  c\nd e f"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    slots = Counter()
+    for text in texts:
+        words = (text or "").lower().split()
+        hashes = np.array([xxhash.xxh3_64_intdigest(word.encode()) for word in words], np.uint64)
+        slots.update((ngram_join.shingle_set(hashes, 5) >> np.uint64(64 - ngram_join.SLOT_BITS)).tolist())
+    for counted in (1, 7, 1 << 20):  # shingles that are counted at a time
+        monkeypatch.setattr(ngram_join, "COUNTED", counted)
+        last = list(ngram_join.describe(iter([batch]), 5))[-1]
+        part, found = ngram_join.SLOTS // ngram_join.CHUNKS, {}
+        for chunk, data in zip(last.column("chunk").to_pylist(), last.column("counters").to_pylist()):
+            counts = ngram_join.unpacked(data, part)
+            found |= {chunk * part + int(i): int(counts[i]) for i in np.flatnonzero(counts)}
+        assert found == slots
+
+
 def test_points_of_large_sets_prune_unrelated_ones():
     rng = np.random.default_rng(8)
     for size in (300, 513, 2_000, 5_000):
