@@ -59,7 +59,7 @@ def damaged(run: str, mark: int) -> str:
 def count_words(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """(word, n) of the texts of a task; a word can come several times."""
     runs_of = re.compile(rf"[a-z\xc0-\xff]{{{length},}}")
-    held: Counter[str] = Counter()
+    held: dict[str, int] = {}
 
     def passed_on() -> pa.RecordBatch:
         out = pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
@@ -72,9 +72,10 @@ def count_words(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
             runs = runs_of.findall(text) if len(text) <= LONG else map(re.Match.group, runs_of.finditer(text))
             begun = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
             for run, n in Counter(runs).items():
-                word = damaged(run, zlib.crc32(run.encode(), begun))
+                mark = zlib.crc32(run.encode(), begun)
+                word = run if mark % DAMAGE else damaged(run, mark)
                 if len(word) >= length:
-                    held[word] += n
+                    held[word] = held.get(word, 0) + n
             if len(held) >= HELD:
                 yield passed_on()
     yield passed_on()
@@ -175,10 +176,12 @@ def step(states: DataFrame, edges: DataFrame) -> DataFrame:
     """
     size, rest = F.length("label"), lambda extra: F.substr("spelling", F.col("position") + 1, F.length("label") + extra)
     spells = rest(F.lit(0)) == F.col("label")
+    beyond = F.length("spelling") - F.col("position") - size  # what is left of the word, by one less or more with an edit
+    near = beyond.between(F.col("least") - 1, F.col("most") + 1)
     met = states.select("id", "spelling", F.col("k1").alias("s1"), F.col("k2").alias("s2"), "position", "edits").join(
-        edges, (F.col("s1") == F.col("k1")) & (F.col("s2") == F.col("k2")) & ((F.col("edits") == 0) | spells))
+        edges, (F.col("s1") == F.col("k1")) & (F.col("s2") == F.col("k2")) & near & ((F.col("edits") == 0) | spells))
     # of two texts whose lengths differ by at most one, a distance of one is one edit
-    one_edit = lambda extra: (F.length(rest(extra)) == size + extra) & (F.levenshtein(rest(extra), "label", 1) == 1)
+    one_edit = lambda extra: (beyond >= extra) & (F.levenshtein(rest(extra), "label", 1) == 1)
     after = lambda extra, edits: F.struct((F.col("position") + size + extra).alias("position"), edits.cast("int").alias("edits"))
     fresh = F.col("edits") == 0
     ways = F.array(
@@ -197,10 +200,11 @@ def step(states: DataFrame, edges: DataFrame) -> DataFrame:
 def neighbours(words: DataFrame, scratch: Scratch) -> DataFrame:
     """(word, near, near_n): every ordered pair of `words` (id, word, n) that are one edit apart."""
     spelled = scratch.write(words.select("id", "word").mapInArrow(spell, SPELLED), "spelled")
-    states = scratch.write(entering(spelled, words), "states")
     nodes = scratch.write(trie_nodes(spelled), "nodes")  # a job of its own leaves no shuffle files to the next one
     edges = scratch.write(edge_table(spelled, nodes, words), "edges")
-    scratch.drop("spelled", "nodes")
+    scratch.drop("nodes")
+    states = scratch.write(entering(spelled, words), "states")
+    scratch.drop("spelled")
     level, found = 0, []
     while not states.isEmpty():
         reached = scratch.write(step(states, edges), f"states-{level}")

@@ -261,3 +261,22 @@ def test_frontier_plan_has_no_cross_join(spark):
     reached = spelling.step(spelling.entering(spelled, words), spelling.edge_table(spelled, spelling.trie_nodes(spelled), words))
     plan = reached._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_first_states_are_not_kept_beside_the_nodes(spark):
+    class Watched(Scratch):
+        held, seen = set(), []
+
+        def write(self, df, table):
+            self.held.add(table)
+            self.seen.append(set(self.held))
+            return super().write(df, table)
+
+        def drop(self, *tables):
+            self.held -= set(tables)
+            super().drop(*tables)
+
+    words = spark.createDataFrame([(1, "spelling", 3), (2, "speling", 2)], "id long, word string, n long")
+    got = spelling.neighbours(words, Watched(spark, "test")).collect()
+    assert Counter(tuple(r) for r in got) == Counter([("spelling", "speling", 2), ("speling", "spelling", 3)])
+    assert not any({"states", "nodes"} <= held for held in Watched.seen)
