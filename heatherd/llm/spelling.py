@@ -1,11 +1,15 @@
 """Spelling variants by a relational trie frontier (operator 13).
 
 Words of the corpus are spelled into a trie that is a distributed table of edges. A state (word,
-position, node, edits) joins the edges below its node, level by level: without an edit it follows
-the edge that spells the word, and every edge that spells it with one character inserted, deleted or
-replaced makes a state with one edit; with one edit only the spelling edge goes on. States with one
-edit that end with the word at a node where a word ends are neighbours; the pair is verified. A
-state is kept only where the next letter of its word follows at the node.
+rest of the word, node, edits) joins the edges below its node, level by level: without an edit it
+follows the edge that spells the word, and every other edge that spells it with one character
+inserted or replaced by a later one makes a state with one edit; with one edit only the spelling edge
+goes on. States with one edit that end with the word at a node where a word ends are neighbours; the
+pair is verified. A state is kept only where the next letter of its word follows at the node.
+
+Deletions are insertions seen from the other word, and of two words that differ by a replacement one
+has the smaller letter: each pair is found from one of its words, and holds both ways. The edit is
+made where the word and the path first differ, so equal letters side by side give no state twice.
 
 Two things keep the frontier small, and lose no pair. One edit lies in the first or in the second
 half of a word, so each word starts halfway down a trie of the words and halfway down a trie of the
@@ -164,37 +168,33 @@ def edge_table(spelled: DataFrame, nodes: DataFrame, words: DataFrame) -> DataFr
 
 def entering(spelled: DataFrame, words: DataFrame) -> DataFrame:
     """The first states of all words in both tries."""
-    return spelled.where("enters").join(words.select("id", "word"), "id").select(
-        "id", directed(F.col("word"), F.col("backward")).alias("spelling"), "k1", "k2", F.col("depth").alias("position"), F.lit(0).alias("edits"))
+    left = F.substr(directed(F.col("word"), F.col("backward")), F.col("depth") + 1)
+    return spelled.where("enters").join(words.select("id", "word"), "id").select("id", left.alias("rest"), "k1", "k2", F.lit(0).alias("edits"))
 
 
 def step(states: DataFrame, edges: DataFrame) -> DataFrame:
     """The states one level down; with an edit only along the edge that spells the word.
 
     States that cannot go on are left out: the next letter of the word must follow at the child, and
-    as much must be left of the word as of one below it.
+    as much must be left of the word as of one below it, or one less before an edit.
     """
-    size, rest = F.length("label"), lambda extra: F.substr("spelling", F.col("position") + 1, F.length("label") + extra)
-    spells = rest(F.lit(0)) == F.col("label")
-    beyond = F.length("spelling") - F.col("position") - size  # what is left of the word, by one less or more with an edit
-    near = beyond.between(F.col("least") - 1, F.col("most") + 1)
-    met = states.select("id", "spelling", F.col("k1").alias("s1"), F.col("k2").alias("s2"), "position", "edits").join(
+    size, spells = F.length("label"), F.startswith("rest", "label")
+    near = (F.length("rest") - size).between(F.col("least") - 1, F.col("most"))
+    met = states.select("id", "rest", F.col("k1").alias("s1"), F.col("k2").alias("s2"), "edits").join(
         edges, (F.col("s1") == F.col("k1")) & (F.col("s2") == F.col("k2")) & near & ((F.col("edits") == 0) | spells))
+    ways = F.when(spells, F.array(size)).otherwise(F.array(size - 1, size))  # letters used of the word: one less than of the path, or as many
+    moved = met.select("*", spells.alias("spells"), F.explode(ways).alias("used")).where(F.col("used") <= F.length("rest")).select(
+        "*", F.substr("rest", F.col("used") + 1).alias("later"))
+    moved = moved.select("*", F.length("later").alias("left"), F.ascii("later").alias("next"))
+    follows = reduce(Column.__or__, [F.expr(f"next BETWEEN {a} AND {b} AND shiftright({name}, next - {a}) & 1 = 1") for name, (a, b) in LETTERS.items()])
+    touched = F.col("left").between(F.col("least"), F.col("most")) & F.when(F.col("left") == 0, F.col("ended").isNotNull()).otherwise(follows)
+    untouched = F.col("left").between(F.col("least") - 1, F.col("most")) & (F.col("most") > 0)
+    piece = F.substr("rest", F.lit(1), F.col("used"))
     # of two texts whose lengths differ by at most one, a distance of one is one edit
-    one_edit = lambda extra: (beyond >= extra) & (F.levenshtein(rest(extra), "label", 1) == 1)
-    after = lambda extra, edits: F.struct((F.col("position") + size + extra).alias("position"), edits.cast("int").alias("edits"))
-    fresh = F.col("edits") == 0
-    ways = F.array(
-        F.when(spells, after(F.lit(0), F.col("edits"))), *(F.when(fresh & one_edit(F.lit(extra)), after(F.lit(extra), F.lit(1))) for extra in (-1, 0, 1)))
-    moved = met.select("id", "spelling", "c1", "c2", "ended", *LETTERS, "least", "most", F.explode(ways).alias("way")).where("way IS NOT NULL").select(
-        "*", "way.position", "way.edits", (F.length("spelling") - F.col("way.position")).alias("left"))
-    follows = [F.expr(
-        f"ascii(substr(spelling, position + 1, 1)) BETWEEN {a} AND {b} AND shiftright({name}, ascii(substr(spelling, position + 1, 1)) - {a}) & 1 = 1")
-        for name, (a, b) in LETTERS.items()]
-    touched = F.col("left").between(F.col("least"), F.col("most")) & F.when(F.col("left") == 0, F.col("ended").isNotNull()).otherwise(follows[0] | follows[1])
-    untouched = F.col("left").between(F.col("least") - 1, F.col("most") + 1) & (F.col("most") > 0)
-    return moved.where(F.when(F.col("edits") == 0, untouched).otherwise(touched)).select(
-        "id", "spelling", F.col("c1").alias("k1"), F.col("c2").alias("k2"), "ended", "position", "edits", "left")
+    one_edit = ((F.col("used") < size) | (piece < F.col("label"))) & ((size == 1) | (F.levenshtein(piece, "label", 1) == 1))
+    fresh = F.col("spells") & (F.col("edits") == 0)
+    return moved.where(F.when(fresh, untouched).otherwise(touched & (F.col("spells") | one_edit))).select(
+        "id", F.col("later").alias("rest"), F.col("c1").alias("k1"), F.col("c2").alias("k2"), "ended", F.when(fresh, 0).otherwise(1).alias("edits"), "left")
 
 
 def neighbours(words: DataFrame, scratch: Scratch) -> DataFrame:
@@ -211,11 +211,12 @@ def neighbours(words: DataFrame, scratch: Scratch) -> DataFrame:
         scratch.drop("states" if level == 0 else f"states-{level - 1}")
         ended = (F.col("edits") == 1) & (F.col("left") == 0)
         found.append(scratch.write(reached.where(ended).select("id", F.col("ended").alias("near")), f"found-{level}"))
-        states, level = reached.where(~ended).select("id", "spelling", "k1", "k2", "position", "edits"), level + 1
+        states, level = reached.where(~ended).select("id", "rest", "k1", "k2", "edits"), level + 1
     scratch.drop("states" if level == 0 else f"states-{level - 1}", "edges")
     pairs = reduce(DataFrame.union, found, words.select("id", F.col("id").alias("near")).limit(0)).distinct()
-    named = words.select("id", "word").join(pairs, "id").join(words.select(F.col("id").alias("near"), F.col("word").alias("other"), F.col("n").alias("near_n")), "near")
-    return named.where(F.levenshtein("word", "other", 1) == 1).select("word", F.col("other").alias("near"), "near_n")
+    named = words.select("id", "word", "n").join(pairs, "id").join(words.select(F.col("id").alias("near"), F.col("word").alias("other"), F.col("n").alias("near_n")), "near")
+    both = F.array(F.struct("word", F.col("other").alias("near"), "near_n"), F.struct(F.col("other").alias("word"), F.col("word").alias("near"), F.col("n").alias("near_n")))
+    return named.where(F.levenshtein("word", "other", 1) == 1).select(F.inline(both))
 
 
 def roots(forms: DataFrame, scratch: Scratch) -> DataFrame:

@@ -263,6 +263,24 @@ def test_frontier_plan_has_no_cross_join(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_a_pair_is_searched_from_one_of_its_words(spark):
+    class Watched(Scratch):
+        found = []
+
+        def write(self, df, table):
+            out = super().write(df, table)
+            self.found += [tuple(r) for r in out.collect()] if table.startswith("found") else []
+            return out
+
+    words = ["spelling", "speling", "spellling", "spelping", "spellinß", "aaaaaaa", "aaaaaaaa", "aaaaaaab", "baaaaaa", "lonesome"]
+    df = spark.createDataFrame([(i, w, i + 2) for i, w in enumerate(words)], "id long, word string, n long")
+    got = spelling.neighbours(df, Watched(spark, "test")).collect()
+    assert Counter(tuple(r) for r in got) == Counter((a, b, j + 2) for a in words for j, b in enumerate(words) if one_edit(a, b))
+    pairs = {(words[a], words[b]) for a, b in Watched.found}
+    assert ("speling", "spelling") in pairs and ("spelling", "spellinß") in pairs
+    assert not pairs & {(b, a) for a, b in pairs}
+
+
 def test_first_states_are_not_kept_beside_the_nodes(spark):
     class Watched(Scratch):
         held, seen = set(), []
