@@ -116,14 +116,16 @@ def impute_daily(
 
     The first observed day of a station and its observed hours come with its fit parameters, so
     typing the days, or leaving out stations that never observed anything, needs neither a
-    second pass nor a shuffle by station.
+    second pass nor a shuffle by station. Stations are left out by day, not by hour: a filter on
+    the hours would make the join with the parameters an inner one, and Spark, which takes an
+    exploded grid for few bytes, could then broadcast all hours.
     """
     hourly = impute_hourly(frame, method, min_samples, station_bound, scope)
+    daily = aggregate_daily(hourly, carry=("first_observed", "observed_hours"))
     if only_observed_stations:
-        hourly = hourly.filter(F.col("observed_hours") > 0)
-    daily = aggregate_daily(hourly, carry=("first_observed",))
+        daily = daily.filter(F.col("observed_hours") > 0)
     kind = day_type(F.col("temp_origem"), F.col("data"), F.col("first_observed"))
-    return daily.withColumn("tipo", kind).drop("first_observed")
+    return daily.withColumn("tipo", kind).drop("first_observed", "observed_hours")
 
 
 def first_observed_days(daily: DataFrame) -> DataFrame:

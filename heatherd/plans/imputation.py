@@ -281,8 +281,13 @@ def validate_sample(
     years: tuple[int, int] | None = None,
     min_samples: int = MIN_SAMPLES,
 ) -> DataFrame:
-    """Scored hold-out hours of n stations spread evenly over the code order."""
-    sample = F.broadcast(sample_stations(stations, n))  # n rows at most
-    chosen = keep_stations(within_years(grid, years), sample, n)
-    frame = hourly_frame(chosen, observed_hours(history, sample, max_codes=n))
+    """Scored hold-out hours of n stations spread evenly over the code order.
+
+    The sample is drawn first, from codes that are stored once: taken up into the plan, whatever
+    the stations come from would stand in it for every use of the sample, on both sides of the frame.
+    """
+    with written(stations.select("cd_estacao").distinct(), "codes") as known:
+        sample = [r["cd_estacao"] for r in sample_stations(known, n).collect()]  # n rows at most
+    chosen = keep_stations(within_years(grid, years), sample)
+    frame = hourly_frame(chosen, observed_hours(history, sample))
     return score_frame(frame, test_years, method, min_samples, station_bound=n)

@@ -14,6 +14,7 @@ from catalogue.queries import QUERIES
 from heatherd.operators import daily, frame, impute
 from heatherd.functions import text
 from heatherd.operators import grid as grids
+from heatherd.plans import imputation
 from heatherd.sources import colocated, derived
 from heatherd.sources.tables import write_table
 
@@ -165,6 +166,39 @@ def test_exploded_grid_is_not_broadcast(spark):
     assert paired.count() == 3
 
 
+def test_leaving_out_stations_broadcasts_no_hours(spark):
+    """Hours of exploded days meet parameters of stations without a bound; one station never observed."""
+    days = spark.createDataFrame([("2001-01-01",), ("2001-02-01",)], "data string").distinct()
+    stations = days.select("data", F.explode(F.array(F.lit("A001"), F.lit("A002"))).alias("cd_estacao"))
+    grid = stations.select("*", F.explode(F.sequence(F.lit(0), F.lit(29_999))).alias("hora")).select(
+        "cd_estacao", "data", F.col("hora").cast("bigint").alias("hora"), (F.col("hora") % 7).cast("double").alias("t2m"), F.lit(50.0).alias("rh2m"))
+    history = spark.createDataFrame(
+        [("A001", "2001-01-01", f"{h:02d}00 UTC", f"{20 + h},5", "50") for h in range(9)],
+        f"cd_estacao string, data string, hora_utc string, {frame.TEMPERATURE_COLUMN} string, {frame.HUMIDITY_COLUMN} string")
+    hours = frame.hourly_frame(grid, frame.hourly_observations(history))
+    found = imputation.imputed_stations(impute.impute_daily(hours, min_samples=3, only_observed_stations=True))
+    assert "BuildLeft" not in final_plan(found)
+    assert [r[0] for r in found.collect()] == ["A001"]
+
+
+def test_sampled_stations_are_drawn_once(spark, landed):
+    """The plan of a hold-out of sampled stations holds nothing of what the stations come from."""
+    grid, history = landed
+    drawn = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for row in rows:
+            drawn.add(1)
+            yield row
+
+    codes = [(f"A{i % 5:03d}",) for i in range(10)]
+    stations = spark.createDataFrame(spark.sparkContext.parallelize(codes, 2).mapPartitions(counted), "cd_estacao string")
+    scored = imputation.validate_sample(grid, history, stations, [2000], n=2, min_samples=10)
+    assert {r[0] for r in scored.select("cd_estacao").distinct().collect()} == {"A000", "A002"}
+    assert drawn.value == len(codes)
+    assert "Subquery" not in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_documents_are_parsed_once(spark):
     """Names of the parameters come from the stored table of parsed documents, which the hours come from too."""
     df = spark.createDataFrame([("A", '{"properties": {"parameter": {"T2M": {"2001010100": 1.5}, "RH2M": {}}}}'), ("B", "{")], "cd_estacao string, payload string")
